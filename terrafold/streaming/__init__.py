@@ -1,0 +1 @@
+"""Empty on purpose: a frozen snapshot has no streams, watermarks or state."""
