@@ -20,13 +20,10 @@ def zone_of_box(bbox: str = "bbox") -> Column:
 
 def polygon_to_utm(way: Column, zone: Column) -> Column:
     """Polygon re-projected vertex by vertex; NULL zone gives NULL."""
-    def move(p: Column) -> Column:
-        e, n = mercator.mercator_to_utm(p["x"], p["y"], zone)
-        return F.struct(e.alias("x"), n.alias("y"))
-
-    moved = F.transform(wkb.ring_points(way), lambda ring: F.transform(ring, move))
+    moved = F.transform(wkb.ring_points(way), lambda ring: mercator.utm_points(ring, zone))
     return wkb.make_polygon_with_holes(F.when(zone.isNotNull(), moved))
 
 
 def point_to_utm(x: Column, y: Column, zone: Column) -> Column:
-    return wkb.make_point(*mercator.mercator_to_utm(x, y, zone))
+    at = mercator.utm_points(F.array(F.struct(x.alias("x"), y.alias("y"))), zone)[0]
+    return wkb.make_point(at["x"], at["y"])

@@ -8,8 +8,9 @@ millimetre inside a zone.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # WGS 84 ellipsoid and UTM parameters.
@@ -54,40 +55,79 @@ def utm_zone(lon: Column) -> Column:
     return F.least(F.floor((lon + 180) / 6).cast("int") + 1, F.lit(60))
 
 
-def utm(lon: Column, lat: Column, zone: int | Column) -> tuple[Column, Column]:
-    """Easting and northing in metres for the given UTM zone.
+# Third flattening, rectifying radius and the series coefficients.
+_N = FLATTENING / (2 - FLATTENING)
+_E = math.sqrt(FLATTENING * (2 - FLATTENING))
+_RADIUS = EARTH_RADIUS / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+_ALPHA = (
+    _N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16 + 41 * _N**4 / 180,
+    13 * _N**2 / 48 - 3 * _N**3 / 5 + 557 * _N**4 / 1440,
+    61 * _N**3 / 240 - 103 * _N**4 / 140,
+    49561 * _N**4 / 161280,
+)
+Step = Callable[[Callable[[str], Column]], dict[str, Column]]
+
+
+def _utm_steps() -> list[Step]:
+    """The projection as steps from named columns to named columns.
+
+    Every intermediate is used many times in the next step; kept apart, each is
+    computed once.
+    """
+    def angles(c):
+        s = F.sin(F.radians(c("lat")))
+        off = F.radians(c("lon") - (c("zone") * 6 - 183))
+        return {"t": F.sinh(F.atanh(s) - F.atanh(s * F.lit(_E)) * F.lit(_E)), "off": off,
+                "south": c("lat") < 0}
+
+    def sphere(c):
+        return {"xi": F.atan2(c("t"), F.cos(c("off"))),
+                "eta": F.atanh(F.sin(c("off")) / F.sqrt(F.lit(1.0) + c("t") * c("t"))),
+                "south": c("south"), "ok": F.abs(c("off")) <= F.lit(math.radians(30.0))}
+
+    def series(c):
+        east, north = c("eta"), c("xi")
+        for j, a in enumerate(_ALPHA, start=1):
+            east = east + F.cos(c("xi") * (2 * j)) * F.sinh(c("eta") * (2 * j)) * F.lit(a)
+            north = north + F.sin(c("xi") * (2 * j)) * F.cosh(c("eta") * (2 * j)) * F.lit(a)
+        k = F.lit(UTM_SCALE * _RADIUS)
+        shift = F.when(c("south"), F.lit(UTM_SOUTH_OFFSET)).otherwise(F.lit(0.0))
+        return {"x": F.when(c("ok"), east * k + F.lit(UTM_FALSE_EASTING)),
+                "y": F.when(c("ok"), north * k + shift)}
+
+    return [angles, sphere, series]
+
+
+def with_utm(df: DataFrame, lon: Column, lat: Column, zone: int | Column, east: str,
+             north: str) -> DataFrame:
+    """Append easting and northing in metres for the given UTM zone.
 
     Wide of the zone (more than 30 degrees off its meridian) the series no
     longer holds; those rows give NULL rather than a wrong number.
     """
-    n = FLATTENING / (2 - FLATTENING)
-    e = math.sqrt(FLATTENING * (2 - FLATTENING))
-    radius = EARTH_RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
-    alpha = (
-        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
-        13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
-        61 * n**3 / 240 - 103 * n**4 / 140,
-        49561 * n**4 / 161280,
-    )
-    zone_col = F.lit(zone) if isinstance(zone, int) else zone
-    off = F.radians(lon - (zone_col * 6 - 183))
-    s = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(s) - F.atanh(s * F.lit(e)) * F.lit(e))
-    xi = F.atan2(t, F.cos(off))
-    eta = F.atanh(F.sin(off) / F.sqrt(F.lit(1.0) + t * t))
-    east, north = eta, xi
-    for j, a in enumerate(alpha, start=1):
-        east = east + F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) * F.lit(a)
-        north = north + F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) * F.lit(a)
-    k = F.lit(UTM_SCALE * radius)
-    south = F.when(lat < 0, F.lit(UTM_SOUTH_OFFSET)).otherwise(F.lit(0.0))
-    ok = F.abs(off) <= F.lit(math.radians(30.0))
-    return (F.when(ok, east * k + F.lit(UTM_FALSE_EASTING)),
-            F.when(ok, north * k + south))
-
-
-def mercator_to_utm(x: Column, y: Column, zone: int | Column) -> tuple[Column, Column]:
-    return utm(x_to_lon(x), y_to_lat(y), zone)
+    keep = [F.col(f"`{c}`") for c in df.columns]
+    zone = F.lit(zone) if isinstance(zone, int) else zone
+    df = df.select(*keep, lon.alias("__u_lon"), lat.alias("__u_lat"), zone.alias("__u_zone"))
+    for step in _utm_steps():
+        out = step(lambda name: F.col(f"__u_{name}"))
+        df = df.select(*keep, *[v.alias(f"__u_{k}") for k, v in out.items()])
+    return df.select(*keep, F.col("__u_x").alias(east), F.col("__u_y").alias(north))
+
+
+def utm_points(points: Column, zone: Column) -> Column:
+    """An array<struct<x, y>> of EPSG:3857 positions moved to a UTM zone."""
+    def unproject(p: Column) -> Column:
+        return F.struct(x_to_lon(p["x"]).alias("lon"), y_to_lat(p["y"]).alias("lat"),
+                        zone.alias("zone"))
+
+    def apply(step: Step) -> Callable[[Column], Column]:
+        return lambda p: F.struct(
+            *[v.alias(k) for k, v in step(lambda name: p[name]).items()])
+
+    points = F.transform(points, unproject)
+    for step in _utm_steps():
+        points = F.transform(points, apply(step))
+    return points
 
 
 def lonlat_measure_guard(crs: str) -> None:

@@ -417,7 +417,7 @@ def points_in_rings(px, py, owner, seg: np.ndarray, seg_owner, n: int) -> np.nda
     return (odd | touch)[owner]
 
 
-def _segments_meet_box(seg: np.ndarray, box: np.ndarray) -> np.ndarray:
+def segments_meet_box(seg: np.ndarray, box: np.ndarray) -> np.ndarray:
     """Closed segment against closed box, by parametric clipping."""
     x1, y1, x2, y2 = seg.T
     xmin, ymin, xmax, ymax = box.T
@@ -446,7 +446,7 @@ def intersects_box(way: pa.Array, xmin: pa.Array, ymin: pa.Array, xmax: pa.Array
         b[:, 1] <= p[:, 1]) & (p[:, 1] <= b[:, 3])
     hit[rows[inside]] = True
     seg = segments(rings)
-    hit[seg.row[_segments_meet_box(seg.xyxy, box[seg.row])]] = True
+    hit[seg.row[segments_meet_box(seg.xyxy, box[seg.row])]] = True
     # A box wholly inside a polygon touches no edge: test one corner by parity.
     area = np.zeros(rings.rows, bool)
     area[rings.row[rings.kind == POLYGON]] = True

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.operators import spatial
-from terrafold.operators.skew import MIN_ROWS, join_spread, semi_spread
+from terrafold.operators.skew import MIN_ROWS, heavy_keys, join_spread, semi_spread
+from terrafold.workspace import stored
 
 
 @dataclass
@@ -53,34 +54,32 @@ def whole_ways(source: Elements, inside: DataFrame, min_rows: int = MIN_ROWS) ->
     way with no node inside goes, even if it crosses the region. A relation
     stays if one of its node or way members does.
     """
+    heavy = heavy_keys(source.way_refs, ["node_id", "way_id"], min_rows=min_rows)
     node_ids = inside.select(F.col("id").alias("node_id"))
     touching = semi_spread(source.way_refs.select("way_id", "node_id"), node_ids, "node_id",
-                           spread_by=["way_id"], min_rows=min_rows)
-    way_ids = touching.select("way_id").distinct()
+                           spread_by=["way_id"], heavy=heavy["node_id"])
+    # Each id set feeds several results; it is worked out once.
+    way_ids = stored(touching.select("way_id").distinct(), "ways")
     way_refs = semi_spread(source.way_refs, way_ids, "way_id", spread_by=["pos", "node_id"],
-                           min_rows=min_rows)
+                           heavy=heavy["way_id"])
+    wanted = stored(node_ids.union(way_refs.select("node_id")).distinct(), "nodes")
     ways = source.ways.join(way_ids.withColumnRenamed("way_id", "id"), "id", "left_semi")
-    wanted = node_ids.union(way_refs.select("node_id")).distinct()
     nodes = source.nodes.join(wanted.withColumnRenamed("node_id", "id"), "id", "left_semi")
-    rel_ids = _touched_relations(source, nodes, ways, min_rows)
+    refs = source.member_refs.withColumn("__ref", _typed_ref())
+    heavy = heavy_keys(refs, ["__ref", "rel_id"], min_rows=min_rows)
+    kept = nodes.select(F.lit("n").alias("type"), F.col("id").alias("ref")).union(
+        way_ids.select(F.lit("w"), "way_id"))
+    hit = semi_spread(refs.where(F.col("type").isin("n", "w")),
+                      kept.select(_typed_ref().alias("__ref")), "__ref",
+                      spread_by=["rel_id", "pos"], heavy=heavy["__ref"])
+    rel_ids = stored(hit.select("rel_id").distinct(), "relations")
     members = semi_spread(source.member_refs, rel_ids, "rel_id", spread_by=["pos", "ref"],
-                          min_rows=min_rows)
+                          heavy=heavy["rel_id"])
     relations = source.relations.join(rel_ids.withColumnRenamed("rel_id", "id"), "id",
                                       "left_semi")
     return Elements(nodes, ways, relations, way_refs, members)
 
 
-def _touched_relations(source: Elements, nodes: DataFrame, ways: DataFrame,
-                       min_rows: int) -> DataFrame:
-    kept = nodes.select(F.lit("n").alias("type"), F.col("id").alias("ref")).union(
-        ways.select(F.lit("w").alias("type"), F.col("id").alias("ref")))
-    refs = source.member_refs.where(F.col("type").isin("n", "w")).select(
-        "rel_id", "pos", _typed_ref().alias("key"))
-    hit = semi_spread(refs, kept.select(_typed_ref().alias("key")), "key",
-                      spread_by=["rel_id", "pos"], min_rows=min_rows)
-    return hit.select("rel_id").distinct()
-
-
 def _typed_ref() -> Column:
     """One key for (type, ref): a node id and a way id may be the same number."""
     return F.concat(F.col("type"), F.col("ref").cast("string"))
@@ -96,7 +95,7 @@ def cut_polygon(source: Elements, polygons: DataFrame, key: str, *, x: Column, y
     """As ``cut_box``, inside any of ``polygons`` (same coordinates as x and y)."""
     hits = spatial.within(source.nodes.select("id", x.alias("px"), y.alias("py")), polygons, key,
                           x=F.col("px"), y=F.col("py"), spread_by=["id"])
-    return whole_ways(source, hits.select("id").distinct(), **kw)
+    return whole_ways(source, stored(hits.select("id").distinct(), "inside"), **kw)
 
 
 def closure(source: Elements, relations: DataFrame, with_refs: bool = True,
@@ -107,7 +106,8 @@ def closure(source: Elements, relations: DataFrame, with_refs: bool = True,
     if not with_refs:
         return Elements(source.nodes.limit(0), source.ways.limit(0), relations,
                         source.way_refs.limit(0), refs)
-    way_ids = refs.where(F.col("type") == "w").select(F.col("ref").alias("id")).distinct()
+    way_ids = stored(refs.where(F.col("type") == "w").select(F.col("ref").alias("id")).distinct(),
+                     "ways")
     ways = source.ways.join(way_ids, "id", "left_semi")
     way_refs = semi_spread(source.way_refs, way_ids.withColumnRenamed("id", "way_id"), "way_id",
                            spread_by=["pos", "node_id"], min_rows=min_rows)
@@ -191,7 +191,7 @@ def coverage(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
     marked = expected.select(key).distinct().join(gone, key, "left")
     return marked.agg(
         F.count_if(F.col("__gone").isNull()).alias("n_found"), F.count("*").alias("n_expected"),
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("__gone"), F.col(key)))), ",")
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("__gone"), F.col(key)))), ",")
         .alias("missing"))
 
 
@@ -208,6 +208,6 @@ def way_points(way_refs: DataFrame, nodes: DataFrame, x: str, y: str,
                       F.col(y).cast("double").alias("y"))
     placed = join_spread(way_refs, at, "node_id", spread_by=["way_id", "pos"], min_rows=min_rows)
     rows = placed.groupBy("way_id").agg(
-        F.array_sort(F.collect_list(F.struct("pos", "x", "y"))).alias("p"))
+        F.sort_array(F.collect_list(F.struct("pos", "x", "y"))).alias("p"))
     return rows.select("way_id", F.transform(
         "p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("points"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import wkb
 from terrafold.operators import spatial
 from terrafold.operators.skew import MIN_ROWS, join_spread
-from terrafold.workspace import checkpointed
+from terrafold.workspace import stored
 
 
 # ---------------------------------------------------------------- completeness
@@ -35,7 +35,7 @@ def completeness(member_ways: DataFrame, ways: DataFrame, first: int = 5,
     few = (marked.where(F.col("here").isNull()).select("rel_id", "pos", "ref")
            .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
            .groupBy("rel_id")
-           .agg(F.array_sort(F.collect_list(F.struct("rank", "ref"))).alias("few")))
+           .agg(F.sort_array(F.collect_list(F.struct("rank", "ref"))).alias("few")))
     return totals.join(few, "rel_id", "left").select(
         "rel_id", "missing", "total",
         F.coalesce(F.array_join(F.transform("few", lambda m: m["ref"].cast("string")), ","),
@@ -125,7 +125,7 @@ def ordered_rings(edges: DataFrame) -> DataFrame:
                          F.lit(0).cast("bigint").alias("ahead"))
     longest = edges.groupBy("rel_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     for k in range(math.ceil(math.log2(max(longest, 2)))):
-        state = checkpointed(state)
+        state = stored(state, "links")
         hop = state.select("rel_id", F.col("h").alias("next"), F.col("next").alias("next2"),
                            F.col("low").alias("low2"), F.col("ahead").alias("ahead2"))
         lower = F.col("low2") < F.col("low")
@@ -149,6 +149,7 @@ def assemble(edges: DataFrame, way_points: DataFrame, min_rows: int = MIN_ROWS)
 
     The list per ring is its geometry, one value of the output row.
     """
+    edges = stored(edges, "edges")
     placed = ordered_rings(edges)
     roles = edges.select("rel_id", "way_id", "role")
     ways = join_spread(placed.join(roles, ["rel_id", "way_id"]), way_points, "way_id",
@@ -158,7 +159,7 @@ def assemble(edges: DataFrame, way_points: DataFrame, min_rows: int = MIN_ROWS)
     ways = ways.withColumn("run", F.slice(run, F.lit(1), F.size("points") - 1))
     rings = ways.groupBy("rel_id", "ring").agg(
         F.count("*").alias("ways"), F.min("role").alias("role"),
-        F.array_sort(F.collect_list(F.struct("pos", "run"))).alias("runs"))
+        F.sort_array(F.collect_list(F.struct("pos", "run"))).alias("runs"))
     body = F.flatten(F.transform("runs", lambda r: r["run"]))
     return rings.withColumn("body", body).select(
         "rel_id", "ring", "role", "ways", F.concat("body", F.slice("body", 1, 1)).alias("points"))
@@ -171,7 +172,7 @@ def polygons_of(rings: DataFrame) -> DataFrame:
     pairs come from the cell join, never from all holes by all shells. The holes
     of a shell are part of its geometry, one value of the output row.
     """
-    rings = checkpointed(rings)
+    rings = stored(rings, "rings")
     outer = rings.where(F.col("role") != "inner").withColumn("way", wkb.make_polygon("points"))
     outer = outer.withColumn("shell", F.struct("rel_id", "ring"))
     inner = rings.where(F.col("role") == "inner").select(
@@ -188,7 +189,7 @@ def polygons_of(rings: DataFrame) -> DataFrame:
              .groupBy("rel_id", "ring")
              .agg(F.min_by("shell_ring", F.struct("area", "shell_ring")).alias("shell_ring")))
     holes = (inner.join(owner, ["rel_id", "ring"]).groupBy("rel_id", "shell_ring")
-             .agg(F.array_sort(F.collect_list(F.struct("ring", "points"))).alias("h"))
+             .agg(F.sort_array(F.collect_list(F.struct("ring", "points"))).alias("h"))
              .select("rel_id", F.col("shell_ring").alias("ring"),
                      F.transform("h", lambda h: h["points"]).alias("holes")))
     whole = outer.select("rel_id", "ring", "points").join(holes, ["rel_id", "ring"], "left")

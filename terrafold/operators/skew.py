@@ -24,20 +24,26 @@ _SALT = "__salt"
 _SALTS = "__salts"
 
 
-def heavy_keys(df: DataFrame, key: str, min_share: float = MIN_SHARE,
-               min_rows: int = MIN_ROWS) -> list[tuple[object, int]]:
-    """(key, number of salts) for keys over ``min_share``; at most 1/min_share of them."""
+Heavy = list[tuple[object, int]]
+
+
+def heavy_keys(df: DataFrame, keys: list[str], min_share: float = MIN_SHARE,
+               min_rows: int = MIN_ROWS) -> dict[str, Heavy]:
+    """Per key column, (key, number of salts) for keys over ``min_share``.
+
+    One pass over the key columns alone; at most 1/min_share keys a column.
+    """
     limit = math.ceil(1 / min_share)
     tracked = 1 << math.ceil(math.log2(8 * limit))
-    row = df.agg(F.count("*").alias("n"),
-                 F.expr(f"approx_top_k(`{key}`, {limit}, {tracked})").alias("top")).first()
-    floor = max(min_share * row["n"], min_rows)
-    return [(item["item"], math.ceil(item["count"] / floor))
-            for item in row["top"] or [] if item["item"] is not None and item["count"] > floor]
+    row = df.agg(F.count("*").alias("__n"), *[
+        F.expr(f"approx_top_k(`{k}`, {limit}, {tracked})").alias(k) for k in keys]).first()
+    floor = max(min_share * row["__n"], min_rows)
+    return {k: [(item["item"], math.ceil(item["count"] / floor)) for item in row[k] or []
+                if item["item"] is not None and item["count"] > floor] for k in keys}
 
 
 def join_spread(many: DataFrame, few: DataFrame, key: str, how: str = "inner", *,
-                spread_by: list[str], heavy: list[tuple[object, int]] | None = None,
+                spread_by: list[str], heavy: Heavy | None = None,
                 min_share: float = MIN_SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
     """``many.join(few, key, how)`` with the heavy keys of ``many`` salted.
 
@@ -48,7 +54,7 @@ def join_spread(many: DataFrame, few: DataFrame, key: str, how: str = "inner", *
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     if heavy is None:
-        heavy = heavy_keys(many, key, min_share, min_rows)
+        heavy = heavy_keys(many, [key], min_share, min_rows)[key]
     if not heavy:
         return many.join(few, key, how)
     spark = many.sparkSession
@@ -77,8 +83,7 @@ def semi_spread(many: DataFrame, keys: DataFrame, key: str, **kw) -> DataFrame:
     return join_spread(many, keys.select(key).distinct(), key, "left_semi", **kw)
 
 
-def chunk_no(df: DataFrame, by: list[str], spread_by: list[str], max_rows: int,
-             heavy: list[tuple[object, int]] | None = None) -> DataFrame:
+def chunk_no(df: DataFrame, by: list[str], spread_by: list[str], max_rows: int) -> DataFrame:
     """Number the rows of each group into chunks of about ``max_rows``.
 
     Groups below ``max_rows`` keep chunk 0. A larger group is cut by the hash

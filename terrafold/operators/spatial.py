@@ -1,16 +1,16 @@
 """Box filters, exact refinement and the point-in-polygon join.
 
 The join never compares a point with a polygon it cannot meet. Each polygon is
-cut into square cells of a size chosen from its own extent (4 to 16 across),
-and each cell keeps only the segments a ray from that cell can cross. A point
+cut into square cells of a size chosen from its own extent (8 to 16 across), so
+that most of its area is cells wholly inside, and each other cell keeps only the segments a ray from that cell can cross. A point
 has one cell per cell size in use, so the join is a plain equi-join, and the
 exact test runs over the few segments of that cell inside the JVM.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from terrafold.functions import wkb
 from terrafold.operators.skew import MIN_ROWS, join_spread
 
-# Cell sizes are powers of four metres; 16 m the smallest, 2^26 m the largest.
-MIN_LEVEL, MAX_LEVEL, LEVEL_STEP = 4, 26, 2
+# Cell sizes are powers of two metres; 16 m the smallest, 2^26 m the largest.
+MIN_LEVEL, MAX_LEVEL = 4, 26
 MAX_ACROSS = 16
 # Cells are numbered from -2^23; with 16 m cells that spans 134,000 km.
 _AXIS_BITS = 24
@@ -29,6 +29,9 @@ _AXIS_HALF = 1 << (_AXIS_BITS - 1)
 # Cells table up to this size goes to every executor, a larger one is shuffled.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+# Segments of a cell tested without a loop.
+UNROLLED = 4
+
 Box = tuple[float, float, float, float]
 
 
@@ -66,36 +69,125 @@ def _cell(level: Column | int, cx: Column, cy: Column) -> Column:
             + F.shiftleft((cx + half).cast("bigint"), _AXIS_BITS) + (cy + half).cast("bigint"))
 
 
-def _level(extent: float) -> int:
-    need = math.ceil(math.log2(max(extent, 1e-9) / MAX_ACROSS))
-    level = MIN_LEVEL + LEVEL_STEP * max(0, math.ceil((need - MIN_LEVEL) / LEVEL_STEP))
-    if level > MAX_LEVEL:
-        raise ValueError(f"polygon of {extent} m is wider than the cell grid")
-    return level
-
-
-def _cut(seg: np.ndarray) -> Iterator[tuple[int, int, int, bool, np.ndarray]]:
-    """(level, cx, cy, wholly inside, segments) of every cell the polygon may reach."""
-    xs, ys = seg[:, [0, 2]], seg[:, [1, 3]]
-    level = _level(max(np.ptp(xs), np.ptp(ys)))
-    size = float(1 << level)
-    x_lo, x_hi = xs.min(axis=1), xs.max(axis=1)
-    y_lo, y_hi = ys.min(axis=1), ys.max(axis=1)
-    for cy in range(int(y_lo.min() // size), int(y_hi.max() // size) + 1):
-        band = np.flatnonzero((y_lo <= (cy + 1) * size) & (y_hi >= cy * size))
-        for cx in range(int(x_lo.min() // size), int(x_hi.max() // size) + 1):
-            # The ray runs to larger x, so segments wholly to the left never count.
-            mine = band[x_hi[band] >= cx * size]
-            if not len(mine):
-                continue
-            if (x_lo[mine] <= (cx + 1) * size).any():
-                yield level, cx, cy, False, seg[mine]
-                continue
-            # No segment comes near: the whole cell is on one side.
-            mid_x, mid_y = np.array([(cx + 0.5) * size]), np.array([(cy + 0.5) * size])
-            if wkb.points_in_rings(mid_x, mid_y, np.zeros(1, int), seg[mine],
-                                   np.zeros(len(mine), int), 1)[0]:
-                yield level, cx, cy, True, seg[:0]
+def _levels(extent: np.ndarray) -> np.ndarray:
+    need = np.ceil(np.log2(np.maximum(extent, 1e-9) / MAX_ACROSS))
+    level = np.maximum(need, MIN_LEVEL)
+    if len(level) and level.max() > MAX_LEVEL:
+        raise ValueError(f"polygon of {extent.max()} m is wider than the cell grid")
+    return level.astype(np.int64)
+
+
+@dataclass
+class _Cells:
+    """Cells of a run of polygons, and the segments of each in cell order."""
+
+    polygon: np.ndarray
+    level: np.ndarray
+    cx: np.ndarray
+    cy: np.ndarray
+    inside: np.ndarray
+    counts: np.ndarray
+    segments: np.ndarray
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and place within the owner of ``counts[i]`` things each."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _cut(segments: np.ndarray, first: np.ndarray, counts: np.ndarray) -> _Cells:
+    """Cells of polygons given as runs ``first, counts`` of ``segments``.
+
+    Works on all (cell, segment) pairs of the run at once; the caller keeps
+    their number in bounds.
+    """
+    lo = np.minimum(segments[:, :2], segments[:, 2:])
+    hi = np.maximum(segments[:, :2], segments[:, 2:])
+    low, high = np.minimum.reduceat(lo, first), np.maximum.reduceat(hi, first)
+    level = _levels((high - low).max(axis=1))
+    size = np.exp2(level)
+    start = np.floor(low / size[:, None]).astype(np.int64)
+    across = np.floor(high / size[:, None]).astype(np.int64) - start + 1
+    # All cells of the boxes, then all pairs of a cell with a segment of its polygon.
+    polygon, nth = _spread(across[:, 0] * across[:, 1])
+    cx = start[polygon, 0] + nth % across[polygon, 0]
+    cy = start[polygon, 1] + nth // across[polygon, 0]
+    side = size[polygon]
+    cell, nth = _spread(counts[polygon])
+    seg = first[polygon][cell] + nth
+    # The ray runs to larger x, so only segments of its band and not to the left count.
+    mine = ((lo[seg, 1] <= ((cy + 1) * side)[cell]) & (hi[seg, 1] >= (cy * side)[cell])
+            & (hi[seg, 0] >= (cx * side)[cell]))
+    cell, seg = cell[mine], seg[mine]
+    boxes = _boxes(cx, cy, side)[cell]
+    reach = boxes.copy()
+    reach[:, 2] = np.inf
+    mine = wkb.segments_meet_box(segments[seg], reach)
+    cell, seg, boxes = cell[mine], seg[mine], boxes[mine]
+    near = wkb.segments_meet_box(segments[seg], boxes)
+    edge = np.bincount(cell, near, minlength=len(cx)) > 0
+    # Cells no segment comes near are on one side as a whole: ask their middle.
+    far = ~edge[cell]
+    inside = wkb.points_in_rings((cx + 0.5) * side, (cy + 0.5) * side, np.arange(len(cx)),
+                                 segments[seg[far]], cell[far], len(cx)) & ~edge
+    keep = edge | inside
+    used = edge[cell]
+    return _Cells(polygon[keep], level[polygon][keep], cx[keep], cy[keep], inside[keep],
+                  np.bincount(cell[used], minlength=len(cx))[keep], segments[seg[used]])
+
+
+def _boxes(cx: np.ndarray, cy: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Cells as boxes, grown a little so that rounding never loses a touching segment."""
+    slack = side * 1e-6
+    return np.column_stack([cx * side - slack, cy * side - slack, (cx + 1) * side + slack,
+                            (cy + 1) * side + slack])
+
+
+def _cut_large(segments: np.ndarray) -> Iterator[_Cells]:
+    """The same for one polygon of many segments, a band of cells at a time."""
+    lo, hi = segments[:, [1, 3]].min(axis=1), segments[:, [1, 3]].max(axis=1)
+    xs = segments[:, [0, 2]]
+    level = _levels(np.array([max(np.ptp(xs), hi.max() - lo.min())]))
+    size = float(np.exp2(level[0]))
+    columns = np.arange(int(xs.min() // size), int(xs.max() // size) + 1)
+    for cy in range(int(lo.min() // size), int(hi.max() // size) + 1):
+        band = segments[(lo <= (cy + 1) * size) & (hi >= cy * size)]
+        boxes = _boxes(columns, np.full(len(columns), cy), np.full(len(columns), size))
+        for cx, box in zip(columns, boxes, strict=True):
+            reach = box.copy()
+            reach[2] = np.inf
+            mine = band[wkb.segments_meet_box(band, np.tile(reach, (len(band), 1)))]
+            near = bool(wkb.segments_meet_box(mine, np.tile(box, (len(mine), 1))).any())
+            inside = not near and bool(len(mine)) and bool(wkb.points_in_rings(
+                np.array([(cx + 0.5) * size]), np.array([(cy + 0.5) * size]), np.zeros(1, int),
+                mine, np.zeros(len(mine), int), 1)[0])
+            if near or inside:
+                kept = mine if near else mine[:0]
+                yield _Cells(np.zeros(1, np.int64), level, np.array([cx]), np.array([cy]),
+                             np.array([inside]), np.array([len(kept)]), kept)
+
+
+# (cell, segment) pairs worked on at once; a polygon beyond it is cut by bands.
+PAIRS_AT_ONCE = 2_000_000
+
+
+def _cut_batch(segments: np.ndarray, first: np.ndarray, counts: np.ndarray) -> Iterator[_Cells]:
+    pairs = counts * (MAX_ACROSS + 1) ** 2
+    large = pairs > PAIRS_AT_ONCE
+    for p in np.flatnonzero(large):
+        for cells in _cut_large(segments[first[p]:first[p] + counts[p]]):
+            cells.polygon = cells.polygon + p
+            yield cells
+    small = np.flatnonzero(~large)
+    run = np.cumsum(pairs[small]) // PAIRS_AT_ONCE
+    for r in np.unique(run):
+        some = small[run == r]
+        owner, nth = _spread(counts[some])
+        cells = _cut(segments[first[some][owner] + nth],
+                     np.cumsum(counts[some]) - counts[some], counts[some])
+        cells.polygon = some[cells.polygon]
+        yield cells
 
 
 def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
@@ -111,38 +203,26 @@ def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
             segs = wkb.segments(rings)
             closed = np.isin(segs.row, rings.row[rings.kind == wkb.POLYGON])
             rows, xyxy = segs.row[closed], segs.xyxy[closed]
-            at, found = [], []
-            for r, seg in zip(*_split(rows, xyxy), strict=True):
-                cells = list(_cut(seg))
-                at += [r] * len(cells)
-                found += cells
-            if not found:
+            if not len(rows):
                 continue
-            sizes = np.array([0] + [len(c[4]) for c in found])
-            flat = np.vstack([c[4] for c in found])
-            segments = pa.ListArray.from_arrays(
-                pa.array(np.cumsum(sizes), pa.int32()),
-                pa.StructArray.from_arrays([pa.array(flat[:, i]) for i in range(4)],
-                                           names=list(wkb.SEGMENT_FIELDS)))
-            yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(at)), pa.array([c[0] for c in found], pa.int32()),
-                 pa.array([c[1] for c in found], pa.int64()),
-                 pa.array([c[2] for c in found], pa.int64()),
-                 pa.array([c[3] for c in found], pa.bool_()), segments],
-                names=[key, "level", "cx", "cy", "inside", "segments"])
+            first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+            counts = np.diff(np.r_[first, len(rows)])
+            for c in _cut_batch(xyxy, first, counts):
+                segments = pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(c.counts)], pa.int32()),
+                    pa.StructArray.from_arrays([pa.array(c.segments[:, i]) for i in range(4)],
+                                               names=list(wkb.SEGMENT_FIELDS)))
+                yield pa.RecordBatch.from_arrays(
+                    [keys.take(pa.array(rows[first][c.polygon])), pa.array(c.level, pa.int32()),
+                     pa.array(c.cx, pa.int64()), pa.array(c.cy, pa.int64()),
+                     pa.array(c.inside, pa.bool_()), segments],
+                    names=[key, "level", "cx", "cy", "inside", "segments"])
 
     cells = polygons.select(key, way).where(F.col(way).isNotNull()).mapInArrow(cut, schema)
     return cells.select(key, "level", _cell(F.col("level"), F.col("cx"), F.col("cy"))
                         .alias("cell"), "inside", "segments")
 
 
-def _split(rows: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
-    if not len(rows):
-        return [], []
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    return rows[first].tolist(), np.split(values, first[1:])
-
-
 def _strictly_within(x: Column, y: Column, segments: Column) -> Column:
     """Odd crossings of a ray to larger x, and no segment through the point."""
     def side(s: Column) -> Column:
@@ -158,8 +238,15 @@ def _strictly_within(x: Column, y: Column, segments: Column) -> Column:
                 & (x <= F.greatest(s["x1"], s["x2"])) & (F.least(s["y1"], s["y2"]) <= y)
                 & (y <= F.greatest(s["y1"], s["y2"])))
 
-    odd = F.size(F.filter(segments, crossed)) % 2 == 1
-    return odd & ~F.exists(segments, through)
+    def count(test) -> Column:
+        """The first few one by one, which compiles; only what is beyond them loops."""
+        n = F.when(F.size(segments) > UNROLLED, F.size(F.filter(
+            F.slice(segments, UNROLLED + 1, 1 << 30), test))).otherwise(F.lit(0))
+        for i in range(UNROLLED):
+            n = n + F.when(test(F.get(segments, F.lit(i))), 1).otherwise(0)
+        return n
+
+    return (count(crossed) % 2 == 1) & (count(through) == 0)
 
 
 def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Column,
@@ -175,7 +262,7 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
     cells = polygon_cells(polygons, key, way).persist()
     size = cells.agg(
         F.sum(F.lit(48) + F.size("segments") * 48).alias("bytes"),
-        F.collect_set("level").alias("levels")).first()  # at most 12 levels exist
+        F.collect_set("level").alias("levels")).first()  # at most 23 levels exist
     levels = sorted(size["levels"])
     if not levels:
         return points.withColumn(key, F.lit(None).cast(polygons.schema[key].dataType)).limit(0)

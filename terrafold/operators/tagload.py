@@ -180,7 +180,7 @@ def z_order(ranks: dict[tuple[str, str], int]) -> Column:
 
 def json_text(tags: Column) -> Column:
     """A tag map as JSON text with sorted keys."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(tags))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(tags))))
 
 
 def export_projection(df: DataFrame, geometry: str = "way", tags: str = "tags") -> DataFrame:

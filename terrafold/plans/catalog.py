@@ -12,10 +12,19 @@ from terrafold.plans import (  # noqa: F401  (importing registers)
     scans,
 )
 from terrafold.plans.registry import ORACLES, QUERIES, Query
+from terrafold.workspace import attach
+
+
+def _attached(fn: Query) -> Query:
+    def run(spark, sf_dir):
+        attach(spark)
+        return fn(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {name: _attached(fn) for name, fn in QUERIES.items()}
 
 
 def oracles() -> dict[str, str]:

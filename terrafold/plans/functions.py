@@ -90,9 +90,9 @@ utm AS (SELECT {keep}, 500000e0 + {k}::double * (eta + {east}) AS east, {k}::dou
        + " SELECT node_id, round(east, 2) AS east, round(north, 2) AS north FROM utm")
 def utm_project(spark, sf):
     n = I.elements(spark, sf).nodes
-    east, north = mercator.utm(F.col("lon"), F.col("lat"), 54)
-    return n.select(F.col("id").alias("node_id"), F.round(east, 2).alias("east"),
-                    F.round(north, 2).alias("north"))
+    n = mercator.with_utm(n, F.col("lon"), F.col("lat"), 54, "east", "north")
+    return n.select(F.col("id").alias("node_id"), F.round("east", 2).alias("east"),
+                    F.round("north", 2).alias("north"))
 
 
 _LL = f"degrees(asin(tanh(y / {R})))"

@@ -126,7 +126,7 @@ def verify_tampered(spark, sf):
         path = new_path(spark, "tampered")
         layout.write_ordered(df, path, geo, I.ROWS_PER_GROUP, reverse=name == "rows reversed")
         checks = layout.verify(spark, plain, path, rows_per_group=I.ROWS_PER_GROUP).agg(
-            F.array_join(F.array_sort(F.collect_set("check")), ",").alias("checks"))
+            F.array_join(F.sort_array(F.collect_set("check")), ",").alias("checks"))
         row = checks.select(F.lit(name).alias("change"), "checks")
         out = row if out is None else out.union(row)
     return out

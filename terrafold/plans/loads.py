@@ -25,7 +25,7 @@ _AREA = """coalesce(CASE WHEN tags->>'area' = 'no' THEN false ELSE
 
 
 def _keys(c):
-    return F.array_join(F.array_sort(F.map_keys(c)), ",")
+    return F.array_join(F.sort_array(F.map_keys(c)), ",")
 
 
 @query("promote_tags", I.with_inputs("tagged") + """

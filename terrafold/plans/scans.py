@@ -132,7 +132,7 @@ FROM ring_members""")
 def opl_members(spark, sf):
     """Relation lines written as element text and scanned back into members."""
     m = I.ring_members(spark, sf)
-    lines = m.groupBy("rel_id").agg(F.array_sort(F.collect_list(F.struct("pos", "type", "ref", "role")))
+    lines = m.groupBy("rel_id").agg(F.sort_array(F.collect_list(F.struct("pos", "type", "ref", "role")))
                                     .alias("m"))
     text = textual.opl_relation_line(F.col("rel_id"), F.col("m"))
     path = new_path(spark, "opl")

@@ -1,13 +1,31 @@
-"""Where intermediate tables live: the cluster's shared checkpoint folder."""
+"""What a session needs: the package on its executors, and a shared folder."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
+_ATTACHED: set[str] = set()
+
+
+def attach(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application.
+
+    Spark's own file distribution carries the archive; the driver only packs it.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _ATTACHED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='terrafold-code-')}/terrafold", "zip",
+                                  package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    _ATTACHED.add(app)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,9 +49,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(f"{shared_folder(df.sparkSession)}/checkpoints")
-    return df.checkpoint()
+def stored(df: DataFrame, name: str = "step") -> DataFrame:
+    """Cut the lineage: write the rows to the shared folder and scan them back.
+
+    What is used several times is computed once, a lost executor costs no more
+    than the scan, and the optimizer learns the real size.
+    """
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
