@@ -22,7 +22,9 @@ CELL_MAX = (1 << BITS) - 1
 def axis_cell(centre: Column) -> Column:
     """Grid cell 0..65535 of one coordinate; outside the square clamps to its edge."""
     scaled = (centre + F.lit(HALF_SIDE)) / F.lit(2 * HALF_SIDE) * F.lit(float(CELL_MAX))
-    return F.floor(F.least(F.greatest(scaled, F.lit(0.0)), F.lit(float(CELL_MAX)))).cast("bigint")
+    # NULL has no cell; greatest and least alone would skip it.
+    return F.when(scaled.isNotNull(), F.floor(
+        F.least(F.greatest(scaled, F.lit(0.0)), F.lit(float(CELL_MAX)))).cast("bigint"))
 
 
 def _shift(c: Column, by: int) -> Column:

@@ -153,11 +153,13 @@ def _cut_large(segments: np.ndarray) -> Iterator[_Cells]:
     columns = np.arange(int(xs.min() // size), int(xs.max() // size) + 1)
     for cy in range(int(lo.min() // size), int(hi.max() // size) + 1):
         band = segments[(lo <= (cy + 1) * size) & (hi >= cy * size)]
+        right = band[:, [0, 2]].max(axis=1)
         boxes = _boxes(columns, np.full(len(columns), cy), np.full(len(columns), size))
         for cx, box in zip(columns, boxes, strict=True):
             reach = box.copy()
             reach[2] = np.inf
-            mine = band[wkb.segments_meet_box(band, np.tile(reach, (len(band), 1)))]
+            mine = band[right >= cx * size]
+            mine = mine[wkb.segments_meet_box(mine, np.tile(reach, (len(mine), 1)))]
             near = bool(wkb.segments_meet_box(mine, np.tile(box, (len(mine), 1))).any())
             inside = not near and bool(len(mine)) and bool(wkb.points_in_rings(
                 np.array([(cx + 0.5) * size]), np.array([(cy + 0.5) * size]), np.zeros(1, int),

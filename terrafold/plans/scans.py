@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from terrafold.functions import wkb
 from terrafold.operators.layout import read_geo
 from terrafold.plans import inputs as I
 from terrafold.plans.registry import query
 from terrafold.sources import footer, manifest, textual
+from terrafold.sources.filesystem import list_files
 from terrafold.workspace import new_path
 
 # The driver compares at this scale; footers and files have no view to go by.
@@ -77,8 +79,6 @@ SELECT osm_id, part_no, cast(way_area AS varchar) AS way_area, x1::double AS xmi
        x2::double AS xmax, y2::double AS ymax FROM parts""")
 def export_roundtrip(spark, sf):
     """The plain export read back: special floats and geometry bytes survive."""
-    from terrafold.functions import wkb
-
     df = spark.read.parquet(I.staged(spark, sf, "parts")[0])
     area = F.lower(F.col("way_area").cast("string"))
     return df.select("osm_id", "part_no", F.regexp_replace(area, "e(\\d)", "e+0$1").alias("way_area"),
@@ -112,8 +112,6 @@ SELECT name, boundary, admin_level, 'Polygon' AS geometry_type, 1 AS rings, 5 AS
        4e0 * s * s AS area FROM areas""")
 def geojson_scan(spark, sf):
     """A text sequence with record separators scanned into features and polygons."""
-    from terrafold.functions import wkb
-
     path = new_path(spark, "geojsonseq")
     _area_lines(spark, sf).select(F.concat(F.lit(textual.RECORD_SEPARATOR), "line")).write.text(path)
     f = textual.read_geojson_lines(spark, path)
@@ -170,11 +168,7 @@ def manifest_drift(spark, sf):
 SELECT replace(name, '.parquet', '') AS "table", count(*) AS files, sum(size)::bigint AS bytes
 FROM ({_FILES}) f GROUP BY 1""")
 def table_sizes(spark, sf):
-    from terrafold.sources.filesystem import list_files
-
-    files = list_files(spark, sf, "*.parquet").select(
-        F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("size"))
-    return manifest.sizes(files)
+    return manifest.sizes(list_files(spark, sf, "*.parquet").withColumnRenamed("length", "size"))
 
 
 @query("geo_footer", I.with_inputs("points") + """

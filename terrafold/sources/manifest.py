@@ -17,15 +17,16 @@ CHUNK = 1 << 22
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for uri in batch.column(0).to_pylist():
+        for uri in batch.column("path").to_pylist():
             system, path = resolve(uri)
             h = hashlib.md5()
             with system.open_input_stream(path) as f:
                 while chunk := f.read(CHUNK):
                     h.update(chunk)
             found.append(h.hexdigest())
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())],
-                                         names=["path", "length", "digest"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("name"), batch.column("length"), pa.array(found, pa.string())],
+            names=["name", "size", "digest"])
 
 
 def manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -34,12 +35,8 @@ def manifest(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     Files are streamed in chunks where they are listed, so size does not matter
     to memory; one file is one task's work because MD5 runs front to back.
     """
-    files = list_files(spark, root, glob).mapInArrow(
-        _digests, "path string, length bigint, digest string")
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    relative = F.regexp_replace(F.col("path"), r"^[a-z0-9]+:/+", "")
-    return files.select(F.substring(relative, len(base) + 2, 4096).alias("name"),
-                        F.col("length").alias("size"), "digest")
+    return list_files(spark, root, glob).mapInArrow(
+        _digests, "name string, size bigint, digest string")
 
 
 def numbered(files: DataFrame) -> DataFrame:
