@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.operators import spatial
-from terrafold.operators.skew import MIN_ROWS, heavy_keys, join_spread, semi_spread
+from terrafold.operators.skew import TASK_ROWS, heavy_keys, join_spread, semi_spread
 from terrafold.workspace import stored
 
 
@@ -47,14 +47,14 @@ def in_lonlat_box(lon_min, lat_min, lon_max, lat_max) -> Column:
 
 # ---------------------------------------------------------------- whole-way cuts
 
-def whole_ways(source: Elements, inside: DataFrame, min_rows: int = MIN_ROWS) -> Elements:
+def whole_ways(source: Elements, inside: DataFrame, task_rows: int = TASK_ROWS) -> Elements:
     """The cut around the node ids ``inside``, nothing chopped at its border.
 
     A way stays if any of its nodes is inside, and then brings all its nodes. A
     way with no node inside goes, even if it crosses the region. A relation
     stays if one of its node or way members does.
     """
-    heavy = heavy_keys(source.way_refs, ["node_id", "way_id"], min_rows=min_rows)
+    heavy = heavy_keys(source.way_refs, ["node_id", "way_id"], task_rows=task_rows)
     node_ids = inside.select(F.col("id").alias("node_id"))
     touching = semi_spread(source.way_refs.select("way_id", "node_id"), node_ids, "node_id",
                            spread_by=["way_id"], heavy=heavy["node_id"])
@@ -66,7 +66,7 @@ def whole_ways(source: Elements, inside: DataFrame, min_rows: int = MIN_ROWS) ->
     ways = source.ways.join(way_ids.withColumnRenamed("way_id", "id"), "id", "left_semi")
     nodes = source.nodes.join(wanted.withColumnRenamed("node_id", "id"), "id", "left_semi")
     refs = source.member_refs.withColumn("__ref", _typed_ref())
-    heavy = heavy_keys(refs, ["__ref", "rel_id"], min_rows=min_rows)
+    heavy = heavy_keys(refs, ["__ref", "rel_id"], task_rows=task_rows)
     kept = nodes.select(F.lit("n").alias("type"), F.col("id").alias("ref")).union(
         way_ids.select(F.lit("w"), "way_id"))
     hit = semi_spread(refs.where(F.col("type").isin("n", "w")),
@@ -99,10 +99,10 @@ def cut_polygon(source: Elements, polygons: DataFrame, key: str, *, x: Column, y
 
 
 def closure(source: Elements, relations: DataFrame, with_refs: bool = True,
-            min_rows: int = MIN_ROWS) -> Elements:
+            task_rows: int = TASK_ROWS) -> Elements:
     """Relations and, unless left out, the ways and nodes they need to be drawn."""
     refs = semi_spread(source.member_refs, relations.select(F.col("id").alias("rel_id")),
-                       "rel_id", spread_by=["pos", "ref"], min_rows=min_rows)
+                       "rel_id", spread_by=["pos", "ref"], task_rows=task_rows)
     if not with_refs:
         return Elements(source.nodes.limit(0), source.ways.limit(0), relations,
                         source.way_refs.limit(0), refs)
@@ -110,7 +110,7 @@ def closure(source: Elements, relations: DataFrame, with_refs: bool = True,
                      "ways")
     ways = source.ways.join(way_ids, "id", "left_semi")
     way_refs = semi_spread(source.way_refs, way_ids.withColumnRenamed("id", "way_id"), "way_id",
-                           spread_by=["pos", "node_id"], min_rows=min_rows)
+                           spread_by=["pos", "node_id"], task_rows=task_rows)
     node_ids = refs.where(F.col("type") == "n").select(F.col("ref").alias("id")).union(
         way_refs.select(F.col("node_id").alias("id"))).distinct()
     return Elements(source.nodes.join(node_ids, "id", "left_semi"), ways, relations, way_refs,
@@ -198,7 +198,7 @@ def coverage(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
 # ---------------------------------------------------------------- way geometry
 
 def way_points(way_refs: DataFrame, nodes: DataFrame, x: str, y: str,
-               min_rows: int = MIN_ROWS) -> DataFrame:
+               task_rows: int = TASK_ROWS) -> DataFrame:
     """(way_id, points) with the coordinates of every way in node order.
 
     Nodes absent from the snapshot are left out of the line. The list built per
@@ -206,7 +206,7 @@ def way_points(way_refs: DataFrame, nodes: DataFrame, x: str, y: str,
     """
     at = nodes.select(F.col("id").alias("node_id"), F.col(x).cast("double").alias("x"),
                       F.col(y).cast("double").alias("y"))
-    placed = join_spread(way_refs, at, "node_id", spread_by=["way_id", "pos"], min_rows=min_rows)
+    placed = join_spread(way_refs, at, "node_id", spread_by=["way_id", "pos"], task_rows=task_rows)
     rows = placed.groupBy("way_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", "x", "y"))).alias("p"))
     return rows.select("way_id", F.transform(

@@ -32,7 +32,7 @@ def regroup(df: DataFrame, key: str = "osm_id", spread_by: tuple[str, ...] = ("w
         F.struct(F.min("__box.xmin").alias("xmin"), F.min("__box.ymin").alias("ymin"),
                  F.max("__box.xmax").alias("xmax"), F.max("__box.ymax").alias("ymax"))
         .alias("bbox"))
-    chunked = chunk_no(df.where(F.col("way").isNotNull()), [key], list(spread_by), max_parts)
+    chunked = chunk_no(df.where(F.col("way").isNotNull()), key, list(spread_by), max_parts)
     shapes = chunked.groupBy(key, "chunk_no").agg(
         wkb.make_multipolygon(F.sort_array(F.collect_list("way"))).alias("way"))
     return shapes.join(figures, key).select(key, "chunk_no", "n_parts", "area", "bbox", "way")
@@ -40,7 +40,7 @@ def regroup(df: DataFrame, key: str = "osm_id", spread_by: tuple[str, ...] = ("w
 
 def collect_parts(df: DataFrame, key: str, part: str, max_parts: int = MAX_PARTS) -> DataFrame:
     """(key, chunk_no, n_parts, parts): the parts of each key in order."""
-    chunked = chunk_no(df, [key], [part], max_parts)
+    chunked = chunk_no(df, key, [part], max_parts)
     return chunked.groupBy(key, "chunk_no").agg(
         F.count("*").alias("n_parts"), F.sort_array(F.collect_list(part)).alias("parts"))
 

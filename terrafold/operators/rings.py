@@ -9,26 +9,26 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
 from terrafold.operators import spatial
-from terrafold.operators.skew import MIN_ROWS, join_spread
+from terrafold.operators.skew import TASK_ROWS, join_spread
 from terrafold.workspace import stored
 
 
 # ---------------------------------------------------------------- completeness
 
-def _marked(member_ways: DataFrame, ways: DataFrame, min_rows: int) -> DataFrame:
+def _marked(member_ways: DataFrame, ways: DataFrame, task_rows: int) -> DataFrame:
     here = ways.select(F.col("id").alias("ref")).distinct().withColumn("here", F.lit(True))
     return join_spread(member_ways, here, "ref", "left", spread_by=["rel_id", "pos"],
-                       min_rows=min_rows)
+                       task_rows=task_rows)
 
 
 def completeness(member_ways: DataFrame, ways: DataFrame, first: int = 5,
-                 min_rows: int = MIN_ROWS) -> DataFrame:
+                 task_rows: int = TASK_ROWS) -> DataFrame:
     """Per relation: members, members missing, and the first few missing in member order.
 
     The few are cut by a ranking filter, which Spark applies before the shuffle
     as well, so a relation of any size sends only that many rows a task.
     """
-    marked = _marked(member_ways, ways, min_rows)
+    marked = _marked(member_ways, ways, task_rows)
     totals = marked.groupBy("rel_id").agg(
         F.count("*").alias("total"), F.count_if(F.col("here").isNull()).alias("missing"))
     order = Window.partitionBy("rel_id").orderBy("pos", "ref")
@@ -43,7 +43,7 @@ def completeness(member_ways: DataFrame, ways: DataFrame, first: int = 5,
 
 
 def completeness_totals(member_ways: DataFrame, ways: DataFrame,
-                        min_rows: int = MIN_ROWS) -> DataFrame:
+                        task_rows: int = TASK_ROWS) -> DataFrame:
     """One row: distinct member ways present, and distinct member ways wanted."""
     wanted = member_ways.select("ref").distinct()
     here = ways.select(F.col("id").alias("ref")).distinct().withColumn("here", F.lit(True))
@@ -70,10 +70,10 @@ def way_ends(way_refs: DataFrame) -> DataFrame:
 
 
 def member_edges(member_ways: DataFrame, way_refs: DataFrame,
-                 min_rows: int = MIN_ROWS) -> DataFrame:
+                 task_rows: int = TASK_ROWS) -> DataFrame:
     """(rel_id, way_id, role, first, last) of the member ways that are present."""
     ends = way_ends(way_refs).withColumnRenamed("way_id", "ref")
-    joined = join_spread(member_ways, ends, "ref", spread_by=["rel_id", "pos"], min_rows=min_rows)
+    joined = join_spread(member_ways, ends, "ref", spread_by=["rel_id", "pos"], task_rows=task_rows)
     return joined.groupBy("rel_id", F.col("ref").alias("way_id")).agg(
         F.min("role").alias("role"), F.min("first").alias("first"), F.min("last").alias("last"))
 
@@ -144,7 +144,7 @@ def ordered_rings(edges: DataFrame) -> DataFrame:
     return placed.union(alone)
 
 
-def assemble(edges: DataFrame, way_points: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+def assemble(edges: DataFrame, way_points: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
     """(rel_id, ring, role, ways, points): closed rings with their coordinates.
 
     The list per ring is its geometry, one value of the output row.
@@ -153,7 +153,7 @@ def assemble(edges: DataFrame, way_points: DataFrame, min_rows: int = MIN_ROWS)
     placed = ordered_rings(edges)
     roles = edges.select("rel_id", "way_id", "role")
     ways = join_spread(placed.join(roles, ["rel_id", "way_id"]), way_points, "way_id",
-                       spread_by=["rel_id", "ring"], min_rows=min_rows)
+                       spread_by=["rel_id", "ring"], task_rows=task_rows)
     run = F.when(F.col("dir") == 0, F.col("points")).otherwise(F.reverse("points"))
     # Each way gives all its points but the last, which the next way begins with.
     ways = ways.withColumn("run", F.slice(run, F.lit(1), F.size("points") - 1))

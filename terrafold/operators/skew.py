@@ -1,10 +1,11 @@
 """Equi-joins that stay even when one key holds a large share of the rows.
 
-The keys worth splitting are found by a mergeable frequent-items sketch (one
-scan of the key column, no shuffle by key), so there are at most 1/min_share
-of them, whatever the table size. Their rows are spread over salts on the many
-side and repeated per salt on the other side; all other keys join as usual.
-The sketch only decides the plan: every row still meets every partner.
+The keys worth splitting are found by a mergeable frequent-items sketch: one
+scan of the key columns, merged in two steps, no shuffle by key. Their rows are
+spread over salts on the many side, as many as keep a task at TASK_ROWS, and
+repeated per salt on the other side; all other keys join as usual. The sketch
+only decides the plan: every row still meets every partner. What it cannot be
+sure to see (keys under about one row in 6,000) is left to the adaptive join.
 """
 
 from __future__ import annotations
@@ -15,36 +16,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key below this share of the rows is left to Spark's adaptive join.
-MIN_SHARE = 0.002
-# Below this many rows a key fits one task whatever its share.
-MIN_ROWS = 2_000_000
+# A key with more rows than this is split into salts of this size.
+TASK_ROWS = 2_000_000
+# Heavy keys per column at most, and counters a sketch keeps to find them.
+MAX_HEAVY, TRACKED = 2_000, 8_192
+# Sketches are merged in this many tasks before the last one sees them.
+MERGE_TASKS = 64
 
 _SALT = "__salt"
 _SALTS = "__salts"
 
-
 Heavy = list[tuple[object, int]]
 
 
-def heavy_keys(df: DataFrame, keys: list[str], min_share: float = MIN_SHARE,
-               min_rows: int = MIN_ROWS) -> dict[str, Heavy]:
-    """Per key column, (key, number of salts) for keys over ``min_share``.
+def heavy_keys(df: DataFrame, keys: list[str], task_rows: int = TASK_ROWS) -> dict[str, Heavy]:
+    """Per key column, (key, number of salts) for keys over ``task_rows`` rows.
 
-    One pass over the key columns alone; at most 1/min_share keys a column.
+    At most MAX_HEAVY keys a column, whatever the table size.
     """
-    limit = math.ceil(1 / min_share)
-    tracked = 1 << math.ceil(math.log2(8 * limit))
-    row = df.agg(F.count("*").alias("__n"), *[
-        F.expr(f"approx_top_k(`{k}`, {limit}, {tracked})").alias(k) for k in keys]).first()
-    floor = max(min_share * row["__n"], min_rows)
-    return {k: [(item["item"], math.ceil(item["count"] / floor)) for item in row[k] or []
-                if item["item"] is not None and item["count"] > floor] for k in keys}
+    parts = df.select(*[F.col(f"`{k}`") for k in keys],
+                      (F.spark_partition_id() % MERGE_TASKS).alias("__part"))
+    merged = parts.groupBy("__part").agg(*[
+        F.expr(f"approx_top_k_accumulate(`{k}`, {TRACKED})").alias(k) for k in keys])
+    row = merged.agg(*[F.expr(
+        f"approx_top_k_estimate(approx_top_k_combine(`{k}`, {TRACKED}), {MAX_HEAVY})").alias(k)
+        for k in keys]).first()
+    return {k: [(item["item"], math.ceil(item["count"] / task_rows)) for item in row[k] or []
+                if item["item"] is not None and item["count"] > task_rows] for k in keys}
 
 
 def join_spread(many: DataFrame, few: DataFrame, key: str, how: str = "inner", *,
                 spread_by: list[str], heavy: Heavy | None = None,
-                min_share: float = MIN_SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
+                task_rows: int = TASK_ROWS) -> DataFrame:
     """``many.join(few, key, how)`` with the heavy keys of ``many`` salted.
 
     ``how`` is inner, left, left_semi or left_anti. ``spread_by`` names columns
@@ -54,13 +57,13 @@ def join_spread(many: DataFrame, few: DataFrame, key: str, how: str = "inner", *
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot salt a {how} join")
     if heavy is None:
-        heavy = heavy_keys(many, [key], min_share, min_rows)[key]
+        heavy = heavy_keys(many, [key], task_rows)[key]
     if not heavy:
         return many.join(few, key, how)
     spark = many.sparkSession
     schema = T.StructType([T.StructField(key, many.schema[key].dataType),
                            T.StructField(_SALTS, T.IntegerType())])
-    # At most 1/min_share rows, so the broadcast is bounded by construction.
+    # At most MAX_HEAVY rows, so the broadcast is bounded by construction.
     salts = F.broadcast(spark.createDataFrame(heavy, schema))
     columns = many.columns
     salt = F.coalesce(F.pmod(_hash(spread_by), F.col(_SALTS).cast("bigint")).cast("int"),
@@ -83,18 +86,17 @@ def semi_spread(many: DataFrame, keys: DataFrame, key: str, **kw) -> DataFrame:
     return join_spread(many, keys.select(key).distinct(), key, "left_semi", **kw)
 
 
-def chunk_no(df: DataFrame, by: list[str], spread_by: list[str], max_rows: int) -> DataFrame:
+def chunk_no(df: DataFrame, key: str, spread_by: list[str], max_rows: int,
+             task_rows: int = TASK_ROWS) -> DataFrame:
     """Number the rows of each group into chunks of about ``max_rows``.
 
     Groups below ``max_rows`` keep chunk 0. A larger group is cut by the hash
     of ``spread_by`` into as many chunks as its size asks for, so that no list
     built per (group, chunk) outgrows a task. The row counts come from one
-    pre-aggregated pass; the broadcast holds only groups above ``max_rows``, so
-    it has fewer than rows / max_rows entries.
+    pre-aggregated pass.
     """
-    sizes = (df.groupBy(*by).agg(F.count("*").alias("__n"))
-             .where(F.col("__n") > max_rows)
-             .select(*by, F.ceil(F.col("__n") / max_rows).alias("__chunks")))
+    sizes = (df.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > max_rows)
+             .select(key, F.ceil(F.col("__n") / max_rows).alias("__chunks")))
     cut = F.pmod(_hash(spread_by), F.col("__chunks"))
-    return (df.join(F.broadcast(sizes), by, "left")
+    return (join_spread(df, sizes, key, "left", spread_by=spread_by, task_rows=task_rows)
             .withColumn("chunk_no", F.coalesce(cut, F.lit(0)).cast("int")).drop("__chunks"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
-from terrafold.operators.skew import MIN_ROWS, join_spread
+from terrafold.operators.skew import TASK_ROWS, join_spread
 
 # Cell sizes are powers of two metres; 16 m the smallest, 2^26 m the largest.
 MIN_LEVEL, MAX_LEVEL = 4, 26
@@ -253,7 +253,7 @@ def _strictly_within(x: Column, y: Column, segments: Column) -> Column:
 
 def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Column,
            spread_by: list[str], way: str = "way", broadcast_bytes: int = BROADCAST_BYTES,
-           min_rows: int = MIN_ROWS) -> DataFrame:
+           task_rows: int = TASK_ROWS) -> DataFrame:
     """Point columns and the key of each polygon strictly containing the point.
 
     Points on an edge are in no polygon. A polygon covers at most
@@ -278,7 +278,7 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
     if (size["bytes"] or 0) <= broadcast_bytes:
         near = located.join(F.broadcast(cells), "cell")
     else:
-        near = join_spread(located, cells, "cell", spread_by=spread_by, min_rows=min_rows)
+        near = join_spread(located, cells, "cell", spread_by=spread_by, task_rows=task_rows)
     exact = F.col("inside") | _strictly_within(F.col("__x"), F.col("__y"), F.col("segments"))
     return near.where(exact).select(*[F.col(f"`{c}`") for c in points.columns], key)
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import shutil
+import io
 import tempfile
 import uuid
+import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrafold.sources.filesystem import resolve
+
 _ROOTS: dict[str, str] = {}
 _ATTACHED: set[str] = set()
 
@@ -16,15 +19,22 @@ _ATTACHED: set[str] = set()
 def attach(spark: SparkSession) -> None:
     """Send this package to the executors, once an application.
 
-    Spark's own file distribution carries the archive; the driver only packs it.
+    The archive lies in the shared folder and Spark's own file distribution carries it.
     """
     app = spark.sparkContext.applicationId
     if app in _ATTACHED:
         return
     package = Path(__file__).resolve().parent
-    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='terrafold-code-')}/terrafold", "zip",
-                                  package.parent, package.name)
-    spark.sparkContext.addPyFile(archive)
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    uri = f"{shared_folder(spark)}/terrafold.zip"
+    system, path = resolve(uri)
+    system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    with system.open_output_stream(path) as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(uri)
     _ATTACHED.add(app)
 
 

@@ -24,9 +24,9 @@ def ids(df):
     return sorted(r["id"] for r in df.select("id").collect())
 
 
-@pytest.mark.parametrize("min_rows", [0, 10**6])
-def test_whole_ways_cut(spark, min_rows):
-    cut = elements.cut_box(snapshot(spark), 0.0, 0.0, 1.0, 1.0, min_rows=min_rows)
+@pytest.mark.parametrize("task_rows", [1, 10**6])
+def test_whole_ways_cut(spark, task_rows):
+    cut = elements.cut_box(snapshot(spark), 0.0, 0.0, 1.0, 1.0, task_rows=task_rows)
     assert ids(cut.ways) == [1, 4]           # 2 has no node inside
     assert ids(cut.nodes) == [1, 2, 6]       # 2 comes with way 1; 99 is not in the snapshot
     assert ids(cut.relations) == [10, 12]
@@ -80,8 +80,8 @@ def test_completeness_names_the_first_missing_in_member_order(spark):
         [(1, p, r) for p, r in enumerate([50, 9, 8, 7, 6, 5, 4, 3])] + [(2, 0, 50)],
         "rel_id bigint, pos int, ref bigint")
     ways = spark.createDataFrame([(50,)], "id bigint")
-    for min_rows in (0, 10**6):
-        got = {r["rel_id"]: r for r in rings.completeness(members, ways, min_rows=min_rows).collect()}
+    for task_rows in (1, 10**6):
+        got = {r["rel_id"]: r for r in rings.completeness(members, ways, task_rows=task_rows).collect()}
         assert (got[1]["missing"], got[1]["total"], got[1]["first_missing"]) == (7, 8, "9,8,7,6,5")
         assert (got[2]["missing"], got[2]["first_missing"]) == (0, "")
     totals = rings.completeness_totals(members, ways).first()
