@@ -193,7 +193,7 @@ def _cut_batch(segments: np.ndarray, first: np.ndarray, counts: np.ndarray) -> I
 
 
 def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
-    """(key, level, cell, inside, segments) for every polygon."""
+    """(key, level, cx, cy, cell, inside, segments) for every polygon."""
     schema = (f"`{key}` {polygons.schema[key].dataType.simpleString()}, level int, cx bigint, "
               "cy bigint, inside boolean, "
               "segments array<struct<x1:double,y1:double,x2:double,y2:double>>")
@@ -221,7 +221,7 @@ def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
                     names=[key, "level", "cx", "cy", "inside", "segments"])
 
     cells = polygons.select(key, way).where(F.col(way).isNotNull()).mapInArrow(cut, schema)
-    return cells.select(key, "level", _cell(F.col("level"), F.col("cx"), F.col("cy"))
+    return cells.select(key, "level", "cx", "cy", _cell(F.col("level"), F.col("cx"), F.col("cy"))
                         .alias("cell"), "inside", "segments")
 
 
@@ -262,19 +262,24 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
     sides are shuffled by cell with crowded cells salted.
     """
     cells = polygon_cells(polygons, key, way).persist()
+    side = F.pow(F.lit(2.0), F.col("level"))
     size = cells.agg(
         F.sum(F.lit(48) + F.size("segments") * 48).alias("bytes"),
-        F.collect_set("level").alias("levels")).first()  # at most 23 levels exist
+        F.collect_set("level").alias("levels"),  # at most 23 levels exist
+        F.min(F.col("cx") * side).alias("xmin"), F.max((F.col("cx") + 1) * side).alias("xmax"),
+        F.min(F.col("cy") * side).alias("ymin"), F.max((F.col("cy") + 1) * side).alias("ymax"),
+    ).first()
     levels = sorted(size["levels"])
     if not levels:
         return points.withColumn(key, F.lit(None).cast(polygons.schema[key].dataType)).limit(0)
-    reach = F.lit(float(_AXIS_HALF << MIN_LEVEL) - 1)
     at = F.array(*[_cell(n, F.floor(F.col("__x") / float(1 << n)),
                          F.floor(F.col("__y") / float(1 << n))) for n in levels])
+    # Where x and y are covering columns, these bounds reach the Parquet footer.
     located = (points.withColumn("__x", x).withColumn("__y", y)
-               .where((F.abs("__x") < reach) & (F.abs("__y") < reach))
+               .where(F.col("__x").between(size["xmin"], size["xmax"])
+                      & F.col("__y").between(size["ymin"], size["ymax"]))
                .withColumn("cell", F.explode(at)))
-    cells = cells.drop("level")
+    cells = cells.drop("level", "cx", "cy")
     if (size["bytes"] or 0) <= broadcast_bytes:
         near = located.join(F.broadcast(cells), "cell")
     else:
