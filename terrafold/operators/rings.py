@@ -94,8 +94,16 @@ def ring_closure(edges: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- assembly
 
 def _half(way: Column, direction: Column) -> Column:
-    """A way in a travel direction; 0 runs first to last node."""
-    return F.struct(way.alias("way"), direction.cast("int").alias("dir"))
+    """A way in a travel direction as one number; direction 0 runs first to last node."""
+    return F.shiftleft(way.cast("bigint"), 1) + direction
+
+
+def _way(half: Column) -> Column:
+    return F.shiftright(half, 1)
+
+
+def _direction(half: Column) -> Column:
+    return half.bitwiseAND(F.lit(1)).cast("int")
 
 
 def ordered_rings(edges: DataFrame) -> DataFrame:
@@ -135,8 +143,9 @@ def ordered_rings(edges: DataFrame) -> DataFrame:
             F.when(lower, F.col("low2")).otherwise(F.col("low")).alias("low"),
             F.when(lower, F.col("ahead2") + (1 << k)).otherwise(F.col("ahead")).alias("ahead"))
     # Both travel directions were followed; keep the one that takes the smallest way forward.
-    kept = state.where(F.col("low.dir") == 0).select(
-        "rel_id", F.col("low.way").alias("ring"), "ahead", F.col("h.way").alias("way_id"), "h.dir")
+    kept = state.where(_direction(F.col("low")) == 0).select(
+        "rel_id", _way(F.col("low")).alias("ring"), "ahead", _way(F.col("h")).alias("way_id"),
+        _direction(F.col("h")).alias("dir"))
     size = kept.groupBy("rel_id", "ring").agg(F.count("*").alias("n"))
     placed = kept.join(size, ["rel_id", "ring"]).select(
         "rel_id", "ring", F.pmod(F.col("n") - F.col("ahead"), F.col("n")).alias("pos"),

@@ -13,7 +13,8 @@ def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]").appName("terrafold-tests")
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "8g")
-               .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.default.parallelism", "4")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .getOrCreate())
