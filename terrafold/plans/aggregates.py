@@ -216,16 +216,16 @@ def _edges(spark, sf):
 
 @query("ring_closure", """
 SELECT c_custkey + 1 AS rel_id,
-  4 - (CASE WHEN c_custkey % 50 = 7 THEN 1 ELSE 0 END) + (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END)
-    + (CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END) AS ways,
-  CASE WHEN c_custkey % 50 = 7 THEN 2 ELSE 0 END AS open_ends, 0 AS branches,
+  (4 - (CASE WHEN c_custkey % 50 = 7 THEN 1 ELSE 0 END) + (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END)
+    + (CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END))::bigint AS ways,
+  (CASE WHEN c_custkey % 50 = 7 THEN 2 ELSE 0 END)::bigint AS open_ends, 0::bigint AS branches,
   c_custkey % 50 <> 7 AS closed FROM customer""")
 def ring_closure(spark, sf):
     return rings.ring_closure(_edges(spark, sf))
 
 
 @query("ring_assembly", I.with_inputs("ring_members") + """
-SELECT rel_id, ref AS ring, role, CASE WHEN k = 0 THEN 4 ELSE 1 END AS ways,
+SELECT rel_id, ref AS ring, role, (CASE WHEN k = 0 THEN 4 ELSE 1 END)::bigint AS ways,
   CASE WHEN k = 0 THEN 9 ELSE 5 END AS points,
   CASE k WHEN 0 THEN 4e0 * s * s WHEN 4 THEN 100e0 ELSE 400e0 END AS area
 FROM ring_members WHERE k IN (4, 5) OR (k = 0 AND c % 50 <> 7)""")

@@ -52,7 +52,7 @@ def ordered_limit(spark, sf):
 
     top = I.table(spark, sf, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
     w = Window.orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return top.select("o_orderkey", "o_totalprice", F.row_number().over(w).alias("pos"))
+    return top.select("o_orderkey", "o_totalprice", F.row_number().over(w).cast("bigint").alias("pos"))
 
 
 @query("order_violations", """
@@ -111,6 +111,7 @@ def verify_tampered(spark, sf):
     """Which checks notice which change to the laid-out parts."""
     plain, laid = I.staged(spark, sf, "parts")
     geo = layout.read_geo(spark, laid).agg(F.max("geo")).first()[0]
+    partitions = layout.partitions_for(footer.chunks(spark, laid))
     base = spark.read.parquet(laid)
     box = F.col("bbox")
     shifted = F.struct((box["xmin"] + 1).alias("xmin"), box["ymin"].alias("ymin"),
@@ -124,7 +125,8 @@ def verify_tampered(spark, sf):
     out = None
     for name, df in changes.items():
         path = new_path(spark, "tampered")
-        layout.write_ordered(df, path, geo, I.ROWS_PER_GROUP, reverse=name == "rows reversed")
+        layout.write_ordered(df, path, geo, I.ROWS_PER_GROUP, partitions,
+                             reverse=name == "rows reversed")
         checks = layout.verify(spark, plain, path, rows_per_group=I.ROWS_PER_GROUP).agg(
             F.array_join(F.sort_array(F.collect_set("check")), ",").alias("checks"))
         row = checks.select(F.lit(name).alias("change"), "checks")
