@@ -67,4 +67,14 @@ def stored(df: DataFrame, name: str = "step") -> DataFrame:
     """
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["stored_at"] = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote for this very DataFrame; nothing may read it any more."""
+    path = df.__dict__.pop("stored_at", None)
+    if path is not None:
+        system, root = resolve(path)
+        system.delete_dir(root)
