@@ -79,7 +79,8 @@ def _proposed(rows: DataFrame) -> DataFrame:
                         (F.spark_partition_id() % MERGE_GROUPS).alias("part"))
     summaries = parts.groupBy("part").agg(
         F.expr(f"approx_top_k_accumulate(item, {TRACKED})").alias("summary"))
-    merged = summaries.agg(F.expr(
+    # Grouped, so that partitions without a summary add no empty one.
+    merged = summaries.groupBy(F.lit(0).alias("all")).agg(F.expr(
         f"approx_top_k_estimate(approx_top_k_combine(summary, {TRACKED}), {HOT_SHARE})")
         .alias("top"))
     return merged.select(F.explode("top").alias("top")).select(
