@@ -7,13 +7,21 @@ import importlib.util
 from terrafold.llm import (
     decontaminate,
     exact_dedup,
+    language_id,
+    packing,
     simhash,
+    token_counts,
+    token_store,
 )
 from terrafold.workspace import attach
 
 _QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op4_packing": packing.op4_packing,
+    "op5_language_id": language_id.op5_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_token_store": token_store.op7_token_store,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op9_simhash": simhash.op9_simhash,
 }
 _ORACLES = {
