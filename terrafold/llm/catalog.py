@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib.util
 
 from terrafold.llm import (
+    chat,
     decontaminate,
     exact_dedup,
     language_id,
@@ -12,11 +13,14 @@ from terrafold.llm import (
     simhash,
     token_counts,
     token_store,
+    warc,
 )
 from terrafold.workspace import attach
 
 _QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_chat": chat.op2_chat,
+    "op3_warc": warc.op3_warc,
     "op4_packing": packing.op4_packing,
     "op5_language_id": language_id.op5_language_id,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
@@ -26,6 +30,7 @@ _QUERIES = {
 }
 _ORACLES = {
     "op1_decontaminate": decontaminate.OP1_SQL,
+    "op3_warc": warc.OP3_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
 }
 
