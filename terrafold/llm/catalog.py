@@ -9,6 +9,7 @@ from terrafold.llm import (
     decontaminate,
     exact_dedup,
     language_id,
+    lm_scoring,
     packing,
     simhash,
     token_counts,
@@ -27,6 +28,7 @@ _QUERIES = {
     "op7_token_store": token_store.op7_token_store,
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_simhash": simhash.op9_simhash,
+    "op10_lm_score": lm_scoring.op10_lm_score,
 }
 _ORACLES = {
     "op1_decontaminate": decontaminate.OP1_SQL,

@@ -24,8 +24,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import column_of, join_spread, table, text_of
+from terrafold.llm.common import column_of, digest_of, join_spread, slices, table, text_of
 from terrafold.llm.components import components
+from terrafold.llm.token_store import raw_texts
 from terrafold.workspace import stored
 
 SHINGLE_WORDS = 3
@@ -68,18 +69,19 @@ def fingerprint_of(raw: bytes, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp, the fingerprint, of each row; null counts as the empty text."""
+    """doc_id, digest of the text, fp, the fingerprint, of each row; null is the empty text."""
     def run(batches):
         for batch in batches:
             texts = column_of(batch, "text")
+            found = [fingerprint_of(raw, words) for a, b in slices(texts)
+                     for raw in raw_texts(texts.slice(a, b - a))]
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "doc_id"),
-                 pa.array([fingerprint_of(t.as_buffer().to_pybytes(), words) for t in texts],
-                          pa.int64())], ["doc_id", "fp"])
+                [column_of(batch, "doc_id"), column_of(batch, "digest"),
+                 pa.array(found, pa.int64())], ["doc_id", "digest", "fp"])
 
-    rows = docs.select("doc_id", text_of().alias("text"))
+    rows = docs.select("doc_id", digest_of().alias("digest"), text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest binary, fp bigint")
 
 
 def _high(fp: Column) -> Column:
@@ -137,7 +139,9 @@ def _verified(pairs: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, crowd: int = CROWD) -> DataFrame:
-    """doc_id, fp, component_id per row: the smallest doc_id reachable over links.
+    """doc_id, digest, fp, root, component_id per row: the smallest doc_id reachable over links.
+
+    ``root`` is the group's smallest fingerprint, which names it too.
 
     Texts without words have fingerprint zero and are linked like any other.
     Rows with a null doc_id belong to their group but never name it, unless all
@@ -155,8 +159,31 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, crowd: int = CROWD)
     named = stored(named, "named")
     least = stored(least, "least")
     by_print = stored(join_spread(named, least, "root", "n_prints", "inner")
-                      .select("fp", "component_id", "n"), "by_print")
-    return join_spread(rows, by_print, "fp", "n", "inner").select("doc_id", "fp", "component_id")
+                      .select("fp", "root", "component_id", "n"), "by_print")
+    return join_spread(rows, by_print, "fp", "n", "inner").select(
+        "doc_id", "digest", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each group, all its columns: that of the smallest doc_id.
+
+    Null ids come last, ties go to the smallest text digest. Rows alike in id and
+    text are one document; they stay or go together.
+    """
+    grouped = stored(near_groups(docs, words), "grouped")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    first = stored(grouped.groupBy("root").agg(F.min(place).alias("first"),
+                                               F.count("*").alias("n")), "first")
+    dropped = stored(
+        join_spread(grouped, first, "root", "n", "inner")
+        .where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+                 & (F.col("digest") == F.col("first.digest"))))
+        .select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct(),
+        "dropped")
+    rows = docs.select(F.col("doc_id").alias("id"), digest_of().alias("digest"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(dropped, rows["id"].eqNullSafe(dropped["__id"])
+                     & (rows["digest"] == dropped["__digest"]), "left_anti").select("row.*")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
