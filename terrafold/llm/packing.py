@@ -52,13 +52,21 @@ def deal(totals: np.ndarray, sizes: list[int], shares: np.ndarray | None = None)
     totals' own proportions by default. A queue never pays more than it holds.
     """
     left = totals.copy()
-    share = totals / max(1, totals.sum()) if shares is None else shares
+    target = totals / max(1, totals.sum()) if shares is None else shares
     deficit = np.zeros(len(totals))
     out = np.zeros((len(sizes), len(totals)), np.int64)
     for i, size in enumerate(sizes[:-1]):
-        credit = deficit + share * size
+        share = _open_shares(target, left)
+        credit = np.where(left > 0, deficit + share * size, 0)
         take = np.minimum(np.maximum(np.floor(credit), 0), left).astype(np.int64)
         short = size - int(take.sum())
+        while short > len(totals):  # a queue ran out: the others share what it leaves
+            room = left - take
+            more = np.minimum(np.floor(_open_shares(target, room) * short), room).astype(np.int64)
+            if not more.any():
+                break
+            take += more
+            short -= int(more.sum())
         while short:
             behind = np.argsort(take - credit if short > 0 else credit - take, kind="stable")
             able = behind[(left - take if short > 0 else take)[behind] > 0][:abs(short)]
@@ -71,6 +79,12 @@ def deal(totals: np.ndarray, sizes: list[int], shares: np.ndarray | None = None)
     return out
 
 
+def _open_shares(target: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The targets of the queues that still hold tokens, in proportion."""
+    share = np.where(left > 0, target, 0)
+    return share / share.sum() if share.sum() > 0 else left / max(1, left.sum())
+
+
 class Plan:
     """Which place of which window each token of each queue has."""
 
@@ -95,7 +109,7 @@ class Plan:
         size = FAN ** (level - 1) * self.length
         full, rest = divmod(int(totals.sum()), size)
         sizes = [size] * full + ([rest] if rest else [])
-        dealt = deal(totals, sizes, self.shares if level == self.height else None)
+        dealt = deal(totals, sizes, self.shares)
         bounds = np.zeros((len(sizes) + 1, len(totals)), np.int64)
         np.cumsum(dealt, axis=0, out=bounds[1:])
         found = self.spans[key] = (bounds.T.tolist(), dealt, np.cumsum(dealt, axis=1) - dealt)

@@ -18,12 +18,14 @@ from each other and composed in a parallel prefix scan, level by level.
 from __future__ import annotations
 
 import json
+from unicodedata import category, normalize
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from terrafold.llm.common import column_of, digest_of, slices, table, text_of
 from terrafold.llm.token_store import raw_texts
@@ -208,26 +210,42 @@ class Counter(Remembered):
         added = sorted((t["content"] for t in plan["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, added)))
         self.words: dict[str, int] = {}
+        self.plan = Tokenizer.from_file(vocabulary_path(name))
+        self.classes: dict[str, str] = {}
 
     def learn(self, need: set[bytes]) -> None:
         for run in need:
             self.known[run] = self.count_run(run.decode("utf-8", "replace"))
 
     def count_run(self, run: str) -> int:
-        from unicodedata import normalize
-
         if "<|" in run:
             parts = self.special.split(run)
             return len(parts) - 1 + sum(map(self.count_plain, parts))
-        return self.count_plain(run if run.isascii() else normalize("NFC", run))
+        return self.count_plain(run)
 
     def count_plain(self, run: str) -> int:
-        from unicodedata import normalize
+        if run.isascii():
+            return sum(map(self.count_word, self.word.findall(run.lower())))
+        if any(category(c) == "Cn" for c in run):
+            # Editions of the standard differ in these; the tokenizer's own decides.
+            lower = self.plan.normalizer.normalize_str(run)
+        else:
+            # Letter by letter: the tokenizer's lower case knows no context.
+            lower = "".join(c.lower() for c in normalize("NFC", run))
+        shown = "".join(self.stand_in(c) if category(c) == "Cn" else c for c in lower)
+        return sum(self.count_word(lower[m.start():m.end()]) for m in self.word.finditer(shown))
+
+    def stand_in(self, char: str) -> str:
+        """For a character that editions of the standard class differently: one of its class.
+
+        The tokenizer's own cutting decides, once a character.
+        """
+        if char not in self.classes:
+            def joins(other: str) -> bool:
+                return len(self.plan.pre_tokenizer.pre_tokenize_str(other + char)) == 1
 
-        # Letter by letter: the tokenizer's lower case knows no context.
-        lower = run.lower() if run.isascii() else "".join(
-            c.lower() for c in normalize("NFC", run))
-        return sum(map(self.count_word, self.word.findall(lower)))
+            self.classes[char] = "a" if joins("a") else "!" if joins("!") else "1"
+        return self.classes[char]
 
     def count_word(self, word: str) -> int:
         found = self.words.get(word)

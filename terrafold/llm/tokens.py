@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from itertools import chain, islice
+from unicodedata import normalize
 
 import numpy as np
 
@@ -23,6 +24,14 @@ TAIL = b".,;:!?"
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether the last character is a letter, and still ends in one when normalised."""
+    if word[-1] < 0x80:
+        return word[-1:].isalpha()
+    last = normalize("NFC", word.decode("utf-8", "replace")[-1]).lower()
+    return last[-1].isalpha()
+
+
 def vocabulary_path(name: str) -> str:
     """The file of a public vocabulary; a path that exists stands for itself."""
     if os.path.exists(name):
@@ -80,8 +89,7 @@ class Encoder(Remembered):
         known, cut, plain = self.known, [], set()
         for run in need:
             word = run.rstrip(TAIL)
-            if len(word) < len(run) and word and word.decode("utf-8", "replace")[-1].isalpha() \
-                    and b"<|" not in run:
+            if len(word) < len(run) and word and b"<|" not in run and _ends_in_letter(word):
                 cut.append((run, word, run[len(word):]))
                 plain.update((word, run[len(word):]))
             else:
