@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 # HOT_SHARE such keys whatever the table's size, which bounds their broadcast.
 HOT_SHARE = 1024
 # Texts are handed to Python code in slices of about this many bytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

@@ -25,25 +25,26 @@ SHARES = 64
 HELD_OUT, FOLDS = 0, 5
 UNKNOWN = "und"
 
-# Characters are packed 21 bits each, the last one lowest; 0 is the border of a word.
-_BITS = 21
+# Characters are packed 21 bits each, the last one lowest; 1 is the border of a word,
+# so that a border and a letter are not the letter alone.
+_BITS, _BORDER = 21, 1
 
 
 def codes_of(text: str) -> np.ndarray:
-    """Letters of the lower-cased text as code points, runs of other characters as one 0."""
+    """Letters of the lower-cased text as code points, runs of other characters as one border."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
     kinds, where = np.unique(points, return_inverse=True)
     letter = np.array([chr(p).isalpha() for p in kinds.tolist()], bool)[where]
-    codes = np.where(letter, points, 0).astype(np.uint64)
+    codes = np.where(letter, points, _BORDER).astype(np.uint64)
     if not letter.any():
         return codes[:0]
-    codes = np.concatenate(([np.uint64(0)], codes, [np.uint64(0)]))
-    return codes[(codes > 0) | np.concatenate(([True], codes[:-1] > 0))]
+    codes = np.concatenate(([np.uint64(_BORDER)], codes, [np.uint64(_BORDER)]))
+    return codes[(codes > _BORDER) | np.concatenate(([True], codes[:-1] > _BORDER))]
 
 
 def grams_of(codes: np.ndarray, longest: int = LONGEST) -> np.ndarray:
     """All n-grams of a code row, but those of borders alone."""
-    out, now = [codes[codes > 0]], codes
+    out, now = [codes[codes > _BORDER]], codes
     for n in range(2, longest + 1):
         if len(codes) < n:
             break

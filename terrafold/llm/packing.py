@@ -41,8 +41,8 @@ QUEUES = 1000
 FAN = 64
 # (queue, part) bases up to this many rows are broadcast, more are shuffled.
 BROADCAST_ROWS = 1_000_000
-# Spans whose rounds a task remembers.
-SPANS = 512
+# Spans whose rounds a task remembers, and documents it cuts at once.
+SPANS, AT_ONCE = 512, 256
 
 
 def deal(totals: np.ndarray, sizes: list[int], shares: np.ndarray | None = None) -> np.ndarray:
@@ -214,23 +214,19 @@ def _targets(slots: dict[str, int], held: list[int], shares: dict[str, float] |
 def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
     def run(batches):
         plan = Plan(held, length, target)
-        for batch in batches:
-            out = []
-            for i, (queue, slot, place, packed) in enumerate(zip(
-                    column_of(batch, "queue").to_pylist(), column_of(batch, "slot").to_pylist(),
-                    column_of(batch, "place").to_pylist(), packed_of(column_of(batch, "ids")))):
-                n = len(packed) // 4
-                for start, size, window, offset in plan.pieces(slot, place, n):
-                    ids = packed[4 * start:4 * (start + size)]
-                    out.append((i, start, size, zlib.crc32(ids), n, window, offset, queue, ids))
-            for at in range(0, len(out), 10_000):
-                i, start, size, crc, n, window, offset, queue, ids = zip(*out[at:at + 10_000])
-                yield pa.RecordBatch.from_arrays(
-                    [column_of(batch, "doc_id").take(pa.array(i)),
-                     *[pa.array(x, pa.int64()) for x in (start, size, crc, n, window, offset)],
-                     pa.array(queue, pa.string()), ids_column(list(ids))],
-                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
-                     "offset", "source_queue", "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, AT_ONCE):
+                batch, out = whole.slice(at, AT_ONCE), []
+                for i, (queue, slot, place, packed) in enumerate(zip(
+                        *[column_of(batch, c).to_pylist() for c in ("queue", "slot", "place")],
+                        packed_of(column_of(batch, "ids")))):
+                    n = len(packed) // 4
+                    for start, size, window, offset in plan.pieces(slot, place, n):
+                        ids = packed[4 * start:4 * (start + size)]
+                        out.append((i, start, size, zlib.crc32(ids), n, window, offset, queue,
+                                    ids))
+                if out:
+                    yield _batch(batch, out)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
@@ -238,6 +234,16 @@ def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
              "sequence_id bigint, offset bigint, source_queue string, ids array<int>")
 
 
+def _batch(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
+    i, start, size, crc, n, window, offset, queue, ids = zip(*out)
+    return pa.RecordBatch.from_arrays(
+        [column_of(batch, "doc_id").take(pa.array(i)),
+         *[pa.array(x, pa.int64()) for x in (start, size, crc, n, window, offset)],
+         pa.array(queue, pa.string()), ids_column(list(ids))],
+        ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
+         "source_queue", "ids"])
+
+
 def op4_packing(spark, sf_dir: str) -> DataFrame:
     """The pieces of all documents, without their ids."""
     return pack(table(spark, sf_dir, "documents")).drop("ids")

@@ -29,7 +29,14 @@ from tokenizers import Tokenizer
 
 from terrafold.llm.common import column_of, digest_of, slices, table, text_of
 from terrafold.llm.token_store import raw_texts
-from terrafold.llm.tokens import REMEMBERED, WORD_VOCABULARY, Remembered, vocabulary_path
+from terrafold.llm.tokens import (
+    REMEMBERED,
+    WORD_VOCABULARY,
+    Remembered,
+    byte_letters,
+    runs_of,
+    vocabulary_path,
+)
 from terrafold.workspace import stored
 
 LIMIT = 2048
@@ -182,17 +189,6 @@ class Transducer:
         return total
 
 
-def byte_letters() -> list[str]:
-    """The printable letter that stands for each byte in byte-level vocabularies.
-
-    Printable bytes of Latin-1 stand for themselves, the others for the
-    characters from U+0100 on, in order.
-    """
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(0x100)]
-
-
 class Counter(Remembered):
     """Token counts of runs: normalise, cut into words, run the transducer over each."""
 
@@ -213,15 +209,12 @@ class Counter(Remembered):
         self.plan = Tokenizer.from_file(vocabulary_path(name))
         self.classes: dict[str, str] = {}
 
-    def learn(self, need: set[bytes]) -> None:
-        for run in need:
-            self.known[run] = self.count_run(run.decode("utf-8", "replace"))
-
-    def count_run(self, run: str) -> int:
-        if "<|" in run:
-            parts = self.special.split(run)
+    def learn(self, run: bytes) -> int:
+        text = run.decode("utf-8", "replace")
+        if "<|" in text:
+            parts = self.special.split(text)
             return len(parts) - 1 + sum(map(self.count_plain, parts))
-        return self.count_plain(run)
+        return self.count_plain(text)
 
     def count_plain(self, run: str) -> int:
         if run.isascii():
@@ -258,7 +251,10 @@ class Counter(Remembered):
         return found
 
     def count(self, texts: list[bytes]) -> list[int]:
-        return [sum(found) for found in self.of(texts)]
+        get = self.__getitem__
+        found = [sum(map(get, runs_of(t))) for t in texts]
+        self.trim()
+        return found
 
 
 def counter(name: str) -> Counter:

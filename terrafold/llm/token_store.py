@@ -37,8 +37,10 @@ def ids_column(packed: list[bytes]) -> pa.ListArray:
 
 def packed_of(ids: pa.ListArray) -> list[bytes]:
     """The inverse of ``ids_column``; a null list is empty."""
-    values = ids.values.to_numpy(zero_copy_only=False).astype("<u4", copy=False)
     offsets = ids.offsets.to_numpy()
+    values = ids.values.slice(offsets[0], offsets[-1] - offsets[0]).to_numpy(
+        zero_copy_only=False).astype("<u4", copy=False)
+    offsets = offsets - offsets[0]
     return [b"" if null else values[a:b].tobytes() for a, b, null in zip(
         offsets[:-1].tolist(), offsets[1:].tolist(), ids.is_null().to_pylist())]
 

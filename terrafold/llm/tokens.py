@@ -8,28 +8,41 @@ all its occurrences a worker sees. What a worker remembers is bounded.
 from __future__ import annotations
 
 import os
-from itertools import chain, islice
-from unicodedata import normalize
+from array import array
+from itertools import islice
+from unicodedata import is_normalized
 
 import numpy as np
+from tokenizers import Tokenizer
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 # Runs a worker remembers; beyond it the half learned last, mostly rare ones, is forgotten.
 REMEMBERED = 400_000
-# Runs handed to the library at once.
-AT_ONCE = 512
-# Marks that never join with a letter before them.
-TAIL = b".,;:!?"
+# Marks that never join with a letter before them; the last of the Latin
+# letters, whose classes and lower case no edition of the standard changes.
+TAIL, LATIN = ".,;:!?", "\u024f"
 
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _ends_in_letter(word: bytes) -> bool:
-    """Whether the last character is a letter, and still ends in one when normalised."""
-    if word[-1] < 0x80:
-        return word[-1:].isalpha()
-    last = normalize("NFC", word.decode("utf-8", "replace")[-1]).lower()
-    return last[-1].isalpha()
+def byte_letters() -> list[str]:
+    """The printable letter that stands for each byte in byte-level vocabularies.
+
+    Printable bytes of Latin-1 stand for themselves, the others for the
+    characters from U+0100 on, in order.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(0x100)]
+
+
+LETTERS = str.maketrans(dict(enumerate(byte_letters())))
+
+
+def _plain_letters(word: str) -> bool:
+    """Latin letters alone, composed, each with a lower case of one letter."""
+    return word.isalpha() and (word.isascii() or max(word) <= LATIN and "\u0130" not in word
+                               and is_normalized("NFC", word))
 
 
 def vocabulary_path(name: str) -> str:
@@ -49,26 +62,24 @@ def runs_of(raw: bytes) -> list[bytes]:
     return raw.split() if b"<|" in raw else raw.lower().split()
 
 
-class Remembered:
-    """What a function gives for runs, kept for the runs met so far."""
+class Remembered(dict):
+    """What ``learn`` gives for runs, kept for the runs met so far."""
 
     def __init__(self, most: int = REMEMBERED):
-        self.known: dict = {}
+        super().__init__()
         self.most = most
 
-    def of(self, texts: list[bytes]) -> list[list]:
-        split = [runs_of(t) for t in texts]
-        need = set(chain.from_iterable(split)).difference(self.known)
-        if len(self.known) + len(need) > self.most:
-            for run in list(islice(self.known, self.most // 2, None)):
-                del self.known[run]
-            need = set(chain.from_iterable(split)).difference(self.known)
-        if need:
-            self.learn(need)
-        get = self.known.__getitem__
-        return [list(map(get, runs)) for runs in split]
-
-    def learn(self, need: set[bytes]) -> None:
+    def __missing__(self, run: bytes):
+        found = self[run] = self.learn(run)
+        return found
+
+    def trim(self) -> None:
+        """Keep what a worker remembers bounded; called between slices of texts."""
+        if len(self) > self.most:
+            for run in list(islice(self, self.most // 2, None)):
+                del self[run]
+
+    def learn(self, run: bytes):
         raise NotImplementedError
 
 
@@ -76,43 +87,37 @@ class Encoder(Remembered):
     """Ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, name: str, most: int = REMEMBERED):
-        from tokenizers import Tokenizer
-
         super().__init__(most)
-        # One call encodes few runs; more threads than Spark's own would not help.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(vocabulary_path(name))
         self.library.no_truncation()
         self.library.no_padding()
-
-    def learn(self, need: set[bytes]) -> None:
-        known, cut, plain = self.known, [], set()
-        for run in need:
-            word = run.rstrip(TAIL)
-            if len(word) < len(run) and word and b"<|" not in run and _ends_in_letter(word):
-                cut.append((run, word, run[len(word):]))
-                plain.update((word, run[len(word):]))
-            else:
-                plain.add(run)
-        plain.difference_update(known)
-        todo = sorted(plain)
-        for at in range(0, len(todo), AT_ONCE):
-            some = todo[at:at + AT_ONCE]
-            found = self.library.encode([r.decode("utf-8", "replace") for r in some],
-                                        is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            ends = np.cumsum(np.bincount(np.array(found.word_ids, np.int64),
-                                         minlength=len(some))) * 4
-            packed, start = ids.tobytes(), 0
-            for run, end in zip(some, ends.tolist()):
-                known[run] = packed[start:end]
-                start = end
-        for run, word, tail in cut:
-            known[run] = known[word] + known[tail]
+        # The library's own steps, which need not all be taken for every run.
+        self.normalizer, self.cutter = self.library.normalizer, self.library.pre_tokenizer
+        self.model = self.library.model
+
+    def learn(self, run: bytes) -> bytes:
+        text = run.decode("utf-8", "replace")
+        word = text.rstrip(TAIL)
+        if _plain_letters(word):  # one word as it stands, and the marks that follow it
+            if len(word) < len(text):
+                return self[word.encode()] + self[text[len(word):].encode()]
+            return self.ids([text.lower().encode().decode("latin-1").translate(LETTERS)])
+        if "<|" in text:
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        plain = self.normalizer.normalize_str(text)
+        return self.ids([p for p, _ in self.cutter.pre_tokenize_str(plain)])
+
+    def ids(self, words: list[str]) -> bytes:
+        """Ids of words in the letters that stand for their bytes."""
+        tokenize = self.model.tokenize
+        return array("I", [t.id for w in words for t in tokenize(w)]).tobytes()
 
     def encode(self, texts: list[bytes], end_id: int | None = None) -> list[bytes]:
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        return [b"".join(found) + end for found in self.of(texts)]
+        get = self.__getitem__
+        found = [b"".join(map(get, runs_of(t))) + end for t in texts]
+        self.trim()
+        return found
 
 
 def encoder(name: str) -> Encoder:

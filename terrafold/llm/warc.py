@@ -127,9 +127,9 @@ def _one_response(told: DataFrame, again: DataFrame, least_bytes: int) -> DataFr
         F.col("url").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
     numbered = (alike.withColumn("__before", F.coalesce(before, F.lit(0)))
                 .withColumn("copy", F.explode(F.sequence(
-                    F.col("__before"), F.col("__before") + F.col("__n") - 1)).cast("int"))
+                    F.col("__before"), F.col("__before") + F.col("__n") - 1)))
                 .withColumn("copy", F.when(F.col("bytes") < least_bytes, 0)
-                            .otherwise(F.col("copy"))))
+                            .otherwise(F.col("copy")).cast("int")))
     return rest.unionByName(numbered.select(*rest.columns))
 
 
