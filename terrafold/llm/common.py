@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # A key with more than 1/HOT_SHARE of all rows is hot; there are fewer than
 # HOT_SHARE such keys whatever the table's size, which bounds their broadcast.
 HOT_SHARE = 1024
+# Narrow tables of up to this many rows are broadcast, larger ones shuffled.
+BROADCAST_ROWS = 1_000_000
 # Texts are handed to Python code in slices of about this many bytes.
 SLICE_BYTES = 2 << 20
 
@@ -59,6 +61,11 @@ def join_spread(many: DataFrame, one: DataFrame, key: str, weight: str,
     return taken.unionByName(rest)
 
 
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, marked for broadcast if a count shows that it has ``rows`` rows or fewer."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """(start, stop) of runs of texts of about ``most`` bytes together, one text at least."""
     start, held = 0, 0

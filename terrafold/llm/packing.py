@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import column_of, slices, table, text_of
+from terrafold.llm.common import bounded, column_of, slices, table, text_of
 from terrafold.llm.running import running
 from terrafold.llm.token_store import ids_column, packed_of, raw_texts
 from terrafold.llm.tokens import WORD_VOCABULARY, encoder
@@ -39,8 +39,6 @@ END_ID = 2
 QUEUES = 1000
 # Children a span of windows is dealt to.
 FAN = 64
-# (queue, part) bases up to this many rows are broadcast, more are shuffled.
-BROADCAST_ROWS = 1_000_000
 # Spans whose rounds a task remembers, and documents it cuts at once.
 SPANS, AT_ONCE = 512, 256
 
@@ -194,9 +192,7 @@ def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_I
     bases = stored(placed.select("queue", "part", "slot",
                                  (F.col("base") - F.get(starts, F.col("slot"))).alias("base")),
                    "bases")
-    if bases.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        bases = F.broadcast(bases)
-    rows = tokens.join(bases, ["queue", "part"]).select(
+    rows = tokens.join(bounded(bases), ["queue", "part"]).select(
         "doc_id", "queue", "slot", (F.col("base") + F.col("before")).alias("place"), "ids")
     return _pieces(rows, held, length, target)
 

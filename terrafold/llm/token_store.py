@@ -18,9 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terrafold.llm.common import column_of, slices, table, text_of
+from terrafold.llm.common import bounded, column_of, slices, table, text_of
 from terrafold.llm.tokens import WORD_VOCABULARY, encoder
-from terrafold.workspace import new_path
+from terrafold.workspace import new_path, stored
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 500
@@ -101,7 +101,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     # One row a part, not a document: few enough to be summed in order.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    return rows.join(bases, "part").select(
+    return rows.join(bounded(stored(bases, "bases")), "part").select(
         "doc_id", (F.col("__base") + F.col("part_start")).alias("start"), "n_tokens", "ids")
 
 
