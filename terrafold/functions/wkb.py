@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -200,15 +201,20 @@ class Segments:
     row: np.ndarray
     part: np.ndarray
     ring: np.ndarray
+    kind: np.ndarray  # LINE or POLYGON of the part
     xyxy: np.ndarray  # shape (n, 4)
 
+    def where(self, mine: np.ndarray) -> Segments:
+        return Segments(self.row[mine], self.part[mine], self.ring[mine], self.kind[mine],
+                        self.xyxy[mine])
+
 
 def segments(rings: Rings) -> Segments:
     """Consecutive coordinate pairs of every line and ring."""
     at = rings.ring_of_point()
     same = np.flatnonzero(at[1:] == at[:-1])
     r = at[same]
-    return Segments(rings.row[r], rings.part[r], rings.ring[r],
+    return Segments(rings.row[r], rings.part[r], rings.ring[r], rings.kind[r],
                     np.hstack([rings.xy[same], rings.xy[same + 1]]))
 
 
@@ -282,17 +288,6 @@ def envelope(way: pa.Array) -> pa.Array:
     return _struct(BBOX_FIELDS, cols, missing)
 
 
-@arrow_udf(SEGMENTS_TYPE)
-def segment_array(way: pa.Array) -> pa.Array:
-    rings = flatten(way)
-    seg = segments(rings)
-    counts = np.bincount(seg.row, minlength=rings.rows)
-    offsets = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
-    flat = pa.StructArray.from_arrays(
-        [pa.array(seg.xyxy[:, i]) for i in range(4)], names=list(SEGMENT_FIELDS))
-    return pa.ListArray.from_arrays(offsets, flat, mask=way.is_null())
-
-
 @arrow_udf(RINGS_TYPE)
 def ring_points(way: pa.Array) -> pa.Array:
     """Coordinates of every ring or line of a geometry, shell first."""
@@ -394,12 +389,34 @@ def make_polygon_with_holes(rings: pa.Array) -> pa.Array:
     return _binary(out, lengths, valid)
 
 
+def _joined(parts: pa.Array) -> pa.Array:
+    """The byte strings of every list, one after the other; a list's bytes lie together already."""
+    parts = parts.cast(pa.large_list(pa.large_binary()))
+    starts = parts.offsets.to_numpy()
+    _, off, data = parts.values.buffers()
+    offsets = np.frombuffer(off, np.int64)[parts.values.offset:][starts]
+    whole = pa.Array.from_buffers(pa.large_binary(), len(parts), [None, pa.py_buffer(
+        np.ascontiguousarray(offsets)), data or pa.py_buffer(b"")])
+    return pc.if_else(parts.is_valid(), whole, pa.scalar(None, pa.large_binary())).cast(
+        pa.binary())
+
+
+@arrow_udf(T.BinaryType())
+def join_bytes(parts: pa.Array) -> pa.Array:
+    """The byte strings of a list as one."""
+    return _joined(parts)
+
+
 @arrow_udf(T.BinaryType())
-def make_multipolygon(parts: pa.Array) -> pa.Array:
-    """MultiPolygon from array<binary> of Polygons, in the given order."""
-    head = b"\x01\x06\x00\x00\x00"
-    return pa.array([None if p is None else head + len(p).to_bytes(4, "little") + b"".join(p)
-                     for p in parts.to_pylist()], pa.binary())
+def make_multipolygon(bodies: pa.Array, count: pa.Array) -> pa.Array:
+    """MultiPolygon of ``count`` little-endian Polygons, given as lists of their joined bytes."""
+    head = np.zeros((len(count), 9), np.uint8)
+    head[:, :5] = np.frombuffer(b"\x01\x06\x00\x00\x00", np.uint8)
+    n = count.fill_null(0).cast(pa.uint32()).to_numpy().astype("<u4")
+    head[:, 5:] = n.view(np.uint8).reshape(-1, 4)
+    heads = _binary(head.ravel(), np.full(len(count), 9), np.ones(len(count), bool))
+    return pc.binary_join_element_wise(heads.cast(pa.binary()), _joined(bodies),
+                                       pa.scalar(b"", pa.binary()))
 
 
 # ---------------------------------------------------------------- exact predicates
@@ -417,6 +434,21 @@ def points_in_rings(px, py, owner, seg: np.ndarray, seg_owner, n: int) -> np.nda
     return (odd | touch)[owner]
 
 
+def inside_some_part(seg: Segments, px: np.ndarray, py: np.ndarray) -> np.ndarray:
+    """Rows whose point (px, py)[row] lies in a polygon of theirs, each polygon by itself.
+
+    Lines of a collection enclose nothing, and polygons that overlap do not
+    cancel each other.
+    """
+    seg = seg.where(seg.kind == POLYGON)
+    if not len(seg.row):
+        return np.zeros(0, np.int64)
+    new = np.r_[True, (seg.row[1:] != seg.row[:-1]) | (seg.part[1:] != seg.part[:-1])]
+    owner, rows = np.cumsum(new) - 1, seg.row[new]
+    held = points_in_rings(px[rows], py[rows], np.arange(len(rows)), seg.xyxy, owner, len(rows))
+    return rows[held]
+
+
 def segments_meet_box(seg: np.ndarray, box: np.ndarray) -> np.ndarray:
     """Closed segment against closed box, by parametric clipping."""
     x1, y1, x2, y2 = seg.T
@@ -448,14 +480,7 @@ def intersects_box(way: pa.Array, xmin: pa.Array, ymin: pa.Array, xmax: pa.Array
     seg = segments(rings)
     hit[seg.row[segments_meet_box(seg.xyxy, box[seg.row])]] = True
     # A box wholly inside a polygon touches no edge: test one corner by parity.
-    area = np.zeros(rings.rows, bool)
-    area[rings.row[rings.kind == POLYGON]] = True
-    area &= ~hit
-    mine = area[seg.row]
-    if mine.any():
-        all_rows = np.arange(rings.rows)
-        hit |= area & points_in_rings(box[:, 0], box[:, 1], all_rows, seg.xyxy[mine],
-                                      seg.row[mine], rings.rows)
+    hit[inside_some_part(seg.where(~hit[seg.row]), box[:, 0], box[:, 1])] = True
     return pa.array(hit, mask=np.asarray(way.is_null()))
 
 
@@ -480,10 +505,5 @@ def planar_distance(point: pa.Array, way: pa.Array) -> pa.Array:
     t = np.clip(t, 0.0, 1.0)
     out = np.full(left.rows, np.inf)
     np.minimum.at(out, rows, np.hypot(qx - x1 - t * dx, qy - y1 - t * dy))
-    area = np.zeros(left.rows, bool)
-    area[right.row[right.kind == POLYGON]] = True
-    mine = area[seg.row]
-    if mine.any():
-        out[area & points_in_rings(px, py, np.arange(left.rows), seg.xyxy[mine],
-                                   seg.row[mine], left.rows)] = 0.0
+    out[inside_some_part(seg, px, py)] = 0.0
     return pa.array(out, mask=~np.isfinite(out))

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrafold.functions import measures, wkb
-from terrafold.operators.skew import chunk_no, join_spread
+from terrafold.operators.skew import join_spread, numbered
 
-# Parts gathered into one list; a larger group comes as several chunks.
-MAX_PARTS = 200_000
+# Salts over which the parts of one feature are joined before the salts are.
+SALTS = 64
+# Fixed value: bytes a value of a row can hold.
+VALUE_BYTES = (1 << 31) - 64
 
 
 def tag(key: str, tags: str = "tags") -> Column:
@@ -17,32 +19,40 @@ def tag(key: str, tags: str = "tags") -> Column:
     return F.from_json(F.col(tags), "map<string,string>").getItem(key)
 
 
-def regroup(df: DataFrame, key: str = "osm_id", spread_by: tuple[str, ...] = ("way",),
-            max_parts: int = MAX_PARTS) -> DataFrame:
-    """Rows sharing an id as one feature: parts, summed area, extent, MultiPolygon.
+def regroup(df: DataFrame, key: str = "osm_id") -> DataFrame:
+    """One row per id of the rows that share it: parts, summed area, extent, MultiPolygon.
 
-    The area is a sum because parts do not overlap. The figures are of the
-    whole feature on every row; ``way`` holds all parts where they fit one
-    value and one chunk of them otherwise, so that ``chunk_no`` 0 alone is the
-    usual case and no list outgrows a task.
+    The area is a sum because parts do not overlap. Parts are joined per salt of
+    their bytes, then the salts per id, so that a large feature is put together
+    in many tasks; within ``way`` they come by salt, then by bytes. A feature
+    whose bytes no value can hold fails by its id.
     """
     parts = df.where(F.col("way").isNotNull()).withColumn("__box", wkb.envelope("way"))
-    figures = parts.groupBy(key).agg(
-        F.count("*").alias("n_parts"), F.sum(wkb.planar_area("way")).alias("area"),
-        F.struct(F.min("__box.xmin").alias("xmin"), F.min("__box.ymin").alias("ymin"),
-                 F.max("__box.xmax").alias("xmax"), F.max("__box.ymax").alias("ymax"))
-        .alias("bbox"))
-    chunked = chunk_no(df.where(F.col("way").isNotNull()), key, list(spread_by), max_parts)
-    shapes = chunked.groupBy(key, "chunk_no").agg(
-        wkb.make_multipolygon(F.sort_array(F.collect_list("way"))).alias("way"))
-    return shapes.join(figures, key).select(key, "chunk_no", "n_parts", "area", "bbox", "way")
-
-
-def collect_parts(df: DataFrame, key: str, part: str, max_parts: int = MAX_PARTS) -> DataFrame:
-    """(key, chunk_no, n_parts, parts): the parts of each key in order."""
-    chunked = chunk_no(df, key, [part], max_parts)
-    return chunked.groupBy(key, "chunk_no").agg(
-        F.count("*").alias("n_parts"), F.sort_array(F.collect_list(part)).alias("parts"))
+    salt = F.pmod(F.xxhash64("way"), F.lit(SALTS)).cast("int").alias("salt")
+    box = [F.min("__box.xmin").alias("xmin"), F.min("__box.ymin").alias("ymin"),
+           F.max("__box.xmax").alias("xmax"), F.max("__box.ymax").alias("ymax")]
+    salted = parts.groupBy(key, salt).agg(
+        F.count("*").alias("n"), F.sum(wkb.planar_area("way")).alias("a"), *box,
+        F.sort_array(F.collect_list("way")).alias("ways"))
+    salted = salted.withColumn("body", wkb.join_bytes("ways")).drop("ways")
+    whole = salted.groupBy(key).agg(
+        F.sum("n").alias("n_parts"), F.sum("a").alias("area"),
+        F.struct(F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
+                 F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax")).alias("bbox"),
+        F.sum(F.octet_length("body").cast("bigint")).alias("bytes"),
+        F.transform(F.sort_array(F.collect_list(F.struct("salt", "body"))),
+                    lambda s: s["body"]).alias("bodies"))
+    fits = F.when(F.col("bytes") < VALUE_BYTES, F.col("bodies")).otherwise(F.raise_error(
+        F.concat(F.lit("too large for one value: feature "), F.col(key).cast("string")))
+        .cast("array<binary>"))
+    return whole.select(key, "n_parts", "area", "bbox",
+                        wkb.make_multipolygon(fits, F.col("n_parts")).alias("way"))
+
+
+def collect_parts(df: DataFrame, key: str, part: str) -> DataFrame:
+    """(key, place, n_parts, part): the parts of each key in order, one row a part."""
+    return numbered(df.select(key, part), key, [part], "place", "n_parts").select(
+        key, "place", "n_parts", part)
 
 
 def pair_distance(pairs: DataFrame, points: DataFrame, features: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import wkb
 from terrafold.operators import spatial
 from terrafold.operators.skew import TASK_ROWS, join_spread
-from terrafold.workspace import stored
+from terrafold.workspace import discard, stored
 
 
 # ---------------------------------------------------------------- completeness
@@ -132,8 +132,12 @@ def ordered_rings(edges: DataFrame) -> DataFrame:
     state = links.select("rel_id", "l.h", "l.next", F.col("l.h").alias("low"),
                          F.lit(0).cast("bigint").alias("ahead"))
     longest = edges.groupBy("rel_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    old = None
     for k in range(math.ceil(math.log2(max(longest, 2)))):
         state = stored(state, "links")
+        if old is not None:  # the round before is not read any more
+            discard(old)
+        old = state
         hop = state.select("rel_id", F.col("h").alias("next"), F.col("next").alias("next2"),
                            F.col("low").alias("low2"), F.col("ahead").alias("ahead2"))
         lower = F.col("low2") < F.col("low")
@@ -174,42 +178,63 @@ def assemble(edges: DataFrame, way_points: DataFrame, task_rows: int = TASK_ROWS
         "rel_id", "ring", "role", "ways", F.concat("body", F.slice("body", 1, 1)).alias("points"))
 
 
+def inner_point(points: Column) -> Column:
+    """A point inside a simple ring: midway between the first two sides a level line crosses.
+
+    The line runs between the two lowest levels of the ring's points; NULL for a
+    ring without height.
+    """
+    levels = F.array_sort(F.array_distinct(F.transform(points, lambda p: p["y"])))
+    y = (F.get(levels, F.lit(0)) + F.get(levels, F.lit(1))) / 2
+    sides = F.zip_with(points, F.slice(points, F.lit(2), F.size(points) - 1), lambda p, q: F.struct(
+        p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")))
+    met = F.array_sort(F.transform(
+        F.filter(sides, lambda s: (s["y1"] < y) != (s["y2"] < y)),
+        lambda s: s["x1"] + (y - s["y1"]) / (s["y2"] - s["y1"]) * (s["x2"] - s["x1"])))
+    return F.struct(((F.get(met, F.lit(0)) + F.get(met, F.lit(1))) / 2).alias("x"), y.alias("y"))
+
+
 def polygons_of(rings: DataFrame) -> DataFrame:
-    """(rel_id, ring, way): one polygon per outer ring, with the holes it holds.
+    """(rel_id, ring, way, orphan): one polygon per outer ring, with the holes it holds.
 
-    A hole belongs to the smallest outer ring of its relation around it. The
-    pairs come from the cell join, never from all holes by all shells. The holes
-    of a shell are part of its geometry, one value of the output row.
+    A ring without a role counts as outer. A hole belongs to the smallest outer
+    ring of its relation around a point inside it, islands in the hole, which are
+    smaller than it, aside; the pairs come from the cell join within the relation. A hole that lies in no outer ring is not lost: it
+    comes as a row of its own, ``orphan``. The holes of a shell are part of its
+    geometry, one value of the output row.
     """
     rings = stored(rings, "rings")
-    outer = rings.where(F.col("role") != "inner").withColumn("way", wkb.make_polygon("points"))
-    outer = outer.withColumn("shell", F.struct("rel_id", "ring"))
-    inner = rings.where(F.col("role") == "inner").select(
-        "rel_id", "ring", "points",
-        ((F.col("points")[0]["x"] + F.col("points")[1]["x"]) / 2).alias("px"),
-        ((F.col("points")[0]["y"] + F.col("points")[1]["y"]) / 2).alias("py"))
-    shells = outer.select(F.concat_ws(":", "rel_id", "ring").alias("shell_id"), "way")
-    held = spatial.within(inner.select("rel_id", "ring", "px", "py"), shells, "shell_id",
-                          x=F.col("px"), y=F.col("py"), spread_by=["rel_id", "ring"])
-    size = outer.select(F.concat_ws(":", "rel_id", "ring").alias("shell_id"),
-                        F.col("rel_id").alias("shell_rel"), F.col("ring").alias("shell_ring"),
-                        wkb.planar_area("way").alias("area"))
-    owner = (held.join(size, "shell_id").where(F.col("shell_rel") == F.col("rel_id"))
+    is_inner = F.coalesce(F.col("role") == "inner", F.lit(False))
+    outer = rings.where(~is_inner).withColumn("way", wkb.make_polygon("points")).withColumn(
+        "shell", F.struct("rel_id", "ring"))
+    inner = stored(rings.where(is_inner).withColumn("at", inner_point(F.col("points"))).select(
+        "rel_id", "ring", "points", F.col("at.x").alias("px"), F.col("at.y").alias("py"),
+        wkb.planar_area(wkb.make_polygon("points")).alias("own")), "inner")
+    held = spatial.within(inner.select("rel_id", "ring", "px", "py", "own"), outer.select("shell", "way"),
+                          "shell", x=F.col("px"), y=F.col("py"), spread_by=["rel_id", "ring"],
+                          same=("rel_id", "rel_id"))
+    size = outer.select("shell", wkb.planar_area("way").alias("area"))
+    owner = (held.join(size, "shell").where(F.col("area") > F.col("own"))
              .groupBy("rel_id", "ring")
-             .agg(F.min_by("shell_ring", F.struct("area", "shell_ring")).alias("shell_ring")))
-    holes = (inner.join(owner, ["rel_id", "ring"]).groupBy("rel_id", "shell_ring")
+             .agg(F.min_by("shell.ring", F.struct("area", "shell.ring")).alias("shell_ring")))
+    placed = stored(inner.join(owner, ["rel_id", "ring"], "left")
+                    .select("rel_id", "ring", "points", "shell_ring"), "holes")
+    holes = (placed.where(F.col("shell_ring").isNotNull()).groupBy("rel_id", "shell_ring")
              .agg(F.sort_array(F.collect_list(F.struct("ring", "points"))).alias("h"))
              .select("rel_id", F.col("shell_ring").alias("ring"),
                      F.transform("h", lambda h: h["points"]).alias("holes")))
     whole = outer.select("rel_id", "ring", "points").join(holes, ["rel_id", "ring"], "left")
     shell = F.array("points")
-    return whole.select("rel_id", "ring", wkb.make_polygon_with_holes(
-        F.when(F.col("holes").isNull(), shell).otherwise(F.concat(shell, "holes"))).alias("way"))
+    shells = whole.select("rel_id", "ring", wkb.make_polygon_with_holes(
+        F.when(F.col("holes").isNull(), shell).otherwise(F.concat(shell, "holes"))).alias("way"),
+        F.lit(False).alias("orphan"))
+    return shells.unionByName(placed.where(F.col("shell_ring").isNull()).select(
+        "rel_id", "ring", wkb.make_polygon("points").alias("way"), F.lit(True).alias("orphan")))
 
 
 def relation_rows(polygons: DataFrame) -> DataFrame:
-    """Feature rows of relations: negated id, one row per polygon."""
-    return polygons.select((-F.col("rel_id")).alias("osm_id"), "ring", "way")
+    """Feature rows of relations: negated id, one row per polygon; orphaned holes are none."""
+    return polygons.where(~F.col("orphan")).select((-F.col("rel_id")).alias("osm_id"), "ring", "way")
 
 
 # ---------------------------------------------------------------- dissolve

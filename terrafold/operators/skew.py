@@ -1,52 +1,45 @@
 """Equi-joins that stay even when one key holds a large share of the rows.
 
-The keys worth splitting are found by a mergeable frequent-items sketch: one
-scan of the key columns, merged in two steps, no shuffle by key. Their rows are
-spread over salts on the many side, as many as keep a task at TASK_ROWS, and
-repeated per salt on the other side; all other keys join as usual. The sketch
-only decides the plan: every row still meets every partner. What it cannot be
-sure to see (keys under about one row in 6,000) is left to the adaptive join.
+Rows are counted per key, aggregated before they move, and the keys with more
+rows than a task should take are kept as a table with the salts they need. Their
+rows are spread over the salts on the many side and repeated per salt on the
+other; all other keys join as usual. The counts only decide the plan: every row
+still meets every partner.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from terrafold.workspace import stored
 
 # A key with more rows than this is split into salts of this size.
 TASK_ROWS = 2_000_000
-# Heavy keys per column at most, and counters a sketch keeps to find them.
-MAX_HEAVY, TRACKED = 2_000, 8_192
-# Sketches are merged in this many tasks before the last one sees them.
-MERGE_TASKS = 64
+# Heavy keys up to this many are broadcast to both sides, more are joined by key.
+BROADCAST_KEYS = 100_000
 
 _SALT = "__salt"
 _SALTS = "__salts"
 
-Heavy = list[tuple[object, int]]
-
 
-def heavy_keys(df: DataFrame, keys: list[str], task_rows: int = TASK_ROWS) -> dict[str, Heavy]:
-    """Per key column, (key, number of salts) for keys over ``task_rows`` rows.
+def heavy_keys(df: DataFrame, keys: list[str],
+               task_rows: int = TASK_ROWS) -> dict[str, DataFrame]:
+    """Per key column a stored table (key, __salts) of the keys over ``task_rows`` rows.
 
-    At most MAX_HEAVY keys a column, whatever the table size.
+    Such a table has at most rows / ``task_rows`` entries.
     """
-    parts = df.select(*[F.col(f"`{k}`") for k in keys],
-                      (F.spark_partition_id() % MERGE_TASKS).alias("__part"))
-    merged = parts.groupBy("__part").agg(*[
-        F.expr(f"approx_top_k_accumulate(`{k}`, {TRACKED})").alias(k) for k in keys])
-    row = merged.agg(*[F.expr(
-        f"approx_top_k_estimate(approx_top_k_combine(`{k}`, {TRACKED}), {MAX_HEAVY})").alias(k)
-        for k in keys]).first()
-    return {k: [(item["item"], math.ceil(item["count"] / task_rows)) for item in row[k] or []
-                if item["item"] is not None and item["count"] > task_rows] for k in keys}
+    out = {}
+    for k in keys:
+        counts = df.where(F.col(f"`{k}`").isNotNull()).groupBy(F.col(f"`{k}`").alias(k)).agg(
+            F.count("*").alias("__n"))
+        out[k] = stored(counts.where(F.col("__n") > task_rows).select(
+            k, F.ceil(F.col("__n") / task_rows).cast("int").alias(_SALTS)), "heavy")
+    return out
 
 
 def join_spread(many: DataFrame, few: DataFrame, key: str, how: str = "inner", *,
-                spread_by: list[str], heavy: Heavy | None = None,
+                spread_by: list[str], heavy: DataFrame | None = None,
                 task_rows: int = TASK_ROWS) -> DataFrame:
     """``many.join(few, key, how)`` with the heavy keys of ``many`` salted.
 
@@ -58,13 +51,10 @@ def join_spread(many: DataFrame, few: DataFrame, key: str, how: str = "inner", *
         raise ValueError(f"cannot salt a {how} join")
     if heavy is None:
         heavy = heavy_keys(many, [key], task_rows)[key]
-    if not heavy:
+    n = heavy.limit(BROADCAST_KEYS + 1).count()
+    if not n:
         return many.join(few, key, how)
-    spark = many.sparkSession
-    schema = T.StructType([T.StructField(key, many.schema[key].dataType),
-                           T.StructField(_SALTS, T.IntegerType())])
-    # At most MAX_HEAVY rows, so the broadcast is bounded by construction.
-    salts = F.broadcast(spark.createDataFrame(heavy, schema))
+    salts = F.broadcast(heavy) if n <= BROADCAST_KEYS else heavy
     columns = many.columns
     salt = F.coalesce(F.pmod(_hash(spread_by), F.col(_SALTS).cast("bigint")).cast("int"),
                       F.lit(0))
@@ -86,17 +76,29 @@ def semi_spread(many: DataFrame, keys: DataFrame, key: str, **kw) -> DataFrame:
     return join_spread(many, keys.select(key).distinct(), key, "left_semi", **kw)
 
 
-def chunk_no(df: DataFrame, key: str, spread_by: list[str], max_rows: int,
-             task_rows: int = TASK_ROWS) -> DataFrame:
-    """Number the rows of each group into chunks of about ``max_rows``.
+def numbered(df: DataFrame, key: str, order: list[str], place: str, total: str) -> DataFrame:
+    """``df`` with the place of each row in its key, from 0, and the key's number of rows.
 
-    Groups below ``max_rows`` keep chunk 0. A larger group is cut by the hash
-    of ``spread_by`` into as many chunks as its size asks for, so that no list
-    built per (group, chunk) outgrows a task. The row counts come from one
-    pre-aggregated pass.
+    Rows are dealt out by range of (key, order), so a large key fills many ranges;
+    only the keys that cross a border, at most one a border, need the other
+    ranges' counts.
     """
-    sizes = (df.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > max_rows)
-             .select(key, F.ceil(F.col("__n") / max_rows).alias("__chunks")))
-    cut = F.pmod(_hash(spread_by), F.col("__chunks"))
-    return (join_spread(df, sizes, key, "left", spread_by=spread_by, task_rows=task_rows)
-            .withColumn("chunk_no", F.coalesce(cut, F.lit(0)).cast("int")).drop("__chunks"))
+    ranged = stored(df.repartitionByRange(F.col(key).asc_nulls_first(), *order)
+                    .withColumn("__range", F.spark_partition_id()), "ranged")
+    sizes = ranged.groupBy("__range", key).agg(F.count("*").alias("__n"))
+    wide = Window.partitionBy(key)
+    crossing = stored(sizes.select(
+        "__range", F.col(key).alias("__key"),
+        F.coalesce(F.sum("__n").over(wide.orderBy("__range").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.sum("__n").over(wide).alias("__all"), F.count("*").over(wide).alias("__ranges"))
+        .where(F.col("__ranges") > 1).drop("__ranges"), "crossing")
+    here = Window.partitionBy("__range", key)
+    local = ranged.withColumn(place, F.row_number().over(here.orderBy(*order)) - 1).withColumn(
+        total, F.count("*").over(here))
+    met = local.join(F.broadcast(crossing.withColumnRenamed("__range", "__r")),
+                     (F.col("__range") == F.col("__r")) & F.col(key).eqNullSafe(F.col("__key")),
+                     "left")
+    return met.withColumns({
+        place: F.col(place) + F.coalesce("__before", F.lit(0)),
+        total: F.coalesce("__all", F.col(total))}).select(*df.columns, place, total)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
 from terrafold.operators.skew import TASK_ROWS, join_spread
+from terrafold.workspace import stored
 
 # Cell sizes are powers of two metres; 16 m the smallest, 2^26 m the largest.
 MIN_LEVEL, MAX_LEVEL = 4, 26
@@ -203,8 +204,8 @@ def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
             keys = batch.column(0)
             rings = wkb.flatten(batch.column(1))
             segs = wkb.segments(rings)
-            closed = np.isin(segs.row, rings.row[rings.kind == wkb.POLYGON])
-            rows, xyxy = segs.row[closed], segs.xyxy[closed]
+            closed = segs.where(segs.kind == wkb.POLYGON)
+            rows, xyxy = closed.row, closed.xyxy
             if not len(rows):
                 continue
             first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
@@ -253,15 +254,18 @@ def _strictly_within(x: Column, y: Column, segments: Column) -> Column:
 
 def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Column,
            spread_by: list[str], way: str = "way", broadcast_bytes: int = BROADCAST_BYTES,
-           task_rows: int = TASK_ROWS) -> DataFrame:
+           task_rows: int = TASK_ROWS, same: tuple[str, str] | None = None) -> DataFrame:
     """Point columns and the key of each polygon strictly containing the point.
 
+    ``same`` names a column of the points and a field of a struct key that must
+    agree; it is part of the join key.
+
     Points on an edge are in no polygon. A polygon covers at most
     (MAX_ACROSS + 1)^2 cells, most of them without segments. The cells table is
     measured once: up to ``broadcast_bytes`` it is broadcast, beyond that both
     sides are shuffled by cell with crowded cells salted.
     """
-    cells = polygon_cells(polygons, key, way).persist()
+    cells = stored(polygon_cells(polygons, key, way), "cells")
     side = F.pow(F.lit(2.0), F.col("level"))
     size = cells.agg(
         F.sum(F.lit(48) + F.size("segments") * 48).alias("bytes"),
@@ -280,6 +284,9 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
                       & F.col("__y").between(size["ymin"], size["ymax"]))
                .withColumn("cell", F.explode(at)))
     cells = cells.drop("level", "cx", "cy")
+    if same is not None:
+        located = located.withColumn("cell", F.struct("cell", F.col(same[0]).alias("same")))
+        cells = cells.withColumn("cell", F.struct("cell", F.col(key)[same[1]].alias("same")))
     if (size["bytes"] or 0) <= broadcast_bytes:
         near = located.join(F.broadcast(cells), "cell")
     else:

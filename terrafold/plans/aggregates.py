@@ -112,10 +112,10 @@ SELECT '{t}' AS "table", sum(total_uncompressed_size)::bigint AS uncompressed, m
     AS bigint), 2048) AS rows_per_group
 FROM parquet_metadata('{CHECKED_DIR}/{t}.parquet'),
      (SELECT num_rows AS n FROM parquet_file_metadata('{CHECKED_DIR}/{t}.parquet')) f"""
-    for t in ("lineitem", "documents", "events", "customer")))
+    for t in I.TABLES))
 def rows_per_group(spark, sf):
     out = None
-    for t in ("lineitem", "documents", "events", "customer"):
+    for t in I.TABLES:
         row = footer.planned_rows(footer.chunks(spark, f"{sf}/{t}.parquet")).select(
             F.lit(t).alias("table"), "*")
         out = row if out is None else out.union(row)
@@ -132,23 +132,25 @@ def cardinality_gate(spark, sf):
 
 
 @query("collect_parts", I.with_inputs("parts") + """
-SELECT osm_id, 0 AS chunk_no, count(*) AS n_parts, array_to_string(list(part_no ORDER BY part_no), ',') AS parts
-FROM parts GROUP BY osm_id""")
+SELECT osm_id, row_number() OVER (PARTITION BY osm_id ORDER BY part_no) - 1 AS place,
+       count(*) OVER (PARTITION BY osm_id) AS n_parts, part_no FROM parts""")
 def collect_parts(spark, sf):
-    p = features.collect_parts(I.load(spark, sf, "parts"), "osm_id", "part_no")
-    return p.withColumn("parts", F.array_join(F.transform("parts", lambda v: v.cast("string")), ","))
+    """The parts of each id in order, a row each."""
+    return features.collect_parts(I.load(spark, sf, "parts"), "osm_id", "part_no")
 
 
 @query("multipolygon_regroup", I.with_inputs("parts") + """
 SELECT osm_id, count(*) AS n_parts, sum((x2 - x1)::double * (y2 - y1)) AS area, min(x1)::double AS xmin,
-       min(y1)::double AS ymin, max(x2)::double AS xmax, max(y2)::double AS ymax, 'MultiPolygon' AS kind
+       min(y1)::double AS ymin, max(x2)::double AS xmax, max(y2)::double AS ymax, 'MultiPolygon' AS kind,
+       true AS box_agrees, true AS area_agrees
 FROM parts GROUP BY osm_id""")
 def multipolygon_regroup(spark, sf):
-    """One feature per id; the figures are read back from the regrouped geometry."""
-    m = features.regroup(I.laid_out(spark, sf, "parts"), spread_by=("part_no",))
-    return m.select("osm_id", "n_parts", wkb.planar_area("way").alias("area"),
-                    wkb.envelope("way").alias("e"), wkb.geometry_kind(F.col("way")).alias("kind")).select(
-        "osm_id", "n_parts", "area", "e.*", "kind")
+    """One feature per id: its own figures, and whether the regrouped geometry agrees."""
+    m = features.regroup(I.laid_out(spark, sf, "parts"))
+    return m.select("osm_id", "n_parts", "area", "bbox.*",
+                    wkb.geometry_kind(F.col("way")).alias("kind"),
+                    (wkb.envelope("way") == F.col("bbox")).alias("box_agrees"),
+                    (F.abs(wkb.planar_area("way") - F.col("area")) < 1e-6).alias("area_agrees"))
 
 
 @query("nwr_counts", I.with_inputs("points", "areas", "wards") + f""",

@@ -55,17 +55,17 @@ def ordered_limit(spark, sf):
     return top.select("o_orderkey", "o_totalprice", F.row_number().over(w).cast("bigint").alias("pos"))
 
 
-@query("order_violations", """
-SELECT 'laid out' AS layout, true AS in_order UNION ALL SELECT 'plain', false""")
+@query("order_violations", I.with_inputs("points") + """
+SELECT 'laid out' AS layout, 0 AS violations UNION ALL SELECT 'backwards', count(*) - 1 FROM points""")
 def order_violations(spark, sf):
-    """Order breaks in the laid-out points, and in the plain order with boxes added."""
-    plain, laid = I.staged(spark, sf, "points")
-    boxed = new_path(spark, "boxed")
-    spatial.append_bbox(spark.read.parquet(plain)).write.parquet(boxed)
+    """Order breaks in the laid-out points: none; written backwards: at every row but the first."""
+    _, laid = I.staged(spark, sf, "points")
+    back = new_path(spark, "backwards")
+    layout.write_ordered(spark.read.parquet(laid), back, "{}", I.ROWS_PER_GROUP, 3, reverse=True)
+
     def of(path, name):
-        return layout.order_violations(spark, path).select(
-            F.lit(name).alias("layout"), (F.col("violations") == 0).alias("in_order"))
-    return of(laid, "laid out").union(of(boxed, "plain"))
+        return layout.order_violations(spark, path).select(F.lit(name).alias("layout"), "violations")
+    return of(laid, "laid out").union(of(back, "backwards"))
 
 
 @query("except_all_both", I.with_inputs("parts") + """
@@ -93,22 +93,40 @@ def relayout_roundtrip(spark, sf):
     return spark.read.parquet(dst).select("osm_id", "name", "amenity", "tags", "bbox.*")
 
 
-@query("verify_clean", """SELECT NULL::varchar AS "check", NULL::varchar AS problem, NULL::bigint AS n LIMIT 0""")
+@query("verify_clean", I.with_inputs("points", "parts") + """
+SELECT 'points' AS "table", count(*) AS n_rows, 0 AS findings FROM points
+UNION ALL SELECT 'parts', count(*), 0 FROM parts""")
 def verify_clean(spark, sf):
-    """No problem in either laid-out table."""
+    """Rows of each laid-out table, and what the proof found wrong with them: nothing."""
     out = None
     for name in ("points", "parts"):
         plain, laid = I.staged(spark, sf, name)
         found = layout.verify(spark, plain, laid, rows_per_group=I.ROWS_PER_GROUP)
-        out = found if out is None else out.union(found)
+        rows = spark.read.parquet(laid).agg(F.count("*").alias("n_rows"))
+        row = rows.crossJoin(found.agg(F.count("*").alias("findings"))).select(
+            F.lit(name).alias("table"), "n_rows", "findings")
+        out = row if out is None else out.union(row)
     return out
 
 
-@query("verify_tampered", """
-SELECT * FROM (VALUES ('as laid out', ''), ('area sign lost', 'floats,multiset'), ('box shifted', 'covering'),
-  ('rows reversed', 'order')) v(change, checks)""")
+@query("relayout_twice", I.with_inputs("points") + "SELECT osm_id, name, amenity FROM points")
+def relayout_twice(spark, sf):
+    """A table laid out again over itself: the same rows, once."""
+    plain, _ = I.staged(spark, sf, "points")
+    dst = new_path(spark, "twice")
+    for _ in range(2):
+        layout.relayout(spark, plain, dst, replace=True)
+    return spark.read.parquet(dst).select("osm_id", "name", "amenity")
+
+
+@query("verify_tampered", I.with_inputs("parts") + """,
+n AS (SELECT count(*) AS n, count(*) FILTER (WHERE cast(way_area AS varchar) = '-0.0') AS zeros FROM parts)
+SELECT 'area sign lost' AS change, 'floats' AS "check", zeros AS n FROM n
+UNION ALL SELECT 'area sign lost', 'multiset', 1 FROM n WHERE zeros > 0
+UNION ALL SELECT 'box shifted', 'covering', n FROM n
+UNION ALL SELECT 'rows reversed', 'order', n - 1 FROM n""")
 def verify_tampered(spark, sf):
-    """Which checks notice which change to the laid-out parts."""
+    """Which checks notice which change to the laid-out parts, and in how many rows."""
     plain, laid = I.staged(spark, sf, "parts")
     geo = layout.read_geo(spark, laid).agg(F.max("geo")).first()[0]
     partitions = layout.partitions_for(footer.chunks(spark, laid))
@@ -127,9 +145,9 @@ def verify_tampered(spark, sf):
         path = new_path(spark, "tampered")
         layout.write_ordered(df, path, geo, I.ROWS_PER_GROUP, partitions,
                              reverse=name == "rows reversed")
-        checks = layout.verify(spark, plain, path, rows_per_group=I.ROWS_PER_GROUP).agg(
-            F.array_join(F.sort_array(F.collect_set("check")), ",").alias("checks"))
-        row = checks.select(F.lit(name).alias("change"), "checks")
+        found = layout.verify(spark, plain, path, rows_per_group=I.ROWS_PER_GROUP)
+        row = found.groupBy("check").agg(F.sum("n").alias("n")).select(
+            F.lit(name).alias("change"), "check", "n")
         out = row if out is None else out.union(row)
     return out
 

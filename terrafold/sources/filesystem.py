@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import posixpath
 from fnmatch import fnmatch
 
 from pyarrow import fs
@@ -17,6 +19,14 @@ def resolve(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def location(uri: str) -> str:
+    """One spelling of a place: no scheme for local files, no links, no empty or dot parts."""
+    system, path = resolve(uri)
+    if isinstance(system, fs.LocalFileSystem):
+        return os.path.realpath(path)
+    return f"{uri[:len(uri) - len(path)]}{posixpath.normpath(path)}"
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, name, length) of the files under a folder, or of one file; empty files too.
 

@@ -2,9 +2,11 @@
 
 Spark's own Parquet writer offers neither, so the rows leave through a Python
 data source whose tasks each write one file with pyarrow. A task holds one row
-group at a time. Files are written under a hidden folder and moved into place
-when the whole job commits; a task that is run twice leaves a file nobody
-moves.
+group at a time. Files are written to a hidden folder beside the target, which
+becomes the table by one rename when the whole job commits; what a task that
+ran twice left there is dropped first. A target that holds anything is refused
+unless it is to be replaced; then it steps aside until the new table is in its
+place, and comes back if that fails.
 """
 
 from __future__ import annotations
@@ -43,10 +45,12 @@ class GeoParquetSource(DataSource):
 class GeoParquetWriter(DataSourceArrowWriter):
     def __init__(self, options, schema):
         self.path = options["path"].rstrip("/")
+        self.replace = options.get("replace", "false") == "true"
         self.rows_per_group = int(options["rows_per_group"])
         self.geo = options["geo"]
         self.schema = schema
-        self.staging = f"{self.path}/_staging-{uuid.uuid4().hex}"
+        above, _, name = self.path.rpartition("/")
+        self.staging = f"{above}/_staging-{uuid.uuid4().hex}-{name}"
 
     def _arrow_schema(self) -> pa.Schema:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -86,18 +90,18 @@ class GeoParquetWriter(DataSourceArrowWriter):
                                 compression="zstd")
 
     def commit(self, messages) -> None:
-        system, folder = resolve(self.path)
-        _, staging = resolve(self.staging)
-        names = [m.name for m in messages if m is not None and m.name]
+        system, staging = resolve(self.staging)
+        names = {m.name for m in messages if m is not None and m.name}
         if not names:
             # A table without rows is still a table: one file with the schema.
-            names = ["part-000000-empty.parquet"]
-            self._open(names[0], self._arrow_schema()).close()
-        for name in names:
-            system.move(f"{staging}/{name}", f"{folder}/{name}")
-        with system.open_output_stream(f"{folder}/_SUCCESS"):
+            names = {"part-000000-empty.parquet"}
+            self._open(*names, self._arrow_schema()).close()
+        for left in system.get_file_info(fs.FileSelector(staging)):
+            if left.base_name not in names:
+                system.delete_file(left.path)
+        with system.open_output_stream(f"{staging}/_SUCCESS"):
             pass
-        system.delete_dir(staging)
+        publish(system, staging, resolve(self.path)[1], self.replace)
 
     def abort(self, messages) -> None:
         system, staging = resolve(self.staging)
@@ -105,8 +109,36 @@ class GeoParquetWriter(DataSourceArrowWriter):
             system.delete_dir(staging)
 
 
-def write(df: DataFrame, path: str, geo: str, rows_per_group: int) -> None:
-    """Write the partitions of ``df`` in order, one file each, to a new folder."""
+def publish(system: fs.FileSystem, staging: str, target: str, replace: bool) -> None:
+    """Make the folder ``staging`` the table at ``target``."""
+    aside = None
+    if system.get_file_info(target).type != fs.FileType.NotFound:
+        if not replace and not is_vacant(system, target):
+            raise FileExistsError(f"{target} holds files and is not to be replaced")
+        aside = f"{staging}-aside"
+        system.move(target, aside)
+    try:
+        system.move(staging, target)
+    except Exception:
+        if aside is not None:
+            system.move(aside, target)
+        raise
+    if aside is not None:
+        system.delete_dir(aside)
+
+
+def is_vacant(system: fs.FileSystem, path: str) -> bool:
+    """Whether nothing, or an empty folder, is at ``path``."""
+    kind = system.get_file_info(path).type
+    return kind == fs.FileType.NotFound or (
+        kind == fs.FileType.Directory and not system.get_file_info(fs.FileSelector(path)))
+
+
+def write(df: DataFrame, path: str, geo: str, rows_per_group: int, replace: bool = False) -> None:
+    """Write the partitions of ``df`` in order, one file each, as the table at ``path``."""
+    path = path.rstrip("/")
+    if not replace and not is_vacant(*resolve(path)):
+        raise FileExistsError(f"{path} holds files and is not to be replaced")
     df.sparkSession.dataSource.register(GeoParquetSource)
     (df.write.format(FORMAT).mode("append").option("rows_per_group", str(rows_per_group))
-     .option("geo", geo).save(path))
+     .option("geo", geo).option("replace", str(replace).lower()).save(path))

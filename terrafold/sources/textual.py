@@ -44,19 +44,26 @@ def ring_coordinates(points: Column) -> Column:
 
 
 def read_opl(spark: SparkSession, path: str) -> DataFrame:
-    """(kind, id, members): element lines; members are NULL without an M field."""
-    lines = spark.read.text(path).where(F.col("value").rlike("^[nwr][-0-9]"))
-    head = F.split("value", " ")[0]
-    field = F.regexp_extract("value", r" M(\S*)", 1)
-    part = F.filter(F.split(field, ","), lambda m: m != "")
-    parsed = F.transform(part, lambda m: F.struct(
+    """(kind, id, members): element lines; members are NULL without a member field.
+
+    A line is fields between blanks, each begun by a letter that names it: the
+    first gives kind and id, ``M`` the members, parted by commas, each a type
+    letter, a number, and a role after an at sign.
+    """
+    fields = F.split(F.col("value"), " ")
+    lines = spark.read.text(path).select(fields.alias("fields")).select(
+        "fields", F.substring(F.col("fields")[0], 1, 1).alias("kind"),
+        F.expr("try_cast(substring(fields[0], 2) AS bigint)").alias("id"))
+    lines = lines.where(F.col("kind").isin("n", "w", "r") & F.col("id").isNotNull())
+    listed = F.filter("fields", lambda f: f.startswith("M"))
+    named = lines.select("kind", "id", F.get(listed, F.lit(0)).alias("field"))
+    members = F.filter(F.split(F.expr("substring(field, 2)"), ","), lambda m: m != "")
+    parsed = F.transform(members, lambda m: F.struct(
         F.substring(m, 1, 1).alias("type"),
-        F.regexp_extract(m, r"^[nwr](-?\d+)", 1).cast("bigint").alias("ref"),
-        F.regexp_extract(m, "@(.*)$", 1).alias("role")))
-    return lines.select(
-        F.substring("value", 1, 1).alias("kind"),
-        F.substring(head, 2, 30).cast("bigint").alias("id"),
-        F.when(F.col("value").rlike(r" M"), parsed).alias("members"))
+        F.substring_index(m, "@", 1).substr(F.lit(2), F.length(m)).try_cast("bigint").alias("ref"),
+        F.when(F.instr(m, "@") > 0, m.substr(F.instr(m, "@") + 1, F.length(m)))
+        .otherwise("").alias("role")))
+    return named.select("kind", "id", F.when(F.col("field").isNotNull(), parsed).alias("members"))
 
 
 def opl_members(elements: DataFrame, member_type: str = "w") -> DataFrame:

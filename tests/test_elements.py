@@ -147,17 +147,57 @@ def test_dissolve_keeps_the_outline_only(spark):
     assert got == [("r", 10), ("r", 12), ("s", 12)]
 
 
+def test_rings_without_a_role_and_orphaned_holes_are_not_lost(spark):
+    def box(x1, y1, x2, y2):
+        return [{"x": x, "y": y} for x, y in ((x1, y1), (x2, y1), (x2, y2), (x1, y2), (x1, y1))]
+
+    rows = [(1, 1, None, 1, box(0.0, 0.0, 10.0, 10.0)), (1, 2, "inner", 1, box(0.0, 2.0, 4.0, 4.0)),
+            (1, 3, "inner", 1, box(50.0, 50.0, 51.0, 51.0)), (2, 4, "outer", 1, box(40.0, 40.0, 60.0, 60.0))]
+    table = spark.createDataFrame(
+        rows, "rel_id bigint, ring bigint, role string, ways int, points array<struct<x:double,y:double>>")
+    got = {(r["rel_id"], r["ring"]): (r["a"], r["orphan"]) for r in rings.polygons_of(table).select(
+        "rel_id", "ring", "orphan", wkb.planar_area("way").alias("a")).collect()}
+    # Hole 2 begins on the shell's edge; hole 3 lies only in a shell of another relation.
+    assert got == {(1, 1): (92.0, False), (1, 3): (1.0, True), (2, 4): (400.0, False)}
+    kept = rings.relation_rows(rings.polygons_of(table)).select("osm_id", "ring").collect()
+    assert sorted(map(tuple, kept)) == [(-2, 4), (-1, 1)]
+
+
 # ---------------------------------------------------------------- features
 
-def test_regroup_in_chunks_keeps_every_part(spark):
+@pytest.mark.parametrize("salts", [1, 3, 64])
+def test_regroup_gives_one_row_an_id_however_it_is_salted(spark, monkeypatch, salts):
+    monkeypatch.setattr(features, "SALTS", salts)
     df = spark.range(10).select(F.lit(-7).cast("bigint").alias("osm_id"), wkb.make_box(
         F.col("id") * 10.0, F.lit(0.0), F.col("id") * 10.0 + 5, F.lit(5.0)).alias("way"))
-    whole = features.regroup(df).collect()
-    assert len(whole) == 1 and whole[0]["n_parts"] == 10 and whole[0]["area"] == 250
-    chunks = features.regroup(df, max_parts=3)
-    rows = chunks.select("chunk_no", "n_parts", "area", wkb.planar_area("way").alias("here")).collect()
-    assert len(rows) > 1 and sum(r["here"] for r in rows) == 250
-    assert {(r["n_parts"], r["area"]) for r in rows} == {(10, 250.0)}
+    df = df.unionAll(df.limit(1).withColumn("way", F.lit(None).cast("binary")))
+    whole = features.regroup(df).select("*", wkb.planar_area("way").alias("here"),
+                                        wkb.envelope("way").alias("box")).collect()
+    assert len(whole) == 1 and (whole[0]["n_parts"], whole[0]["area"]) == (10, 250.0)
+    assert whole[0]["here"] == 250 and whole[0]["box"] == whole[0]["bbox"]
+    monkeypatch.setattr(features, "VALUE_BYTES", 100)
+    with pytest.raises(Exception, match="too large for one value: feature -7"):
+        features.regroup(df).collect()
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_parts_are_numbered_across_ranges(spark, partitions):
+    df = spark.range(500).select(F.when(F.col("id") % 5 > 0, 1).otherwise(F.col("id")).alias("k"),
+                                 (1000 - F.col("id")).alias("part"))
+    df = df.unionAll(spark.createDataFrame([(None, 3), (None, 1)], "k bigint, part bigint"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = features.collect_parts(df, "k", "part").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r["k"], []).append(r["part"])
+    want = [(k, i, len(v), p) for k, v in groups.items() for i, p in enumerate(sorted(v))]
+    assert sorted(map(tuple, rows), key=str) == sorted(want, key=str)
 
 
 # ---------------------------------------------------------------- tag load

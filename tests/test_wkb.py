@@ -33,7 +33,6 @@ def test_envelope_of_every_type_and_byte_order():
 
 def test_empty_batch():
     assert len(wkb.envelope.func(pa.array([], pa.binary()))) == 0
-    assert len(wkb.segment_array.func(pa.array([None], pa.binary()))) == 1
 
 
 def test_sliced_batches_are_read_from_their_offset():
@@ -99,3 +98,26 @@ def test_kind_from_header(spark):
 def test_unknown_type_is_refused():
     with pytest.raises(ValueError, match="unknown WKB"):
         values(wkb.envelope, [b"\x01\x63\x00\x00\x00" + b"\x00" * 16])
+
+
+def test_lines_in_a_collection_enclose_nothing_and_polygons_do_not_cancel(spark):
+    square = g.polygon([g.square(0, 0, 10)])
+    right = g.line([(20, -100), (20, 100)])
+    shapes = [square, g.multi(7, [square, right]), g.multi(7, [right, square]),
+              g.multi(7, [square, g.polygon([g.square(3, 0, 10)])]), g.multi(7, [right])]
+    df = spark.createDataFrame([(bytearray(s), bytearray(g.point(1, 1))) for s in shapes],
+                               "way binary, p binary")
+    got = df.select(wkb.intersects_box(F.col("way"), *[F.lit(v) for v in (0.0, 0.0, 1.0, 1.0)]),
+                    wkb.planar_distance("p", "way")).collect()
+    assert [tuple(r) for r in got] == [(True, 0.0)] * 4 + [(False, 19.0)]
+
+
+def test_joined_parts_are_a_multipolygon(spark):
+    parts = [g.polygon([g.square(i * 10, 0, 1 + i)]) for i in range(4)]
+    df = spark.createDataFrame([([bytearray(p) for p in parts[:n]], n) for n in range(5)],
+                               "parts array<binary>, n bigint").repartition(1)
+    rows = df.select("n", wkb.make_multipolygon("parts", "n").alias("way"),
+                     wkb.join_bytes("parts").alias("body")).collect()
+    for r in rows:
+        assert bytes(r["way"]) == g.multi(6, parts[:r["n"]])
+        assert bytes(r["body"]) == b"".join(parts[:r["n"]])
