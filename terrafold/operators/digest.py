@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrafold.workspace import stored
+
 FLOATS = (T.FloatType, T.DoubleType)
 
 
@@ -64,18 +66,29 @@ def float_specials(df: DataFrame) -> DataFrame:
 def except_both(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of one table without a partner in the other, duplicates counted.
 
-    One grouping of both sides by whole row: copies of a row shrink to one
-    count before the shuffle, so a third of a table being one row is no hot
-    task. Floats are compared as text: otherwise a lost -0.0 goes unseen.
+    Signs are summed by a 128-bit hash of the row, so only hashes cross the
+    network; whole rows are fetched and compared, value by value, where a sum is
+    not zero. Copies of a row shrink to one count first, so a third of a table
+    being one row is no hot task. Floats are compared as text: otherwise a lost
+    -0.0 goes unseen.
     """
-    def signed(df: DataFrame, sign: int) -> DataFrame:
-        return df.select(*[exact(df, n).alias(n) for n in df.columns], F.lit(sign).alias("__n"))
+    names = [f"`{c}`" for c in left.columns]
 
-    net = signed(left, 1).unionAll(signed(right, -1)).groupBy(
-        *[f"`{c}`" for c in left.columns]).agg(F.sum("__n").alias("__n"))
-    return net.where(F.col("__n") != 0).select(
+    def signed(df: DataFrame, sign: int) -> DataFrame:
+        rows = df.select(*[exact(df, n).alias(n) for n in left.columns], F.lit(sign).alias("__n"))
+        # NULLs are skipped by the hash, so their places take part too.
+        nulls = [F.col(n).isNull() for n in names]
+        return rows.withColumns({"__h": F.xxhash64(*nulls, *names),
+                                 "__g": F.xxhash64(F.lit(1), *reversed(names), *nulls)})
+
+    both = signed(left, 1).unionAll(signed(right, -1))
+    net = stored(both.groupBy("__h", "__g").agg(F.sum("__n").alias("__n"))
+                 .where(F.col("__n") != 0).drop("__n"), "unpaired")
+    sums = both.join(net, ["__h", "__g"], "left_semi").groupBy(*names).agg(
+        F.sum("__n").alias("__n")).where(F.col("__n") != 0)
+    return sums.select(
         F.when(F.col("__n") > 0, "left").otherwise("right").alias("only_in"),
-        F.abs("__n").alias("copies"), *[f"`{c}`" for c in left.columns])
+        F.abs("__n").alias("copies"), *names)
 
 
 def null_safe_diff(left: Column, right: Column) -> Column:

@@ -15,8 +15,14 @@ VALUE_BYTES = (1 << 31) - 64
 
 
 def tag(key: str, tags: str = "tags") -> Column:
-    """A tag of the JSON text column, by a key that may hold colons or quotes."""
-    return F.from_json(F.col(tags), "map<string,string>").getItem(key)
+    """A tag of the JSON text column, by a key that may hold colons or quotes.
+
+    The one value is picked out of the text; only a key that a JSON path cannot
+    quote makes a map of it.
+    """
+    if any(c in key for c in "'?\\"):
+        return F.from_json(F.col(tags), "map<string,string>").getItem(key)
+    return F.get_json_object(F.col(tags), f"$['{key}']")
 
 
 def regroup(df: DataFrame, key: str = "osm_id") -> DataFrame:

@@ -110,16 +110,12 @@ side AS (SELECT a.part_no, a.east * b.north - b.east * a.north AS twice,
 true_size AS (SELECT part_no, abs(sum(twice)) / 2 AS area, sum(len) AS border FROM side GROUP BY part_no)
 SELECT p.part_no, ((x2 - x1)::double * (y2 - y1)) AS raw_area, round(t.area / 10, 0) AS true_area_10,
        round(t.border, 1) AS true_border, round((x2 - x1)::double * (y2 - y1) / t.area, 4) AS distortion
-FROM parts p JOIN true_size t ON t.part_no = p.part_no
-WHERE degrees(x1 / {R}) >= 138 AND degrees(x2 / {R}) < 144""")
+FROM parts p JOIN true_size t ON t.part_no = p.part_no""")
 def planar_measures(spark, sf):
     """Area and border in true metres beside the raw projected area.
 
-    The polygons of one zone are measured in it; a feature is never split."""
-    p = spatial.append_bbox(I.part_table(spark, sf))
-    p = p.withColumn("zone", measures.zone_of_box()).where(F.col("zone") == 54)
-    p = p.where((mercator.x_to_lon(F.col("bbox.xmin")) >= 138)
-                & (mercator.x_to_lon(F.col("bbox.xmax")) < 144))
+    Every polygon is measured in the zone of its middle; a feature is never split."""
+    p = spatial.append_bbox(I.part_table(spark, sf)).withColumn("zone", measures.zone_of_box())
     p = p.withColumn("moved", measures.polygon_to_utm(F.col("way"), F.col("zone")))
     area, raw = wkb.planar_area("moved"), wkb.planar_area("way")
     return p.select("part_no", raw.alias("raw_area"), area.alias("area"),

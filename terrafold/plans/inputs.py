@@ -42,8 +42,8 @@ FROM {nation}"""
 
 PARTS = """
 SELECT -(1 + cast(floor(s_suppkey / 2e0) AS bigint)) AS osm_id, s_suppkey AS part_no,
-       15523000 + s_suppkey * 500 AS x1, 4214000 + (s_suppkey * 7919) % 50000 AS y1,
-       15523000 + s_suppkey * 500 + 200 + (s_suppkey % 7) * 10 AS x2,
+       15523000 + s_suppkey % 1000 * 500 AS x1, 4214000 + (s_suppkey * 7919) % 50000 AS y1,
+       15523000 + s_suppkey % 1000 * 500 + 200 + (s_suppkey % 7) * 10 AS x2,
        4214000 + (s_suppkey * 7919) % 50000
          + CASE WHEN s_suppkey % 50 = 7 THEN 15000 ELSE 300 END AS y2,
        CASE WHEN s_suppkey % 10 = 3 THEN cast('-0.0' AS float)
