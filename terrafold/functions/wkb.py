@@ -228,6 +228,8 @@ def _binary(data: np.ndarray, lengths: np.ndarray, valid: np.ndarray) -> pa.Arra
 
 
 def _put(out: np.ndarray, pos: np.ndarray, values: np.ndarray) -> None:
+    if not len(pos):
+        return
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(pos), -1)
     out[pos[:, None] + np.arange(raw.shape[1])] = raw
 

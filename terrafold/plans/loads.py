@@ -134,3 +134,75 @@ def feature_tables(spark, sf):
     return loaded.groupBy("table").agg(
         F.count("*").alias("rows"), F.count("amenity").alias("amenity"),
         F.count("highway").alias("highway"), F.count_distinct("id").alias("ids"))
+
+
+# Tags of the ring fixture: every twelfth node of a square, its sides and its relation.
+def _load(spark, sf):
+    def tags(*when):
+        out = F.lit(None).cast("map<string,string>")
+        for test, pairs in when:
+            out = F.when(test, F.create_map(*[F.lit(x) for p in pairs.items() for x in p])).otherwise(out)
+        return out.alias("tags")
+
+    i, k = F.col("id") % 20, F.col("id") % 10
+    nodes = I.ring_nodes(spark, sf)
+    nodes = nodes.select("*", tags((i == 12, {"amenity": "cafe", "source": "survey"}),
+                                   (i == 13, {"note:ja": "x"})))
+    refs = I.ring_way_refs(spark, sf)
+    ways = refs.select(F.col("way_id").alias("id")).distinct().select("id", tags(
+        (k == 0, {"highway": "primary"}), (k == 2, {"tracktype": "grade1", "surface": "mud"}),
+        (k == 4, {"highway": "service"}), (k == 5, {"building": "yes", "name": "B"})))
+    members = I.ring_members(spark, sf)
+    relations = members.select(F.col("rel_id").alias("id")).distinct().select(
+        "id", F.create_map(F.lit("type"), F.lit("multipolygon"), F.lit("amenity"), F.lit("cafe")).alias("tags"))
+    from terrafold.operators import load
+
+    return load.load(nodes, ways, refs, relations, members, _rules(spark), ROADS, {
+        **RANKS, ("highway", "primary"): 30})
+
+
+@query("load_point", I.with_inputs("areas") + """
+SELECT (-osm_id - 1) * 20 + 12 AS osm_id, 'cafe' AS amenity, NULL::varchar AS ele, '' AS keys, 3 AS z_order,
+       cx::double AS xmin, (cy - s)::double AS ymin FROM areas""")
+def load_point(spark, sf):
+    """Tagged nodes with their own columns; deleted tags alone keep no node."""
+    t = _load(spark, sf)["point"]
+    return t.select("osm_id", "amenity", "ele", _keys("tags").alias("keys"), "z_order",
+                    wkb.envelope("way").alias("e")).select(
+        "osm_id", "amenity", "ele", "keys", "z_order", "e.xmin", "e.ymin")
+
+
+_LINE_TWIN = """
+SELECT ref AS osm_id, CASE k WHEN 0 THEN 'primary' WHEN 4 THEN 'service' END AS highway,
+       CASE WHEN k = 2 THEN 'grade1' END AS tracktype, CASE WHEN k = 2 THEN 'surface' ELSE '' END AS keys,
+       CASE k WHEN 0 THEN 30 WHEN 4 THEN 15 ELSE 0 END AS z_order,
+       (CASE WHEN k = 4 THEN 40 ELSE 2 * s END)::double AS length
+FROM ring_members WHERE """
+
+
+def _lines(t):
+    return t.select("osm_id", "highway", "tracktype", _keys("tags").alias("keys"), "z_order",
+                    wkb.planar_length("way").alias("length"))
+
+
+@query("load_line", I.with_inputs("ring_members") + _LINE_TWIN + "k IN (0, 4) OR (k = 2 AND c % 50 <> 7)")
+def load_line(spark, sf):
+    """Ways that are no areas, with geometry; untagged sides are left out."""
+    return _lines(_load(spark, sf)["line"])
+
+
+@query("load_roads", I.with_inputs("ring_members") + _LINE_TWIN + "k IN (0, 4)")
+def load_roads(spark, sf):
+    return _lines(_load(spark, sf)["roads"])
+
+
+@query("load_polygon", I.with_inputs("ring_members") + """
+SELECT ref AS osm_id, NULL::varchar AS amenity, 'yes' AS building, 'B' AS name, 1 AS z_order, 400e0 AS way_area
+FROM ring_members WHERE k = 5
+UNION ALL SELECT -rel_id, 'cafe', NULL, NULL, 3,
+  CASE k WHEN 0 THEN 4e0 * s * s - CASE WHEN c % 3 = 0 THEN 100 ELSE 0 END ELSE 400e0 END
+FROM ring_members WHERE k = 5 OR (k = 0 AND c % 50 <> 7)""")
+def load_polygon(spark, sf):
+    """Areas from closed ways and, under negated ids, from relations, with their size."""
+    return _load(spark, sf)["polygon"].select(
+        "osm_id", "amenity", "building", "name", "z_order", F.col("way_area").cast("double").alias("way_area"))
