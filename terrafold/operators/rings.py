@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
-from terrafold.operators import spatial
+from terrafold.operators import features, spatial
 from terrafold.operators.skew import TASK_ROWS, join_spread
 from terrafold.workspace import discard, stored
 
@@ -247,3 +247,37 @@ def outer_ways(area_ways: DataFrame, region: str) -> DataFrame:
     used = area_ways.groupBy(region, "way_id").agg(
         F.count("*").alias("n"), F.min("area_id").alias("area_id"))
     return used.where(F.col("n") == 1).select(region, "area_id", "way_id")
+
+
+def dissolve(area_ways: DataFrame, ends: DataFrame, way_points: DataFrame,
+             region: str) -> DataFrame:
+    """(region, ways, open_ends, branches, closed, n_parts, area, bbox, way): the union of areas.
+
+    One row per region: the border stitched into rings, rings inside an odd
+    number of others cut out as holes, all outer rings as one MultiPolygon. The
+    gate is ``closed``: a border with open or branching ends is no boundary, and
+    rings it would have had are missing from ``way``, which is NULL if there is
+    none. ``ends`` are (way_id, first, last), ``way_points`` (way_id, points).
+    """
+    border = outer_ways(area_ways, region).join(ends, "way_id")
+    edges = stored(border.select(F.col(region).alias("rel_id"), "way_id",
+                                 F.lit("outer").alias("role"), "first", "last"), "border")
+    rung = stored(assemble(edges, way_points).withColumn("at", inner_point(F.col("points"))),
+                  "rung")
+    shells = rung.select(F.struct("rel_id", "ring").alias("shell"),
+                         wkb.make_polygon("points").alias("way"))
+    around = spatial.within(
+        rung.select("rel_id", "ring", F.col("at.x").alias("px"), F.col("at.y").alias("py")),
+        shells, "shell", x=F.col("px"), y=F.col("py"), spread_by=["rel_id", "ring"],
+        same=("rel_id", "rel_id")).where(F.col("shell.ring") != F.col("ring"))
+    # Of two rings one within the other, a point of the outer one may lie in the inner as well.
+    size = rung.select("rel_id", "ring", wkb.planar_area(wkb.make_polygon("points")).alias("size"))
+    larger = size.select(F.struct("rel_id", "ring").alias("shell"), F.col("size").alias("other"))
+    depth = (around.join(size, ["rel_id", "ring"]).join(larger, "shell")
+             .where(F.col("other") > F.col("size"))
+             .groupBy("rel_id", "ring").agg(F.count("*").alias("depth")))
+    role = F.when(F.col("depth") % 2 == 1, "inner").otherwise("outer")
+    parts = polygons_of(rung.drop("at", "role").join(depth, ["rel_id", "ring"], "left")
+                        .withColumn("role", role).drop("depth")).where(~F.col("orphan"))
+    whole = features.regroup(parts, "rel_id")
+    return ring_closure(edges).join(whole, "rel_id", "left").withColumnRenamed("rel_id", region)

@@ -258,21 +258,36 @@ def dissolve_outer_ways(spark, sf):
     return rings.outer_ways(I.grid_ways(spark, sf), "region")
 
 
-@query("dissolve_area", I.with_inputs("grid", "grid_ways") + """
-SELECT region, count(DISTINCT area_id) * 1e4 AS area FROM grid_ways GROUP BY region""")
-def dissolve_area(spark, sf):
-    """The border of each region stitched into rings; its area is the areas' sum."""
-    g = I.load(spark, sf, "grid")
-    ways = rings.outer_ways(I.grid_ways(spark, sf), "region")
-    # Way 2n runs east from grid corner n, way 2n+1 north; corners are 41 to a row.
+def _dissolved(spark, sf):
+    """The regions of the grid: way 2n runs east from corner n, 2n+1 north; 41 corners a row."""
+    area_ways = I.grid_ways(spark, sf)
     corner = F.floor(F.col("way_id") / 2)
-    step = F.when(F.col("way_id") % 2 == 0, 1).otherwise(41)
-    edges = ways.select(F.col("region").alias("rel_id"), "way_id", F.lit("outer").alias("role"),
-                        corner.alias("first"), (corner + step).alias("last"))
+    ends = area_ways.select("way_id").distinct().select(
+        "way_id", corner.alias("first"),
+        (corner + F.when(F.col("way_id") % 2 == 0, 1).otherwise(41)).alias("last"))
+
     def at(node):
         return F.struct(((node % 41) * 100).cast("double").alias("x"),
                         (F.floor(node / 41) * 100).cast("double").alias("y"))
-    points = edges.select("way_id", F.array(at(F.col("first")), at(F.col("last"))).alias("points")).distinct()
-    rung = rings.assemble(edges, points)
-    return rung.groupBy(F.col("rel_id").alias("region")).agg(
-        F.sum(wkb.planar_area(wkb.make_polygon("points"))).alias("area"))
+    points = ends.select("way_id", F.array(at(F.col("first")), at(F.col("last"))).alias("points"))
+    return rings.dissolve(area_ways, ends, points, "region")
+
+
+@query("dissolve_area", I.with_inputs("grid", "grid_ways") + """
+SELECT region, count(DISTINCT area_id) * 1e4 AS area, 1 AS n_parts, true AS closed
+FROM grid_ways GROUP BY region""")
+def dissolve_area(spark, sf):
+    """The union of each region: its border closes, its area is the areas' sum."""
+    return _dissolved(spark, sf).select("region", "area", "n_parts", "closed")
+
+
+@query("dissolve_cut", I.with_inputs("grid", "grid_ways") + """
+SELECT DISTINCT area_id, region FROM grid_ways""")
+def dissolve_cut(spark, sf):
+    """The middles of all areas cut by the dissolved regions: each lies in its own."""
+    middles = I.load(spark, sf, "grid").select("area_id", (F.col("i") * 100.0 + 50).alias("x"),
+                                               (F.col("j") * 100.0 + 50).alias("y"))
+    masks = _dissolved(spark, sf).where("closed").select("region", "way")
+    return spatial.within(middles, masks, "region", x=F.col("x"), y=F.col("y"),
+                          spread_by=["area_id"]).select("area_id", "region")
+
