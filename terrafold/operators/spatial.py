@@ -1,10 +1,14 @@
 """Box filters, exact refinement and the point-in-polygon join.
 
 The join never compares a point with a polygon it cannot meet. Each polygon is
-cut into square cells of a size chosen from its own extent (8 to 16 across), so
-that most of its area is cells wholly inside, and each other cell keeps only the segments a ray from that cell can cross. A point
-has one cell per cell size in use, so the join is a plain equi-join, and the
-exact test runs over the few segments of that cell inside the JVM.
+cut into square cells, from a size of its own extent down: a cell is quartered
+while more than CELL_SEGMENTS of the polygon's segments meet it. A cell keeps
+those segments and one fact, whether its lower left corner lies inside; a point
+in the cell lies on the same side as the corner unless the way between them
+crosses the border, which only the cell's own segments can tell. So the test
+costs the same whatever the polygon's size, inside the JVM, and cells that no
+segment meets need none. A point has one cell per cell size in use, and the
+join is an equi-join.
 """
 
 from __future__ import annotations
@@ -21,12 +25,9 @@ from terrafold.functions import wkb
 from terrafold.operators.skew import TASK_ROWS, join_spread
 from terrafold.workspace import stored
 
-# Cell sizes are powers of two metres; 16 m the smallest, 2^26 m the largest.
-MIN_LEVEL, MAX_LEVEL = 4, 26
-MAX_ACROSS = 16
-# Cells are numbered from -2^23; with 16 m cells that spans 134,000 km.
-_AXIS_BITS = 24
-_AXIS_HALF = 1 << (_AXIS_BITS - 1)
+# A cell is quartered while it holds more segments, at most this many times: where
+# more of them meet at one point, quartering does not part them.
+CELL_SEGMENTS, DEEPEST = 16, 24
 # Cells table up to this size goes to every executor, a larger one is shuffled.
 BROADCAST_BYTES = 128 * 1024 * 1024
 
@@ -63,19 +64,45 @@ def append_bbox(df: DataFrame, way: str = "way", bbox: str = "bbox") -> DataFram
 
 # ---------------------------------------------------------------- point in polygon
 
-def _cell(level: Column | int, cx: Column, cy: Column) -> Column:
-    half = F.lit(_AXIS_HALF)
-    level = F.lit(level) if isinstance(level, int) else level
-    return (F.shiftleft(level.cast("bigint"), 2 * _AXIS_BITS)
-            + F.shiftleft((cx + half).cast("bigint"), _AXIS_BITS) + (cy + half).cast("bigint"))
+def _cell(level: Column, cx: Column, cy: Column) -> Column:
+    """A cell as one number to join by; the join compares its place as well."""
+    return F.xxhash64(level.cast("int"), cx.cast("bigint"), cy.cast("bigint"))
 
 
-def _levels(extent: np.ndarray) -> np.ndarray:
-    need = np.ceil(np.log2(np.maximum(extent, 1e-9) / MAX_ACROSS))
-    level = np.maximum(need, MIN_LEVEL)
-    if len(level) and level.max() > MAX_LEVEL:
-        raise ValueError(f"polygon of {extent.max()} m is wider than the cell grid")
-    return level.astype(np.int64)
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owner and place within the owner of ``counts[i]`` things each."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _side(seg: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    x1, y1, x2, y2 = seg.T
+    return (x2 - x1) * (y - y1) - (x - x1) * (y2 - y1)
+
+
+def _right(seg: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Segments that a ray from (x, y) to larger x crosses; ends count half-open."""
+    up, down = seg[:, 1] <= y, seg[:, 3] <= y
+    side = _side(seg, x, y)
+    return (up & ~down & (side > 0)) | (down & ~up & (side < 0))
+
+
+def _above(seg: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether (x, y), moved a hair right and a hair of a hair up, lies above the segment's line."""
+    turn = np.where(seg[:, 2] > seg[:, 0], 1.0, -1.0)
+    side = _side(seg, x, y) * turn
+    return (side > 0) | ((side == 0) & ((seg[:, 3] - seg[:, 1]) * turn <= 0))
+
+
+def _flips(seg: np.ndarray, cx, cy, x, y) -> np.ndarray:
+    """Whether the way from (cx, cy) up to (cx, y), then along to (x, y), crosses the segment oddly.
+
+    Both legs see a corner they pass through as the ray test does, so the sum
+    over a closed border is exact.
+    """
+    along = ((seg[:, 1] <= y) != (seg[:, 3] <= y)) & (_right(seg, cx, y) != _right(seg, x, y))
+    up = ((seg[:, 0] <= cx) != (seg[:, 2] <= cx)) & (_above(seg, cx, cy) != _above(seg, cx, y))
+    return along != up
 
 
 @dataclass
@@ -91,110 +118,97 @@ class _Cells:
     segments: np.ndarray
 
 
-def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Owner and place within the owner of ``counts[i]`` things each."""
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+def _boxes(cx: np.ndarray, cy: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Cells as boxes, grown a little so that rounding never loses a touching segment."""
+    slack = side * 1e-6
+    return np.column_stack([cx * side - slack, cy * side - slack, (cx + 1) * side + slack,
+                            (cy + 1) * side + slack])
+
 
+def _odd(cell: np.ndarray, flips: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(cell, flips, minlength=n) % 2 == 1
 
-def _cut(segments: np.ndarray, first: np.ndarray, counts: np.ndarray) -> _Cells:
-    """Cells of polygons given as runs ``first, counts`` of ``segments``.
 
-    Works on all (cell, segment) pairs of the run at once; the caller keeps
-    their number in bounds.
+def _cut(segments: np.ndarray, first: np.ndarray, counts: np.ndarray,
+         most: int | None = None) -> Iterator[_Cells]:
+    """Cells of polygons given as runs ``first, counts`` of ``segments``, size by size.
+
+    All polygons of the run are quartered together; what is held at once is the
+    pairs of a cell with a segment that meets it.
     """
+    most = CELL_SEGMENTS if most is None else most
     lo = np.minimum(segments[:, :2], segments[:, 2:])
     hi = np.maximum(segments[:, :2], segments[:, 2:])
     low, high = np.minimum.reduceat(lo, first), np.maximum.reduceat(hi, first)
-    level = _levels((high - low).max(axis=1))
+    # Cells of the first size cover a polygon's box two across at most.
+    extent = np.maximum((high - low).max(axis=1), 1e-300)
+    level = np.ceil(np.log2(extent)).astype(np.int64)
+    # Finer than the coordinates themselves a cell cannot be told from its neighbour.
+    finest = np.ceil(np.log2(np.maximum(np.abs(np.hstack([low, high])).max(axis=1), 1e-300))
+                     ).astype(np.int64) - 50
+    level = np.maximum(level, finest)
     size = np.exp2(level)
     start = np.floor(low / size[:, None]).astype(np.int64)
     across = np.floor(high / size[:, None]).astype(np.int64) - start + 1
-    # All cells of the boxes, then all pairs of a cell with a segment of its polygon.
     polygon, nth = _spread(across[:, 0] * across[:, 1])
     cx = start[polygon, 0] + nth % across[polygon, 0]
     cy = start[polygon, 1] + nth // across[polygon, 0]
-    side = size[polygon]
     cell, nth = _spread(counts[polygon])
     seg = first[polygon][cell] + nth
-    # The ray runs to larger x, so only segments of its band and not to the left count.
-    mine = ((lo[seg, 1] <= ((cy + 1) * side)[cell]) & (hi[seg, 1] >= (cy * side)[cell])
-            & (hi[seg, 0] >= (cx * side)[cell]))
-    cell, seg = cell[mine], seg[mine]
-    boxes = _boxes(cx, cy, side)[cell]
-    reach = boxes.copy()
-    reach[:, 2] = np.inf
-    mine = wkb.segments_meet_box(segments[seg], reach)
-    cell, seg, boxes = cell[mine], seg[mine], boxes[mine]
-    near = wkb.segments_meet_box(segments[seg], boxes)
-    edge = np.bincount(cell, near, minlength=len(cx)) > 0
-    # Cells no segment comes near are on one side as a whole: ask their middle.
-    far = ~edge[cell]
-    inside = wkb.points_in_rings((cx + 0.5) * side, (cy + 0.5) * side, np.arange(len(cx)),
-                                 segments[seg[far]], cell[far], len(cx)) & ~edge
-    keep = edge | inside
-    used = edge[cell]
-    return _Cells(polygon[keep], level[polygon][keep], cx[keep], cy[keep], inside[keep],
-                  np.bincount(cell[used], minlength=len(cx))[keep], segments[seg[used]])
-
-
-def _boxes(cx: np.ndarray, cy: np.ndarray, side: np.ndarray) -> np.ndarray:
-    """Cells as boxes, grown a little so that rounding never loses a touching segment."""
-    slack = side * 1e-6
-    return np.column_stack([cx * side - slack, cy * side - slack, (cx + 1) * side + slack,
-                            (cy + 1) * side + slack])
-
-
-def _cut_large(segments: np.ndarray) -> Iterator[_Cells]:
-    """The same for one polygon of many segments, a band of cells at a time."""
-    lo, hi = segments[:, [1, 3]].min(axis=1), segments[:, [1, 3]].max(axis=1)
-    xs = segments[:, [0, 2]]
-    level = _levels(np.array([max(np.ptp(xs), hi.max() - lo.min())]))
-    size = float(np.exp2(level[0]))
-    columns = np.arange(int(xs.min() // size), int(xs.max() // size) + 1)
-    for cy in range(int(lo.min() // size), int(hi.max() // size) + 1):
-        band = segments[(lo <= (cy + 1) * size) & (hi >= cy * size)]
-        right = band[:, [0, 2]].max(axis=1)
-        boxes = _boxes(columns, np.full(len(columns), cy), np.full(len(columns), size))
-        for cx, box in zip(columns, boxes, strict=True):
-            reach = box.copy()
-            reach[2] = np.inf
-            mine = band[right >= cx * size]
-            mine = mine[wkb.segments_meet_box(mine, np.tile(reach, (len(mine), 1)))]
-            near = bool(wkb.segments_meet_box(mine, np.tile(box, (len(mine), 1))).any())
-            inside = not near and bool(len(mine)) and bool(wkb.points_in_rings(
-                np.array([(cx + 0.5) * size]), np.array([(cy + 0.5) * size]), np.zeros(1, int),
-                mine, np.zeros(len(mine), int), 1)[0])
-            if near or inside:
-                kept = mine if near else mine[:0]
-                yield _Cells(np.zeros(1, np.int64), level, np.array([cx]), np.array([cy]),
-                             np.array([inside]), np.array([len(kept)]), kept)
-
-
-# (cell, segment) pairs worked on at once; a polygon beyond it is cut by bands.
-PAIRS_AT_ONCE = 2_000_000
+    side = size[polygon]
+    level = level[polygon]
+    corner = _odd(cell, _right(segments[seg], (cx * side)[cell], (cy * side)[cell]), len(cx))
+    for depth in range(DEEPEST + 1):
+        near = wkb.segments_meet_box(segments[seg], _boxes(cx, cy, side)[cell])
+        cell, seg = cell[near], seg[near]
+        held = np.bincount(cell, minlength=len(cx))
+        split = (held > most) & (level > finest[polygon]) if depth < DEEPEST else held < 0
+        # Cells that nothing meets are on one side as a whole; outside ones are left out.
+        keep = ~split & ((held > 0) | corner)
+        used = keep[cell]
+        yield _Cells(polygon[keep], level[keep], cx[keep], cy[keep], corner[keep], held[keep],
+                     segments[seg[used]])
+        if not split.any():
+            return
+        parent = np.flatnonzero(split)
+        number = np.full(len(cx), -1)
+        number[parent] = np.arange(len(parent))
+        mine = split[cell]
+        pairs, seg = number[cell[mine]], seg[mine]
+        # Four children a parent; each gets all of the parent's segments to choose from.
+        n = len(parent)
+        child = np.arange(4 * n)
+        up, quarter = child % n, child // n
+        x0, y0 = (cx * side)[parent], (cy * side)[parent]
+        polygon, level = polygon[parent][up], level[parent][up] - 1
+        side = np.exp2(level)
+        cx, cy = cx[parent][up] * 2 + quarter % 2, cy[parent][up] * 2 + quarter // 2
+        cell = np.concatenate([pairs + q * n for q in range(4)])
+        seg = np.tile(seg, 4)
+        at = up[cell]
+        flips = _flips(segments[seg], x0[at], y0[at], (cx * side)[cell], (cy * side)[cell])
+        corner = corner[parent][up] != _odd(cell, flips, 4 * n)
+
+
+# (cell, segment) pairs a run of small polygons begins with.
+PAIRS_AT_ONCE = 500_000
 
 
 def _cut_batch(segments: np.ndarray, first: np.ndarray, counts: np.ndarray) -> Iterator[_Cells]:
-    pairs = counts * (MAX_ACROSS + 1) ** 2
-    large = pairs > PAIRS_AT_ONCE
-    for p in np.flatnonzero(large):
-        for cells in _cut_large(segments[first[p]:first[p] + counts[p]]):
-            cells.polygon = cells.polygon + p
-            yield cells
-    small = np.flatnonzero(~large)
-    run = np.cumsum(pairs[small]) // PAIRS_AT_ONCE
+    run = np.cumsum(counts * 4) // PAIRS_AT_ONCE
     for r in np.unique(run):
-        some = small[run == r]
-        owner, nth = _spread(counts[some])
-        cells = _cut(segments[first[some][owner] + nth],
-                     np.cumsum(counts[some]) - counts[some], counts[some])
-        cells.polygon = some[cells.polygon]
-        yield cells
+        some = np.flatnonzero(run == r)
+        a, b = first[some[0]], first[some[-1]] + counts[some[-1]]
+        for cells in _cut(segments[a:b], first[some] - a, counts[some]):
+            cells.polygon = some[cells.polygon]
+            yield cells
 
 
 def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
-    """(key, level, cx, cy, cell, inside, segments) for every polygon."""
+    """(key, level, cx, cy, cell, inside, segments) for every polygon.
+
+    ``inside`` is the side of the cell's lower left corner.
+    """
     schema = (f"`{key}` {polygons.schema[key].dataType.simpleString()}, level int, cx bigint, "
               "cy bigint, inside boolean, "
               "segments array<struct<x1:double,y1:double,x2:double,y2:double>>")
@@ -202,8 +216,7 @@ def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0)
-            rings = wkb.flatten(batch.column(1))
-            segs = wkb.segments(rings)
+            segs = wkb.segments(wkb.flatten(batch.column(1)))
             closed = segs.where(segs.kind == wkb.POLYGON)
             rows, xyxy = closed.row, closed.xyxy
             if not len(rows):
@@ -226,30 +239,49 @@ def polygon_cells(polygons: DataFrame, key: str, way: str = "way") -> DataFrame:
                         .alias("cell"), "inside", "segments")
 
 
-def _strictly_within(x: Column, y: Column, segments: Column) -> Column:
-    """Odd crossings of a ray to larger x, and no segment through the point."""
-    def side(s: Column) -> Column:
-        return (s["x2"] - s["x1"]) * (y - s["y1"]) - (x - s["x1"]) * (s["y2"] - s["y1"])
+# What a segment through the point adds to a count of crossings.
+_THROUGH = 1 << 20
 
-    def crossed(s: Column) -> Column:
-        up = (s["y1"] <= y) & (y < s["y2"]) & (side(s) > 0)
-        down = (s["y2"] <= y) & (y < s["y1"]) & (side(s) < 0)
-        return up | down
 
-    def through(s: Column) -> Column:
-        return ((side(s) == 0) & (F.least(s["x1"], s["x2"]) <= x)
-                & (x <= F.greatest(s["x1"], s["x2"])) & (F.least(s["y1"], s["y2"]) <= y)
-                & (y <= F.greatest(s["y1"], s["y2"])))
+def _crossed(s: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
+    """1 for a segment the way from the corner (x0, y0) to (x, y) crosses; _THROUGH if (x, y) is on it.
 
-    def count(test) -> Column:
-        """The first few one by one, which compiles; only what is beyond them loops."""
-        n = F.when(F.size(segments) > UNROLLED, F.size(F.filter(
-            F.slice(segments, UNROLLED + 1, 1 << 30), test))).otherwise(F.lit(0))
-        for i in range(UNROLLED):
-            n = n + F.when(test(F.get(segments, F.lit(i))), 1).otherwise(0)
-        return n
-
-    return (count(crossed) % 2 == 1) & (count(through) == 0)
+    The same two legs as in ``_flips``.
+    """
+    x1, y1, x2, y2 = (s[f] for f in wkb.SEGMENT_FIELDS)
+
+    def side(px: Column, py: Column) -> Column:
+        return (x2 - x1) * (py - y1) - (px - x1) * (y2 - y1)
+
+    straddles = (y1 <= y) != (y2 <= y)
+    rises = F.when(y1 <= y, 1).otherwise(-1)
+    right = ((side(x0, y) * rises) > 0) != ((side(x, y) * rises) > 0)
+    turn = F.when(x2 > x1, 1.0).otherwise(-1.0)
+
+    def above(py: Column) -> Column:
+        here = side(x0, py) * turn
+        return (here > 0) | ((here == 0) & ((y2 - y1) * turn <= 0))
+
+    along = straddles & right
+    up = ((x1 <= x0) != (x2 <= x0)) & (above(y0) != above(y))
+    through = ((side(x, y) == 0) & (F.least(x1, x2) <= x) & (x <= F.greatest(x1, x2))
+               & (F.least(y1, y2) <= y) & (y <= F.greatest(y1, y2)))
+    return F.when(through, _THROUGH).when(along != up, 1).otherwise(0)
+
+
+def _strictly_within(x: Column, y: Column) -> Column:
+    """On the corner's side unless the way crosses oddly, and no segment through the point."""
+    size = F.pow(F.lit(2.0), F.col("level"))
+    x0, y0 = F.col("cx") * size, F.col("cy") * size
+    segments = F.col("segments")
+    # The first few one by one, which compiles; what is beyond them in one pass.
+    n = F.when(F.size(segments) > UNROLLED, F.aggregate(
+        F.slice(segments, UNROLLED + 1, 1 << 30), F.lit(0),
+        lambda total, s: total + _crossed(s, x0, y0, x, y))).otherwise(F.lit(0))
+    for i in range(UNROLLED):
+        n = n + F.when(F.size(segments) > i, _crossed(F.get(segments, F.lit(i)), x0, y0, x, y)
+                       ).otherwise(F.lit(0))
+    return (n < _THROUGH) & (F.col("inside") != (n % 2 == 1))
 
 
 def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Column,
@@ -260,30 +292,31 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
     ``same`` names a column of the points and a field of a struct key that must
     agree; it is part of the join key.
 
-    Points on an edge are in no polygon. A polygon covers at most
-    (MAX_ACROSS + 1)^2 cells, most of them without segments. The cells table is
-    measured once: up to ``broadcast_bytes`` it is broadcast, beyond that both
-    sides are shuffled by cell with crowded cells salted.
+    Points on an edge are in no polygon. The cells table is measured once: up
+    to ``broadcast_bytes`` it is broadcast, beyond that both sides are shuffled
+    by cell with crowded cells salted.
     """
     cells = stored(polygon_cells(polygons, key, way), "cells")
     side = F.pow(F.lit(2.0), F.col("level"))
     size = cells.agg(
         F.sum(F.lit(48) + F.size("segments") * 48).alias("bytes"),
-        F.collect_set("level").alias("levels"),  # at most 23 levels exist
+        F.collect_set("level").alias("levels"),  # powers of two: some hundred at the very most
         F.min(F.col("cx") * side).alias("xmin"), F.max((F.col("cx") + 1) * side).alias("xmax"),
         F.min(F.col("cy") * side).alias("ymin"), F.max((F.col("cy") + 1) * side).alias("ymax"),
     ).first()
     levels = sorted(size["levels"])
     if not levels:
         return points.withColumn(key, F.lit(None).cast(polygons.schema[key].dataType)).limit(0)
-    at = F.array(*[_cell(n, F.floor(F.col("__x") / float(1 << n)),
-                         F.floor(F.col("__y") / float(1 << n))) for n in levels])
+    at = F.array(*[F.struct(
+        F.lit(n).alias("p_level"),
+        F.floor(F.col("__x") / F.lit(2.0 ** n)).cast("bigint").alias("p_cx"),
+        F.floor(F.col("__y") / F.lit(2.0 ** n)).cast("bigint").alias("p_cy")) for n in levels])
     # Where x and y are covering columns, these bounds reach the Parquet footer.
     located = (points.withColumn("__x", x).withColumn("__y", y)
                .where(F.col("__x").between(size["xmin"], size["xmax"])
                       & F.col("__y").between(size["ymin"], size["ymax"]))
-               .withColumn("cell", F.explode(at)))
-    cells = cells.drop("level", "cx", "cy")
+               .withColumn("__at", F.explode(at)))
+    located = located.withColumn("cell", _cell(*[F.col(f"__at.p_{c}") for c in ("level", "cx", "cy")]))
     if same is not None:
         located = located.withColumn("cell", F.struct("cell", F.col(same[0]).alias("same")))
         cells = cells.withColumn("cell", F.struct("cell", F.col(key)[same[1]].alias("same")))
@@ -291,7 +324,9 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
         near = located.join(F.broadcast(cells), "cell")
     else:
         near = join_spread(located, cells, "cell", spread_by=spread_by, task_rows=task_rows)
-    exact = F.col("inside") | _strictly_within(F.col("__x"), F.col("__y"), F.col("segments"))
+    there = (F.col("__at.p_cx") == F.col("cx")) & (F.col("__at.p_cy") == F.col("cy")) & (
+        F.col("__at.p_level") == F.col("level"))
+    exact = there & _strictly_within(F.col("__x"), F.col("__y"))
     return near.where(exact).select(*[F.col(f"`{c}`") for c in points.columns], key)
 
 

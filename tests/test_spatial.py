@@ -64,20 +64,59 @@ def test_stars_against_brute_force(spark, segments, radius):
     assert len(want) > 50
 
 
-def test_large_polygons_are_cut_by_bands_to_the_same_cells():
-    rng = np.random.default_rng(3)
-    angle = np.linspace(0, 2 * np.pi, 200, endpoint=False)
-    r = 5000 * rng.uniform(0.5, 1.0, 200)
-    ring = np.column_stack([r * np.cos(angle), r * np.sin(angle)])
-    seg = np.hstack([ring, np.roll(ring, -1, axis=0)])
-
-    def cells(parts):
-        return sorted((int(c.cx[i]), int(c.cy[i]), bool(c.inside[i]), int(c.counts[i]))
-                      for c in parts for i in range(len(c.cx)))
-
-    whole = cells([spatial._cut(seg, np.array([0]), np.array([len(seg)]))])
-    assert whole == cells(spatial._cut_large(seg))
-    assert any(c[2] for c in whole) and any(not c[2] for c in whole)
+def test_stars_in_degrees(spark):
+    """The same in lon/lat, where a polygon is a fraction of a unit wide."""
+    rng = np.random.default_rng(5)
+    angle = np.linspace(0, 2 * np.pi, 300, endpoint=False)
+    r = 0.2 * rng.uniform(0.3, 1.0, 300)
+    ring = [(139.7 + float(x), 35.6 + float(y)) for x, y in zip(r * np.cos(angle), r * np.sin(angle))]
+    ring.append(ring[0])
+    xy = [(139.7 + float(x), 35.6 + float(y)) for x, y in rng.uniform(-0.2, 0.2, (600, 2))] + ring
+    polygons = polygons_of(spark, [(5, g.polygon([ring]))])
+    assert found(within(points_of(spark, xy), polygons)) == [(i, 5) for i in brute(xy, [ring])]
+    cells = spatial.polygon_cells(polygons, "k").collect()
+    assert max(len(c["segments"]) for c in cells) <= spatial.CELL_SEGMENTS
+
+
+def comb(n):
+    """A closed border of about n whole-numbered sides, many through cell corners."""
+    rng = np.random.default_rng(n)
+    x = np.arange(n // 2)
+    top, low = rng.integers(1, 64, n // 2) * 8, -rng.integers(0, 64, n // 2) * 8
+    ring = [(float(a * 4), float(b)) for a, b in zip(x, top)]
+    ring += [(float(a * 4), float(b)) for a, b in zip(x[::-1], low[::-1])]
+    return [*ring, ring[0]]
+
+
+@pytest.mark.parametrize("most", [1, 3, 16])
+def test_every_cell_knows_its_corner(most):
+    ring = comb(200)
+    seg = np.array([(*a, *b) for a, b in zip(ring, ring[1:])])
+    rng = np.random.default_rng(most)
+    xy = [(float(x), float(y)) for x, y in rng.integers([0, -512], [400, 512], (3000, 2))]
+    want, got = set(brute(xy, [ring])), set()
+    for c in spatial._cut(seg, np.array([0]), np.array([len(seg)]), most):
+        ends = np.cumsum(c.counts)
+        for i in range(len(c.cx)):
+            size = 2.0 ** c.level[i]
+            own = c.segments[ends[i] - c.counts[i]:ends[i]]
+            for k, (x, y) in enumerate(xy):
+                if (x // size, y // size) != (c.cx[i], c.cy[i]):
+                    continue
+                lo, hi = np.minimum(own[:, :2], own[:, 2:]), np.maximum(own[:, :2], own[:, 2:])
+                on = (spatial._side(own, x, y) == 0) & (lo <= (x, y)).all(1) & ((x, y) <= hi).all(1)
+                flips = spatial._flips(own, c.cx[i] * size, c.cy[i] * size, x, y).sum()
+                if not on.any() and c.inside[i] != (flips % 2 == 1):
+                    got.add(k)
+    assert got == want and len(want) > 500
+
+
+def test_cells_of_a_large_border_stay_small():
+    ring = np.array(comb(100_000))
+    seg = np.hstack([ring[:-1], ring[1:]])
+    held = [c.counts for c in spatial._cut(seg, np.array([0]), np.array([len(seg)]))]
+    assert max(h.max(initial=0) for h in held) <= spatial.CELL_SEGMENTS
+    assert sum(len(h) for h in held) < len(seg)  # about as many cells as sides, not their square
 
 
 def test_overlaps_levels_and_parts(spark):
