@@ -21,37 +21,37 @@ from terrafold.llm import (  # noqa: E402
     packing,
     simhash,
 )
-from terrafold.llm.common import table  # noqa: E402
-from terrafold.workspace import attach, new_path  # noqa: E402
+from terrafold.llm.common import prepare, table  # noqa: E402
+from terrafold.workspace import new_path  # noqa: E402
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: documents without letters, or like no known language, go."""
-    attach(spark)
+    prepare(spark)
     return language_id.known_language(docs)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exact dedup: of equal texts the document with the largest id stays."""
-    attach(spark)
+    prepare(spark)
     return exact_dedup.keep_one(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: of each group the document with the smallest id stays."""
-    attach(spark)
+    prepare(spark)
     return simhash.keep_one(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Decontamination: documents that hold a window of a benchmark item go."""
-    attach(spark)
+    prepare(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the pieces of all documents that are left, with their token ids."""
-    attach(spark)
+    prepare(spark)
     return packing.pack(docs)
 
 
@@ -69,7 +69,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; the pieces of the last one."""
-    attach(spark)
+    prepare(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = new_path(spark, name)

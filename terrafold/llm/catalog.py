@@ -16,7 +16,7 @@ from terrafold.llm import (
     token_store,
     warc,
 )
-from terrafold.workspace import attach
+from terrafold.llm.common import prepare
 
 _QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
@@ -37,16 +37,16 @@ _ORACLES = {
 }
 
 
-def _attached(fn):
+def _prepared(fn):
     def run(spark, sf_dir):
-        attach(spark)
+        prepare(spark)
         return fn(spark, sf_dir)
 
     return run
 
 
 def queries() -> dict:
-    found = {name: _attached(fn) for name, fn in _QUERIES.items()}
+    found = {name: _prepared(fn) for name, fn in _QUERIES.items()}
     if importlib.util.find_spec("corpus_pipeline") is not None:
         import corpus_pipeline
 

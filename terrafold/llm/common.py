@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.workspace import attach
+
 # A key with more than 1/HOT_SHARE of all rows is hot; there are fewer than
 # HOT_SHARE such keys whatever the table's size, which bounds their broadcast.
 HOT_SHARE = 1024
@@ -16,9 +18,19 @@ BROADCAST_ROWS = 1_000_000
 # Texts are handed to Python code in slices of about this many bytes.
 SLICE_BYTES = 2 << 20
 
+# Batches that go to and from Python are at most about this large. Spark's own limit
+# of 64 MB would hold thousands of texts several times over in one executor.
+BATCH_BYTES = "4m"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def prepare(spark) -> None:
+    """Ship the package and bound the session's Arrow batches; every query begins with it."""
+    attach(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

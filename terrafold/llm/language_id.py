@@ -126,7 +126,7 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> list[tuple[str, int, int]]
                 for lang, rows in by.items():
                     found = np.unique(np.concatenate(rows), return_counts=True)
                     held[lang] = _merged(held.get(lang), found)
-                    if len(held[lang][0]) > 1 << 20:
+                    if len(held[lang][0]) > 1 << 18:
                         yield _counted(lang, *held.pop(lang))
         for lang, found in held.items():
             yield _counted(lang, *found)
