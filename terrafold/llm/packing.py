@@ -138,7 +138,7 @@ class Plan:
 
 def tokenised(docs: DataFrame, vocabulary: str = WORD_VOCABULARY,
               end_id: int = END_ID) -> DataFrame:
-    """doc_id, queue, part, before, ids: each text's ids and their place in queue and part."""
+    """doc_id, queue, part, before, n, ids: each text's ids and their place in queue and part."""
     def run(batches):
         part, held, tool = TaskContext.get().partitionId(), {}, encoder(vocabulary)
         for batch in batches:
@@ -152,14 +152,15 @@ def tokenised(docs: DataFrame, vocabulary: str = WORD_VOCABULARY,
                 yield pa.RecordBatch.from_arrays(
                     [column_of(batch, "doc_id").slice(a, b - a), queues,
                      pa.array([part] * len(packed), pa.int64()), pa.array(before, pa.int64()),
-                     ids_column(packed)], ["doc_id", "queue", "part", "before", "ids"])
+                     pa.array([len(p) // 4 for p in packed], pa.int64()), ids_column(packed)],
+                    ["doc_id", "queue", "part", "before", "n", "ids"])
 
     # A null source is a queue of its own, apart from any text a source may hold.
     queue = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))
     rows = docs.select("doc_id", queue.alias("queue"), text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, queue string, part bigint, before bigint, ids array<int>")
+        run, f"doc_id {kind}, queue string, part bigint, before bigint, n bigint, ids array<int>")
 
 
 def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_ID,
@@ -175,7 +176,7 @@ def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_I
     than the rounding it carries on.
     """
     tokens = stored(tokenised(docs, vocabulary, end_id), "tokens")
-    parts = stored(tokens.groupBy("queue", "part").agg(F.sum(F.size("ids")).alias("n")), "parts")
+    parts = stored(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "parts")
     sums = parts.groupBy("queue").agg(F.sum("n").alias("n"))
     own = sums.orderBy(F.desc("n"), "queue").limit(queues).collect()  # at most QUEUES rows
     slots = {r["queue"]: i for i, r in enumerate(own)}
