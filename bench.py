@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -33,7 +34,8 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("terrafold-bench")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
              .config("spark.sql.shuffle.partitions", cpus)
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
+             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from terrafold.plans import catalog
 

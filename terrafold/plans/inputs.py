@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
 from terrafold.operators import layout
-from terrafold.operators.elements import Elements
-from terrafold.workspace import new_path
+from terrafold.operators.elements import Elements, way_points
+from terrafold.workspace import new_path, stored
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -216,14 +216,22 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.withColumn("tags", F.from_json("tags", "map<string,string>"))
 
 
+_ELEMENTS: dict[tuple[str, str], Elements] = {}
+
+
 def elements(spark: SparkSession, sf_dir: str) -> Elements:
-    nodes = load(spark, sf_dir, "nodes").select(
-        F.col("node_id").alias("id"), (F.col("lon5") / 1e5).alias("lon"),
-        (F.col("lat5") / 1e5).alias("lat"), "lon5", "lat5")
-    refs = load(spark, sf_dir, "way_refs")
-    members = load(spark, sf_dir, "members")
-    return Elements(nodes, refs.select(F.col("way_id").alias("id")).distinct(),
-                    members.select(F.col("rel_id").alias("id")).distinct(), refs, members)
+    """The snapshot, its distinct rows worked out once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ELEMENTS:
+        nodes = load(spark, sf_dir, "nodes").select(
+            F.col("node_id").alias("id"), (F.col("lon5") / 1e5).alias("lon"),
+            (F.col("lat5") / 1e5).alias("lat"), "lon5", "lat5")
+        refs = load(spark, sf_dir, "way_refs")
+        members = load(spark, sf_dir, "members")
+        _ELEMENTS[key] = Elements(*[stored(df, "elements") for df in (
+            nodes, refs.select(F.col("way_id").alias("id")).distinct(),
+            members.select(F.col("rel_id").alias("id")).distinct(), refs, members)])
+    return _ELEMENTS[key]
 
 
 # Node numbers of the ring ways: three along each side, then the closed rings.
@@ -260,7 +268,15 @@ def ring_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- written tables
 
-_PLAIN = {"points": point_table, "parts": part_table}
+def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ways of the snapshot as lines, in the nodes' integer coordinates."""
+    el = elements(spark, sf_dir)
+    return way_points(el.way_refs, el.nodes, "lon5", "lat5").select(
+        F.col("way_id").alias("osm_id"), wkb.make_line("points").alias("way"))
+
+
+_PLAIN = {"points": point_table, "parts": part_table, "lines": line_table,
+          "areas": lambda spark, sf_dir: area_table(spark, sf_dir).drop("cx", "cy")}
 _STAGED: dict[tuple[str, str, str], tuple[str, str]] = {}
 
 

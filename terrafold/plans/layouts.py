@@ -198,18 +198,20 @@ def layout_sweep(spark, sf):
 
 @query("prune_before_after")
 def prune_before_after(spark, sf):
-    """Groups and bytes per query in plain order with boxes, and laid out."""
+    """Groups and bytes per query in plain order with boxes, and laid out: points, lines, areas."""
+    x, y, _, _ = I.BOX5
+    small = (15545000, 4230000, 15546000, 4231000)
+    asked = {"points": ({"box": I.BOX, "small box": small}, {"cafe": ("amenity", "cafe")}),
+             "lines": ({"box": I.BOX5, "small box": (x, y, x + 1000, y + 1000)}, None),
+             "areas": ({"box": I.BOX, "small box": small}, {"cafe": ("amenity", "cafe")})}
     out = None
-    for name in ("points", "parts"):
+    for name, (boxes, equals) in asked.items():
         plain, laid = I.staged(spark, sf, name)
         before = new_path(spark, "before")
         boxed = spatial.append_bbox(spark.read.parquet(plain))
         (boxed.write.option("parquet.block.row.count.limit", str(I.ROWS_PER_GROUP))
          .option("compression", "zstd").parquet(before))
-        table = layout.prune_table(
-            spark, {"before": before, "after": laid},
-            {"box": I.BOX, "small box": (15545000, 4230000, 15546000, 4231000)},
-            {"cafe": ("amenity", "cafe")} if name == "points" else None)
+        table = layout.prune_table(spark, {"before": before, "after": laid}, boxes, equals)
         table = table.select(F.lit(name).alias("table"), "*")
         out = table if out is None else out.union(table)
     return out
