@@ -271,9 +271,9 @@ def _crossed(s: Column, x0: Column, y0: Column, x: Column, y: Column) -> Column:
 
 def _strictly_within(x: Column, y: Column) -> Column:
     """On the corner's side unless the way crosses oddly, and no segment through the point."""
-    size = F.pow(F.lit(2.0), F.col("level"))
-    x0, y0 = F.col("cx") * size, F.col("cy") * size
-    segments = F.col("segments")
+    size = F.pow(F.lit(2.0), F.col("__c.level"))
+    x0, y0 = F.col("__c.cx") * size, F.col("__c.cy") * size
+    segments = F.col("__c.segments")
     # The first few one by one, which compiles; what is beyond them in one pass.
     n = F.when(F.size(segments) > UNROLLED, F.aggregate(
         F.slice(segments, UNROLLED + 1, 1 << 30), F.lit(0),
@@ -281,7 +281,7 @@ def _strictly_within(x: Column, y: Column) -> Column:
     for i in range(UNROLLED):
         n = n + F.when(F.size(segments) > i, _crossed(F.get(segments, F.lit(i)), x0, y0, x, y)
                        ).otherwise(F.lit(0))
-    return (n < _THROUGH) & (F.col("inside") != (n % 2 == 1))
+    return (n < _THROUGH) & (F.col("__c.inside") != (n % 2 == 1))
 
 
 def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Column,
@@ -316,16 +316,20 @@ def within(points: DataFrame, polygons: DataFrame, key: str, *, x: Column, y: Co
                .where(F.col("__x").between(size["xmin"], size["xmax"])
                       & F.col("__y").between(size["ymin"], size["ymax"]))
                .withColumn("__at", F.explode(at)))
-    located = located.withColumn("cell", _cell(*[F.col(f"__at.p_{c}") for c in ("level", "cx", "cy")]))
+    located = located.withColumn(
+        "__cell", _cell(*[F.col(f"__at.p_{c}") for c in ("level", "cx", "cy")]))
+    # What cells say stands in one column, so that no name of the points is taken twice.
+    cells = cells.select(key, F.col("cell").alias("__cell"), F.struct(
+        "level", "cx", "cy", "inside", "segments").alias("__c"))
     if same is not None:
-        located = located.withColumn("cell", F.struct("cell", F.col(same[0]).alias("same")))
-        cells = cells.withColumn("cell", F.struct("cell", F.col(key)[same[1]].alias("same")))
+        located = located.withColumn("__cell", F.struct("__cell", F.col(same[0]).alias("same")))
+        cells = cells.withColumn("__cell", F.struct("__cell", F.col(key)[same[1]].alias("same")))
     if (size["bytes"] or 0) <= broadcast_bytes:
-        near = located.join(F.broadcast(cells), "cell")
+        near = located.join(F.broadcast(cells), "__cell")
     else:
-        near = join_spread(located, cells, "cell", spread_by=spread_by, task_rows=task_rows)
-    there = (F.col("__at.p_cx") == F.col("cx")) & (F.col("__at.p_cy") == F.col("cy")) & (
-        F.col("__at.p_level") == F.col("level"))
+        near = join_spread(located, cells, "__cell", spread_by=spread_by, task_rows=task_rows)
+    there = ((F.col("__at.p_cx") == F.col("__c.cx")) & (F.col("__at.p_cy") == F.col("__c.cy"))
+             & (F.col("__at.p_level") == F.col("__c.level")))
     exact = there & _strictly_within(F.col("__x"), F.col("__y"))
     return near.where(exact).select(*[F.col(f"`{c}`") for c in points.columns], key)
 
