@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import importlib.util
-
+import corpus_pipeline
 from terrafold.llm import (
     chat,
     decontaminate,
@@ -46,12 +45,8 @@ def _prepared(fn):
 
 
 def queries() -> dict:
-    found = {name: _prepared(fn) for name, fn in _QUERIES.items()}
-    if importlib.util.find_spec("corpus_pipeline") is not None:
-        import corpus_pipeline
-
-        found["pipeline"] = corpus_pipeline.run
-    return found
+    return {name: _prepared(fn) for name, fn in _QUERIES.items()} | {
+        "pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
