@@ -23,6 +23,8 @@ PROFILE = 400
 # First picked within this many shares of a language's n-grams, then among those.
 SHARES = 64
 HELD_OUT, FOLDS = 0, 5
+# Texts whose n-grams are counted together; each byte of them takes some 70 meanwhile.
+LEARNED_BYTES = 1 << 19
 UNKNOWN = "und"
 
 # Characters are packed 21 bits each, the last one lowest; 1 is the border of a word,
@@ -119,7 +121,7 @@ def learn(docs: DataFrame, profile: int = PROFILE) -> list[tuple[str, int, int]]
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             texts, langs = column_of(batch, "text"), column_of(batch, "lang").to_pylist()
-            for a, b in slices(texts, 2 << 20):
+            for a, b in slices(texts, LEARNED_BYTES):
                 by: dict[str, list[np.ndarray]] = {}
                 for lang, text in zip(langs[a:b], texts.slice(a, b - a).to_pylist()):
                     by.setdefault(lang, []).append(grams_of(codes_of(text)))

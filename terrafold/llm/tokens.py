@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 # Runs a worker remembers; beyond it the half learned last, mostly rare ones, is forgotten.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 # Marks that never join with a letter before them; the last of the Latin
 # letters, whose classes and lower case no edition of the standard changes.
 TAIL, LATIN = ".,;:!?", "\u024f"
