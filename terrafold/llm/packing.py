@@ -35,8 +35,11 @@ from terrafold.workspace import stored
 
 LENGTH = 4096
 END_ID = 2
-# Queues with a target of their own; the smaller sources share one more queue.
-QUEUES = 1000
+# Queues dealt at once. The smaller sources share one more queue, itself dealt to them by
+# a tree of rounds, BRANCH sources or branches a node, about TURN tokens each a round.
+QUEUES, BRANCH, TURN = 1000, 64, 16
+# Nodes of that tree whose rounds a task remembers, and spans of each.
+NODES, NODE_SPANS = 64, 8
 # Children a span of windows is dealt to.
 FAN = 64
 # Spans whose rounds a task remembers, and documents it cuts at once.
@@ -87,7 +90,8 @@ class Plan:
     """Which place of which window each token of each queue has."""
 
     def __init__(self, totals: list[int], length: int = LENGTH,
-                 shares: list[float] | None = None):
+                 shares: list[float] | None = None, spans: int = SPANS):
+        self.most = spans
         self.totals = np.array(totals, np.int64)
         self.length = length
         self.tokens = int(self.totals.sum())
@@ -111,7 +115,7 @@ class Plan:
         bounds = np.zeros((len(sizes) + 1, len(totals)), np.int64)
         np.cumsum(dealt, axis=0, out=bounds[1:])
         found = self.spans[key] = (bounds.T.tolist(), dealt, np.cumsum(dealt, axis=1) - dealt)
-        if len(self.spans) > SPANS:
+        if len(self.spans) > self.most:
             self.spans.popitem(last=False)
         return found
 
@@ -173,12 +177,17 @@ def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_I
     empty table gives none. ``shares`` gives sources a target proportion (those
     left out keep what remains in proportion to their size); by default each
     source's share of all tokens is its target, which no window misses by more
-    than the rounding it carries on.
+    than the rounding it carries on. Sources outside the ``queues`` largest, unless
+    named in ``shares``, are such a queue together; inside it, each is dealt its
+    share of their tokens in turns of about TURN.
     """
     tokens = stored(tokenised(docs, vocabulary, end_id), "tokens")
     parts = stored(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "parts")
     sums = parts.groupBy("queue").agg(F.sum("n").alias("n"))
-    own = sums.orderBy(F.desc("n"), "queue").limit(queues).collect()  # at most QUEUES rows
+    asked = F.col("queue").isin([f"={k}" for k in shares]) if shares else F.lit(False)
+    # At most QUEUES rows, and as many as shares were given.
+    own = (sums.orderBy(F.desc(asked), F.desc("n"), "queue")
+           .limit(queues + len(shares or {})).collect())
     slots = {r["queue"]: i for i, r in enumerate(own)}
     held = [r["n"] for r in own]
     total = parts.agg(F.sum("n")).first()[0] or 0
@@ -195,7 +204,48 @@ def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_I
                    "bases")
     rows = tokens.join(bounded(bases), ["queue", "part"]).select(
         "doc_id", "queue", "slot", (F.col("base") + F.col("before")).alias("place"), "ids")
-    return _pieces(rows, held, length, target)
+    if not held[-1]:
+        return _pieces(rows.withColumn("path", F.lit(None).cast(PATH)), held, length, target)
+    small = _tree(sums.join(named, "queue", "left_anti"))
+    # Each small source holds less than one of QUEUES shares, so no key is hot.
+    spread = (rows.where(F.col("slot") == len(slots))
+              .join(bounded(small, SMALL), "queue")
+              .withColumn("place", F.col("place") - F.col("first")).drop("first"))
+    rows = rows.where(F.col("slot") < len(slots)).withColumn("path", F.lit(None).cast(PATH))
+    return _pieces(rows.unionByName(spread), held, length, target)
+
+
+# From a source up to the root: its node, its place there, and the totals of all places.
+PATH = "array<struct<node: bigint, slot: int, totals: array<bigint>>>"
+# Sources whose paths are broadcast.
+SMALL = 10_000
+
+
+def _tree(sums: DataFrame) -> DataFrame:
+    """queue, ``first`` (the tokens of queues before it by name) and PATH of each source.
+
+    Sources are ranked by size, so those that share a node are of like size.
+    """
+    ranked = running(sums.withColumn("one", F.lit(1)).withColumn("less", -F.col("n")),
+                     ["less", "queue"], "one", "rank").select("queue", "n", "rank")
+    rows = stored(running(ranked, ["queue"], "n", "first"), "ranked")
+    left, below = rows.count(), rows.select(F.col("rank").alias("key"), "n")
+    out, steps, size = rows.drop("n"), [], 1
+    while left > 1 or not steps:
+        level = len(steps)
+        node = F.floor(F.col("key") / BRANCH).cast("bigint")
+        nodes = stored(below.groupBy(node.alias("node")).agg(F.sort_array(F.collect_list(
+            F.struct("key", "n")))["n"].alias("totals"), F.sum("n").alias("n")), "nodes")
+        mine = F.floor(F.col("rank") / size).cast("bigint")
+        out = (out.withColumn("node", F.floor(mine / BRANCH).cast("bigint"))
+               .join(nodes.select("node", "totals"), "node")
+               .withColumn(f"step{level}", F.struct(
+                   "node", F.pmod(mine, F.lit(BRANCH)).cast("int").alias("slot"), "totals"))
+               .drop("node", "totals"))
+        steps.append(f"step{level}")
+        below, size = nodes.select(F.col("node").alias("key"), "n"), size * BRANCH
+        left = -(-left // BRANCH)
+    return stored(out.select("queue", "first", F.array(*steps).cast(PATH).alias("path")), "tree")
 
 
 def _targets(slots: dict[str, int], held: list[int], shares: dict[str, float] | None):
@@ -210,18 +260,39 @@ def _targets(slots: dict[str, int], held: list[int], shares: dict[str, float] |
 
 def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
     def run(batches):
-        plan = Plan(held, length, target)
+        plan, nodes = Plan(held, length, target), OrderedDict()
+
+        def places(path, place, n):
+            """(skipped, place, length) in the queue the windows are dealt from."""
+            runs = [(0, place, n)]
+            for level, step in enumerate(path or ()):
+                key = (level, step["node"])
+                if key not in nodes:
+                    nodes[key] = Plan(step["totals"], TURN * len(step["totals"]),
+                                      spans=NODE_SPANS)
+                    if len(nodes) > NODES:
+                        nodes.popitem(last=False)
+                nodes.move_to_end(key)
+                node = nodes[key]
+                runs = [(skipped + done, window * node.length + offset, size)
+                        for skipped, at, m in runs
+                        for done, size, window, offset in node.pieces(step["slot"], at, m)]
+            return runs
+
         for whole in batches:
             for at in range(0, whole.num_rows, AT_ONCE):
                 batch, out = whole.slice(at, AT_ONCE), []
-                for i, (queue, slot, place, packed) in enumerate(zip(
-                        *[column_of(batch, c).to_pylist() for c in ("queue", "slot", "place")],
+                for i, (queue, slot, place, path, packed) in enumerate(zip(
+                        *[column_of(batch, c).to_pylist()
+                          for c in ("queue", "slot", "place", "path")],
                         packed_of(column_of(batch, "ids")))):
                     n = len(packed) // 4
-                    for start, size, window, offset in plan.pieces(slot, place, n):
-                        ids = packed[4 * start:4 * (start + size)]
-                        out.append((i, start, size, zlib.crc32(ids), n, window, offset, queue,
-                                    ids))
+                    for skipped, at_place, m in places(path, place, n):
+                        for done, size, window, offset in plan.pieces(slot, at_place, m):
+                            start = skipped + done
+                            ids = packed[4 * start:4 * (start + size)]
+                            out.append((i, start, size, zlib.crc32(ids), n, window, offset,
+                                        queue, ids))
                 if out:
                     yield _batch(batch, out)
 

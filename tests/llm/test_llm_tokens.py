@@ -206,3 +206,30 @@ def test_deal_keeps_totals():
         dealt = packing.deal(totals, sizes or [0])
         assert (dealt >= 0).all() and (dealt.sum(axis=0) == totals).all()
         assert dealt.sum(axis=1).tolist() == (sizes or [0])
+
+
+def test_small_sources_are_mixed_too(spark, library):
+    """150 sources beside one queue of their own: every window draws on many of them."""
+    texts = [(i, f"s{i % 150:03}", "word " * 40) for i in range(600)]
+    docs = spark.createDataFrame([(-1, "big", "word " * 9000), *texts], DOCS).repartition(3)
+    found = packing.pack(docs, length=512, queues=1).collect()
+    windows, places, got = {}, set(), {}
+    for r in found:
+        if r["source_queue"] != "=big":
+            windows.setdefault(r["sequence_id"], set()).add(r["source_queue"])
+        places |= {(r["sequence_id"], r["offset"] + k) for k in range(r["length"])}
+    n = sum(r["length"] for r in found)
+    assert places == {divmod(k, 512) for k in range(n)}
+    assert min(len(windows[w]) for w in range(n // 512)) >= 15
+    for r in sorted(found, key=lambda r: r["start"]):
+        assert r["start"] == len(got.setdefault(r["doc_id"], []))
+        got[r["doc_id"]] += r["ids"]
+    assert got == {i: ids_of(library, t, packing.END_ID) for i, _, t in docs.collect()}
+
+
+def test_shares_of_small_sources_count(spark):
+    docs = spark.createDataFrame([(1, "a", "word " * 3000), (2, "b", "word " * 2000),
+                                  (3, "c", "word " * 500)], DOCS)
+    found = packing.pack(docs, length=100, shares={"c": 0.5}, queues=1).collect()
+    first = [r for r in found if r["sequence_id"] < 5 and r["source_queue"] == "=c"]
+    assert 240 <= sum(r["length"] for r in first) <= 260
