@@ -7,6 +7,7 @@ from terrafold.llm import (
     chat,
     decontaminate,
     exact_dedup,
+    filter_audit,
     language_id,
     lm_scoring,
     packing,
@@ -28,11 +29,13 @@ _QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_simhash": simhash.op9_simhash,
     "op10_lm_score": lm_scoring.op10_lm_score,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 _ORACLES = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op3_warc": warc.OP3_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
 
 
