@@ -8,9 +8,11 @@ from terrafold.llm import (
     decontaminate,
     exact_dedup,
     filter_audit,
+    hard_negatives,
     language_id,
     lm_scoring,
     packing,
+    secret_scan,
     simhash,
     token_counts,
     token_store,
@@ -29,12 +31,16 @@ _QUERIES = {
     "op8_token_counts": token_counts.op8_token_counts,
     "op9_simhash": simhash.op9_simhash,
     "op10_lm_score": lm_scoring.op10_lm_score,
+    "op11_secret_scan": secret_scan.op11_secret_scan,
+    "op12_hard_negatives": hard_negatives.op12_hard_negatives,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 _ORACLES = {
     "op1_decontaminate": decontaminate.OP1_SQL,
     "op3_warc": warc.OP3_SQL,
     "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op11_secret_scan": secret_scan.OP11_SQL,
+    "op12_hard_negatives": hard_negatives.OP12_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
 
