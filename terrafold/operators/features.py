@@ -80,12 +80,3 @@ def pair_distance(pairs: DataFrame, points: DataFrame, features: DataFrame,
                                measures.polygon_to_utm(F.col("way"), F.col("zone")))
     return rows.select(point_key, feature_key, raw.alias("raw"), true.alias("true")).groupBy(
         point_key, feature_key).agg(F.min("raw").alias("raw"), F.min("true").alias("true"))
-
-
-def counts_by_element(points_in: DataFrame, areas_in: DataFrame, key: str) -> DataFrame:
-    """Per area: point features, and features of every kind counted once per id."""
-    nodes = points_in.groupBy(key).agg(F.count("*").alias("nodes"))
-    every = points_in.select(key, "osm_id").union(areas_in.select(key, "osm_id"))
-    ids = every.distinct().groupBy(key).agg(F.count("*").alias("all_elements"))
-    return ids.join(nodes, key, "left").select(
-        key, F.coalesce("nodes", F.lit(0)).alias("nodes"), "all_elements")

@@ -19,10 +19,24 @@ TASK_ROWS = 2_000_000
 # Heavy keys up to this many are broadcast to both sides, more are joined by key.
 BROADCAST_KEYS = 100_000
 
+# Tables that Spark estimates smaller are dealt out evenly where a row makes much work.
+SMALL_BYTES = 256 << 20
+
 _SALT = "__salt"
 _SALTS = "__salts"
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if it is small: a small table comes in few splits.
+
+    Goes by the optimizer's own estimate, without a job; larger tables have
+    splits enough and are left where they are.
+    """
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= SMALL_BYTES:
+        return df
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def heavy_keys(df: DataFrame, keys: list[str],
                task_rows: int = TASK_ROWS) -> dict[str, DataFrame]:
     """Per key column a stored table (key, __salts) of the keys over ``task_rows`` rows.

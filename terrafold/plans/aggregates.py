@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
-from terrafold.operators import digest, elements, features, layout, rings, spatial
+from terrafold.operators import digest, elements, features, layout, relate, rings, spatial
 from terrafold.plans import inputs as I
 from terrafold.plans.joins import WITHIN
 from terrafold.plans.registry import query
@@ -153,24 +153,47 @@ def multipolygon_regroup(spark, sf):
                     (F.abs(wkb.planar_area("way") - F.col("area")) < 1e-6).alias("area_agrees"))
 
 
-@query("nwr_counts", I.with_inputs("points", "areas", "wards") + f""",
-n AS (SELECT w.ward_id, p.osm_id FROM points p JOIN wards w ON {WITHIN} WHERE p.amenity = 'cafe'),
-r AS (SELECT w.ward_id, p.osm_id FROM (SELECT *, cx AS xi, cy AS yi FROM areas) p
-      JOIN wards w ON abs(p.xi - w.cx) * w.b + abs(p.yi - w.cy) * w.a < w.a * w.b
-      WHERE p.amenity = 'cafe')
-SELECT ward_id, count(*) FILTER (WHERE osm_id > 0) AS nodes, count(DISTINCT osm_id) AS all_elements
-FROM (SELECT * FROM n UNION ALL SELECT * FROM r) u GROUP BY ward_id""")
+# g grows from 0 in a ward's middle to top on its border; a hole ends at a third of that.
+_IN_WARD = "abs({x} - w.cx) * w.b + abs({y} - w.cy) * w.a"
+
+
+@query("nwr_counts", I.with_inputs("points", "features", "wards") + f""",
+w AS (SELECT *, a * b AS top, CASE WHEN ward_id % 3 = 0 THEN a * b / 3e0 ELSE -1 END AS hole FROM wards),
+n AS (SELECT w.ward_id, count(*) AS n FROM points p JOIN w
+      ON {_IN_WARD.format(x='p.xi', y='p.yi')} < w.top AND {_IN_WARD.format(x='p.xi', y='p.yi')} > w.hole
+      WHERE p.amenity = 'cafe' GROUP BY 1),
+f AS (SELECT osm_id, cx - hx AS x1, cx + hx AS x2, CASE WHEN is_line THEN cy ELSE cy - hy END AS y1,
+             CASE WHEN is_line THEN cy ELSE cy + hy END AS y2, is_line, cx AS mx
+      FROM features WHERE amenity = 'cafe'),
+g AS (SELECT w.ward_id, w.top, w.hole, is_line,
+        {_IN_WARD.format(x='least(greatest(w.cx, x1), x2)', y='least(greatest(w.cy, y1), y2)')} AS low,
+        [{', '.join(_IN_WARD.format(x=x, y=y) for x in ('x1', 'x2') for y in ('y1', 'y2'))}] AS corners,
+        {_IN_WARD.format(x='mx', y='y1')} AS middle
+      FROM f, w),
+j AS (SELECT *, CASE WHEN is_line THEN list_append(corners, middle) ELSE corners END AS vals FROM g),
+r AS (SELECT ward_id,
+        count(*) FILTER (len(list_filter(vals, lambda v: v > hole AND v < top)) > 0) AS any_node,
+        count(*) FILTER (low > hole AND list_max(vals) < top) AS wholly,
+        count(*) FILTER (low <= top AND list_max(vals) >= hole) AS meeting
+      FROM j GROUP BY ward_id)
+SELECT ward_id, coalesce(n, 0) AS nodes, coalesce(n, 0) + any_node AS all_elements,
+       coalesce(n, 0) + wholly AS inside_elements, coalesce(n, 0) + meeting AS meeting_elements
+FROM r LEFT JOIN n USING (ward_id)""")
 def nwr_counts(spark, sf):
-    """Cafes per ward as point features only, and of every element type."""
-    wards = I.ward_table(spark, sf)
+    """Cafes per ward: as points, with the lines and areas that have a node inside, with those
+    wholly inside, and with all that meet it. Some wards have holes, some areas hold wards."""
+    wards = I.holed_wards(spark, sf)
     cafe = F.col("amenity") == "cafe"
     points = I.laid_out(spark, sf, "points").where(cafe).select(
         "osm_id", F.col("bbox.xmin").alias("x"), F.col("bbox.ymin").alias("y"))
-    areas = I.area_table(spark, sf).where(cafe).select(
-        "osm_id", F.col("cx").cast("double").alias("x"), F.col("cy").cast("double").alias("y"))
-    def inside(df):
-        return spatial.within(df, wards, "ward_id", x=F.col("x"), y=F.col("y"), spread_by=["osm_id"])
-    return features.counts_by_element(inside(points), inside(areas), "ward_id")
+    nodes = spatial.counts_within(points, wards, "ward_id", x=F.col("x"), y=F.col("y"),
+                                  spread_by=["osm_id"])
+    pairs = relate.relate(I.feature_table(spark, sf).where(cafe), wards, "osm_id", "ward_id")
+    found = nodes.join(relate.counts(pairs, "osm_id", "ward_id"), "ward_id", "left").na.fill(0)
+    return found.select("ward_id", F.col("n").alias("nodes"),
+                        (F.col("n") + F.col("any_node")).alias("all_elements"),
+                        (F.col("n") + F.col("wholly")).alias("inside_elements"),
+                        (F.col("n") + F.col("meeting")).alias("meeting_elements"))
 
 
 @query("place_coverage", I.with_inputs("areas", "tagged") + """,
@@ -221,9 +244,28 @@ SELECT c_custkey + 1 AS rel_id,
   (4 - (CASE WHEN c_custkey % 50 = 7 THEN 1 ELSE 0 END) + (CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END)
     + (CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END))::bigint AS ways,
   (CASE WHEN c_custkey % 50 = 7 THEN 2 ELSE 0 END)::bigint AS open_ends, 0::bigint AS branches,
-  c_custkey % 50 <> 7 AS closed FROM customer""")
+  0::bigint AS crossings, 0::bigint AS touches, c_custkey % 50 <> 7 AS closed FROM customer""")
 def ring_closure(spark, sf):
-    return rings.ring_closure(_edges(spark, sf))
+    return rings.ring_closure(_edges(spark, sf), _ring_points(spark, sf))
+
+
+@query("ring_touching", """
+SELECT c_custkey AS rel_id, c_custkey % 4 AS kind, (CASE WHEN c_custkey % 4 = 3 THEN 1 ELSE 0 END)::bigint AS crossings,
+  (CASE WHEN c_custkey % 4 = 3 THEN 0 ELSE 1 END)::bigint AS touches, c_custkey % 4 <> 3 AS closed,
+  (CASE c_custkey % 4 WHEN 0 THEN 2 WHEN 3 THEN 0 ELSE 1 END)::bigint AS polygons,
+  pow(20 + c_custkey % 30, 2) * CASE c_custkey % 4 WHEN 0 THEN 8 WHEN 3 THEN 0 ELSE 14 END AS area
+FROM customer""")
+def ring_touching(spark, sf):
+    """Rings that meet at a node: two squares, a hole in a shell, the same without its role,
+    and a hole that crosses the shell, which is reported and yields nothing."""
+    edges, points = I.touching_rings(spark, sf)
+    found = rings.polygons_of(rings.assemble(edges, points)).where(~F.col("orphan"))
+    sizes = found.groupBy("rel_id").agg(F.count("*").alias("polygons"),
+                                        F.sum(wkb.planar_area("way")).alias("area"))
+    return rings.ring_closure(edges, points).join(sizes, "rel_id", "left").select(
+        "rel_id", (F.col("rel_id") % 4).alias("kind"), "crossings", "touches", "closed",
+        F.coalesce("polygons", F.lit(0)).alias("polygons"),
+        F.coalesce("area", F.lit(0.0)).alias("area"))
 
 
 @query("ring_assembly", I.with_inputs("ring_members") + """
@@ -281,6 +323,15 @@ def dissolve_area(spark, sf):
     return _dissolved(spark, sf).select("region", "area", "n_parts", "closed")
 
 
+@query("dissolve_sides", I.with_inputs("grid", "grid_ways") + """
+SELECT region, count(DISTINCT area_id) * 1e4 AS area, 1 AS n_parts, true AS closed
+FROM grid_ways GROUP BY region""")
+def dissolve_sides(spark, sf):
+    """The same unions from the areas' sides, which neighbours break at different places."""
+    return rings.dissolve_sides(I.grid_boxes(spark, sf), "region").select(
+        "region", "area", "n_parts", "closed")
+
+
 @query("dissolve_cut", I.with_inputs("grid", "grid_ways") + """
 SELECT DISTINCT area_id, region FROM grid_ways""")
 def dissolve_cut(spark, sf):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import functions as F
 
 from terrafold.functions import measures, mercator, wkb
@@ -11,7 +9,7 @@ from terrafold.functions.hilbert import with_hilbert_key
 from terrafold.functions.mercator import EARTH_RADIUS
 from terrafold.operators import spatial
 from terrafold.plans import inputs as I
-from terrafold.plans.oracle import hilbert
+from terrafold.plans.oracle import hilbert, utm
 from terrafold.plans.registry import query
 
 R = repr(EARTH_RADIUS)
@@ -65,27 +63,7 @@ def mercator_inverse(spark, sf):
                     F.round(mercator.y_to_lat(F.col("yi").cast("double")), 7).alias("lat"))
 
 
-def _utm_twin(source: str, keep: str, lon: str, lat: str) -> str:
-    """CTEs ending in ``utm`` for zone 54. The conformal latitude comes from its
-    tangent form here and from artanh in the engine; the series is the same."""
-    n = mercator.FLATTENING / (2 - mercator.FLATTENING)
-    e = repr(math.sqrt(mercator.FLATTENING * (2 - mercator.FLATTENING)))
-    k = repr(0.9996 * EARTH_RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64))
-    a = [repr(v) for v in (
-        n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180,
-        13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
-        61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280)]
-    east = " + ".join(f"{v}::double * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, v in enumerate(a, 1))
-    north = " + ".join(f"{v}::double * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, v in enumerate(a, 1))
-    return f"""
-u0 AS (SELECT {keep}, tan(radians({lat})) AS t, radians({lon} - 141) AS dl FROM {source}),
-u1 AS (SELECT {keep}, t, dl, sinh({e}::double * atanh({e}::double * t / sqrt(1 + t * t))) AS sg FROM u0),
-u2 AS (SELECT {keep}, dl, t * sqrt(1 + sg * sg) - sg * sqrt(1 + t * t) AS tc FROM u1),
-u3 AS (SELECT {keep}, atan2(tc, cos(dl)) AS xi, asinh(sin(dl) / sqrt(tc * tc + cos(dl) * cos(dl))) AS eta FROM u2),
-utm AS (SELECT {keep}, 500000e0 + {k}::double * (eta + {east}) AS east, {k}::double * (xi + {north}) AS north FROM u3)"""
-
-
-@query("utm_project", I.with_inputs("nodes") + ", " + _utm_twin(
+@query("utm_project", I.with_inputs("nodes") + ", " + utm(
     "nodes", "node_id", "lon5 / 1e5", "lat5 / 1e5")
        + " SELECT node_id, round(east, 2) AS east, round(north, 2) AS north FROM utm")
 def utm_project(spark, sf):
@@ -103,7 +81,7 @@ corner AS (SELECT part_no, k, CASE WHEN k IN (0, 3) THEN x1 ELSE x2 END AS x,
              CASE WHEN k < 2 THEN y1 ELSE y2 END AS y
            FROM (SELECT *, unnest(range(4)) AS k FROM parts) c),
 ll AS (SELECT part_no, k, degrees(x / {R}) AS lon, {_LL} AS lat FROM corner),
-{_utm_twin("ll", "part_no, k", "lon", "lat")},
+{utm("ll", "part_no, k", "lon", "lat")},
 side AS (SELECT a.part_no, a.east * b.north - b.east * a.north AS twice,
            sqrt(pow(b.east - a.east, 2) + pow(b.north - a.north, 2)) AS len
          FROM utm a JOIN utm b ON a.part_no = b.part_no AND b.k = (a.k + 1) % 4),

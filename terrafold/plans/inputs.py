@@ -63,6 +63,18 @@ SELECT -(c_custkey + 1) AS osm_id,
        20 + c_custkey % 30 AS s
 FROM {customer}"""
 
+# Ways and areas of all sizes: a line of three nodes or a box round each customer, a tenth of
+# them wider than a ward.
+FEATURES = """
+SELECT -(c_custkey + 1) AS osm_id, c_custkey % 3 = 0 AS is_line,
+       CASE WHEN c_custkey % 2 = 0 THEN 'cafe' END AS amenity,
+       15523000 + (c_custkey * 7919) % 63000 AS cx, 4214000 + (c_custkey * 104729) % 60000 AS cy,
+       (20 + c_custkey % 30) * CASE c_custkey % 10 WHEN 0 THEN 300 WHEN 1 THEN 40
+                                    WHEN 2 THEN 40 ELSE 1 END AS hx,
+       (20 + c_custkey % 30) * CASE c_custkey % 10 WHEN 0 THEN 290 WHEN 1 THEN 9
+                                    WHEN 2 THEN 60 ELSE 1 END AS hy
+FROM {customer}"""
+
 NODES = """
 SELECT DISTINCT l_orderkey * 10 + l_linenumber AS node_id,
        13945000 + (l_orderkey * 7919 + l_linenumber * 977) % 57000 AS lon5,
@@ -126,7 +138,8 @@ RULES = [
 ]
 
 ALL = {"points": POINTS, "wards": WARDS, "parts": PARTS, "areas": AREAS, "nodes": NODES,
-       "way_refs": WAY_REFS, "members": MEMBERS, "tagged": TAGGED, "grid": GRID}
+       "features": FEATURES, "way_refs": WAY_REFS, "members": MEMBERS, "tagged": TAGGED,
+       "grid": GRID}
 _NAMES = {t: t for t in TABLES}
 _CUSTOMER_K = "(SELECT *, unnest(range(6)) AS k FROM customer) ck"
 _GRID_K = "(SELECT *, unnest(range(4)) AS k FROM grid) gk"
@@ -183,16 +196,46 @@ def ward_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("ward_id", "name", diamond("cx", "cy", "a", "b").alias("way"))
 
 
+def holed_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wards, every third with a diamond a third as wide cut out of its middle."""
+    def ring(part: int) -> Column:
+        return diamond_ring("cx", "cy", f"a{part}", f"b{part}")
+
+    w = load(spark, sf_dir, "wards").select("*", *[
+        (F.col(c) / n).alias(f"{c}{n}") for c in "ab" for n in (1, 3)])
+    rings = F.when(F.col("ward_id") % 3 == 0, F.array(ring(1), ring(3))).otherwise(F.array(ring(1)))
+    return w.select("ward_id", "name", wkb.make_polygon_with_holes(rings).alias("way"))
+
+
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and boxes of all sizes."""
+    f = load(spark, sf_dir, "features")
+
+    def at(dx: int, dy: int) -> Column:
+        return F.struct((F.col("cx") + F.col("hx") * dx).cast("double").alias("x"),
+                        (F.col("cy") + F.col("hy") * dy).cast("double").alias("y"))
+
+    line = wkb.make_line(F.array(at(-1, 0), at(0, 0), at(1, 0)))
+    box = wkb.make_polygon(F.array(at(-1, -1), at(1, -1), at(1, 1), at(-1, 1), at(-1, -1)))
+    return f.select("osm_id", "amenity", "is_line", line.alias("line"), box.alias("box")).select(
+        "osm_id", "amenity", F.when(F.col("is_line"), F.col("line")).otherwise(F.col("box"))
+        .alias("way"))
+
+
 def diamond(cx: str, cy: str, a: str, b: str) -> Column:
     """Diamond polygon from centre and half axes, as the SQL twins assume it."""
+    return wkb.make_polygon(diamond_ring(cx, cy, a, b))
+
+
+def diamond_ring(cx: str, cy: str, a: str, b: str) -> Column:
     def corner(dx: Column, dy: Column) -> Column:
         return F.struct((F.col(cx) + dx).cast("double").alias("x"),
                         (F.col(cy) + dy).cast("double").alias("y"))
 
     zero = F.lit(0)
     east = corner(F.col(a), zero)
-    return wkb.make_polygon(F.array(east, corner(zero, F.col(b)), corner(-F.col(a), zero),
-                                    corner(zero, -F.col(b)), east))
+    return F.array(east, corner(zero, F.col(b)), corner(-F.col(a), zero),
+                   corner(zero, -F.col(b)), east)
 
 
 def part_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,6 +309,56 @@ def ring_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select((F.col("c") * 20 + F.col("i")).alias("id"), x.alias("x"), y.alias("y"))
 
 
+# Corners of the ways of touching rings, in half units; a relation's kind is its number modulo 4.
+_TOUCH = {
+    0: [("outer", [(2, 2), (0, 2), (0, 0)]), ("outer", [(0, 0), (2, 0), (2, 2)]),
+        ("outer", [(2, 2), (4, 2), (4, 4)]), ("outer", [(4, 4), (2, 4), (2, 2)])],
+    1: [("outer", [(2, 0), (4, 0), (4, 4)]), ("outer", [(4, 4), (0, 4), (0, 0), (2, 0)]),
+        ("inner", [(2, 0), (3, 1), (2, 2)]), ("inner", [(2, 2), (1, 1), (2, 0)])],
+    3: [("outer", [(2, 0), (4, 0), (4, 4)]), ("outer", [(4, 4), (0, 4), (0, 0), (2, 0)]),
+        ("inner", [(2, 0), (2, 2), (6, 2), (6, -2)]), ("inner", [(6, -2), (2, -2), (2, 0)])],
+}
+_TOUCH[2] = [("outer", way) for _, way in _TOUCH[1]]
+
+
+def touching_rings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Edges and points of relations whose rings meet at a node, one per customer."""
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("rel_id"), (20 + F.col("c_custkey") % 30).alias("s"))
+    ways = F.lit(None).cast("array<struct<role:string,xy:array<array<int>>>>")
+    for kind, members in _TOUCH.items():
+        ways = F.when(F.col("rel_id") % 4 == kind, F.array(*[
+            F.struct(F.lit(role).alias("role"), F.array(*[
+                F.array(F.lit(x), F.lit(y)) for x, y in way]).alias("xy"))
+            for role, way in members])).otherwise(ways)
+    w = c.select("rel_id", "s", F.posexplode(ways).alias("k", "w")).select(
+        "rel_id", (F.col("rel_id") * 10 + F.col("k")).alias("way_id"), "w.role",
+        F.transform("w.xy", lambda p: F.struct((p[0] * F.col("s")).cast("double").alias("x"),
+                                               (p[1] * F.col("s")).cast("double").alias("y")))
+        .alias("points"))
+    edges = w.select("rel_id", "way_id", "role", F.element_at("points", 1).alias("first"),
+                     F.element_at("points", -1).alias("last"))
+    return edges, w.select("way_id", "points")
+
+
+def grid_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grid's areas as polygons by region; every second one has a corner amid each side."""
+    g = load(spark, sf_dir, "grid").join(
+        grid_ways(spark, sf_dir).select("area_id", "region").distinct(), "area_id")
+
+    def at(dx: int, dy: int) -> Column:
+        return F.struct((F.col("i") * 100 + dx).cast("double").alias("x"),
+                        (F.col("j") * 100 + dy).cast("double").alias("y"))
+
+    corners = [at(0, 0), at(100, 0), at(100, 100), at(0, 100), at(0, 0)]
+    middles = [at(50, 0), at(100, 50), at(50, 100), at(0, 50)]
+    more = F.array(*[p for pair in zip(corners, middles) for p in pair], corners[-1])
+    plain, broken = wkb.make_polygon(F.array(*corners)), wkb.make_polygon(more)
+    return g.select("region", "area_id", plain.alias("plain"), broken.alias("broken")).select(
+        "region", F.when(F.col("area_id") % 2 == 0, F.col("broken")).otherwise(F.col("plain"))
+        .alias("way"))
+
+
 # ---------------------------------------------------------------- written tables
 
 def line_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,7 @@ def test_rings_of_any_length_and_direction(spark, length):
         assert out == ends[there["way_id"]][there["dir"]]
 
 
-def test_figure_eight_is_left_alone(spark):
+def test_a_figure_eight_without_points_is_left_alone(spark):
     edges = edges_of(spark, [(1, 1, "outer", 1, 2), (1, 2, "outer", 2, 1),
                              (1, 3, "outer", 1, 4), (1, 4, "outer", 4, 1)])
     assert rings.ordered_rings(edges).count() == 0
