@@ -205,7 +205,7 @@ class Counter(Remembered):
         self.word = regex.compile(plan["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         added = sorted((t["content"] for t in plan["added_tokens"]), key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, added)))
-        self.words: dict[str, int] = {}
+        self.words = Words(self, most)
         self.plan = Tokenizer.from_file(vocabulary_path(name))
         self.classes: dict[str, str] = {}
 
@@ -241,22 +241,28 @@ class Counter(Remembered):
         return self.classes[char]
 
     def count_word(self, word: str) -> int:
-        found = self.words.get(word)
-        if found is None:
-            raw = word.encode()
-            found = self.machine.count([*[self.inner[b] for b in raw[:-1]], self.final[raw[-1]]])
-            if len(self.words) >= self.most:
-                self.words.clear()
-            self.words[word] = found
-        return found
+        return self.words[word]
 
     def count(self, texts: list[bytes]) -> list[int]:
         get = self.__getitem__
         found = [sum(map(get, runs_of(t))) for t in texts]
         self.trim()
+        self.words.trim()
         return found
 
 
+class Words(Remembered):
+    """Token counts of single words."""
+
+    def __init__(self, counter: Counter, most: int = REMEMBERED):
+        super().__init__(most)
+        self.counter = counter
+
+    def learn(self, word: str) -> int:
+        raw, of = word.encode(), self.counter
+        return of.machine.count([*[of.inner[b] for b in raw[:-1]], of.final[raw[-1]]])
+
+
 def counter(name: str) -> Counter:
     if name not in _COUNTERS:
         _COUNTERS[name] = Counter(name)

@@ -7,20 +7,24 @@ all its occurrences a worker sees. What a worker remembers is bounded.
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
-from itertools import islice
+from codecs import charmap_decode
 from unicodedata import is_normalized
 
 import numpy as np
+import regex
 from tokenizers import Tokenizer
 
 WORD_VOCABULARY = "word_bpe_49k.json"
-# Runs a worker remembers; beyond it the half learned last, mostly rare ones, is forgotten.
-REMEMBERED = 150_000
+# Bytes of runs a worker remembers in each of two generations, with what a place costs besides
+# the run and what is known of it; and marks for runs met once.
+REMEMBERED, PLACE_BYTES, MARKS = 20 << 20, 180, 1 << 20
 # Marks that never join with a letter before them; the last of the Latin
 # letters, whose classes and lower case no edition of the standard changes.
 TAIL, LATIN = ".,;:!?", "\u024f"
+TAIL_BYTES = TAIL.encode()
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -36,13 +40,17 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(0x100)]
 
 
-LETTERS = str.maketrans(dict(enumerate(byte_letters())))
+ALL_LETTERS = "".join(byte_letters())
 
 
-def _plain_letters(word: str) -> bool:
-    """Latin letters alone, composed, each with a lower case of one letter."""
-    return word.isalpha() and (word.isascii() or max(word) <= LATIN and "\u0130" not in word
-                               and is_normalized("NFC", word))
+# Composed Latin letters, each with a lower case of one letter.
+PLAIN = frozenset(c for c in map(chr, range(ord(LATIN) + 1))
+                  if c.isalpha() and c != "\u0130" and is_normalized("NFC", c))
+
+
+def _letters_of(word: str) -> str:
+    """The letters that stand for the bytes of a word."""
+    return charmap_decode(word.encode(), "strict", ALL_LETTERS)[0]
 
 
 def vocabulary_path(name: str) -> str:
@@ -63,21 +71,45 @@ def runs_of(raw: bytes) -> list[bytes]:
 
 
 class Remembered(dict):
-    """What ``learn`` gives for runs, kept for the runs met so far."""
+    """What ``learn`` gives for runs, kept for runs that come again.
+
+    A run takes a place when it is met for the second time; most never are.
+    Once the places take ``most`` bytes they become the old generation, from
+    which a run that is met returns, and the generation before is forgotten:
+    what is used stays.
+    """
 
     def __init__(self, most: int = REMEMBERED):
         super().__init__()
-        self.most = most
+        self.most, self.held = most, 0
+        self.old: dict = {}
+        self.met = bytearray(MARKS)
 
     def __missing__(self, run: bytes):
-        found = self[run] = self.learn(run)
+        found = self.old.get(run)
+        if found is None:
+            found = self.learn(run)
+            if not self.again(run):
+                return found
+        self.keep(run, found)
         return found
 
+    def again(self, run: bytes) -> bool:
+        """Whether the run was met before, as far as the marks can tell."""
+        mark = hash(run) & (MARKS - 1)
+        before, self.met[mark] = self.met[mark], 1
+        return bool(before)
+
+    def keep(self, run: bytes, found) -> None:
+        self[run] = found
+        self.held += PLACE_BYTES + len(run) + (len(found) if isinstance(found, bytes) else 0)
+
     def trim(self) -> None:
         """Keep what a worker remembers bounded; called between slices of texts."""
-        if len(self) > self.most:
-            for run in list(islice(self, self.most // 2, None)):
-                del self[run]
+        if self.held > self.most:
+            self.old = self.copy()
+            self.clear()
+            self.held, self.met = 0, bytearray(MARKS)
 
     def learn(self, run: bytes):
         raise NotImplementedError
@@ -94,16 +126,29 @@ class Encoder(Remembered):
         # The library's own steps, which need not all be taken for every run.
         self.normalizer, self.cutter = self.library.normalizer, self.library.pre_tokenizer
         self.model = self.library.model
+        self.size = self.library.get_vocab_size()
+        cut = json.loads(self.library.to_str())["pre_tokenizer"]["pretokenizers"][0]
+        self.piece = regex.compile(cut["pattern"]["Regex"])
 
     def learn(self, run: bytes) -> bytes:
+        if run.isalpha():  # the letters of ASCII stand for themselves
+            return self.ids([run.lower().decode()])
+        word = run.rstrip(TAIL_BYTES)
+        if word.isalpha():
+            return self[word] + self[run[len(word):]]
         text = run.decode("utf-8", "replace")
         word = text.rstrip(TAIL)
-        if _plain_letters(word):  # one word as it stands, and the marks that follow it
+        if word and PLAIN.issuperset(word):  # one word as it stands, and the marks that follow it
             if len(word) < len(text):
                 return self[word.encode()] + self[text[len(word):].encode()]
-            return self.ids([text.lower().encode().decode("latin-1").translate(LETTERS)])
+            return self.ids([_letters_of(text.lower())])
         if "<|" in text:
             return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if text.isascii() and text.isprintable():
+            pieces = self.piece.findall(text.lower())
+            if len(pieces) > 1:
+                return b"".join([self[p.encode()] for p in pieces])
+            return self.ids(pieces)
         plain = self.normalizer.normalize_str(text)
         return self.ids([p for p, _ in self.cutter.pre_tokenize_str(plain)])
 
