@@ -1,9 +1,13 @@
 """Mixture-controlled packing by deficit round robin.
 
-Every source is a queue of tokens. Each window of LENGTH tokens earns every
+Every source is a queue of tokens, paid out in quanta of QUANTUM tokens so that
+documents are not cut into crumbs. Each window of LENGTH tokens earns every
 queue a credit, its target share of the window plus the deficit carried from
-the window before; the queue pays out whole tokens of its credit, places left
-over go to the queues furthest behind, and what was not paid out is carried on.
+the window before; the queue pays out whole quanta of its credit, places left
+over go to the queues furthest behind, and what was not paid out is carried on:
+a queue too small for a quantum a window saves up. So every window is within
+one quantum a queue of its target, and deficits even out over the windows. What
+each queue holds beyond its whole quanta fills the last windows, queue by queue.
 
 The same rule deals the whole corpus to spans of windows, and each span to
 smaller spans, down to single windows: a tree of rounds in which deficits are
@@ -29,14 +33,15 @@ from pyspark.sql import functions as F
 
 from terrafold.llm.common import bounded, column_of, slices, table, text_of
 from terrafold.llm.running import running
-from terrafold.llm.token_store import ids_column, packed_of, raw_texts
+from terrafold.llm.token_store import ids_column, raw_texts
 from terrafold.llm.tokens import WORD_VOCABULARY, encoder
 from terrafold.workspace import stored
 
-LENGTH = 4096
+LENGTH, QUANTUM = 4096, 256
 END_ID = 2
 # Queues dealt at once. The smaller sources share one more queue, itself dealt to them by
-# a tree of rounds, BRANCH sources or branches a node, about TURN tokens each a round.
+# a tree of rounds, BRANCH sources or branches a node, about a quantum, and at least TURN
+# tokens, each a round.
 QUEUES, BRANCH, TURN = 1000, 64, 16
 # Nodes of that tree whose rounds a task remembers, and spans of each.
 NODES, NODE_SPANS = 64, 8
@@ -86,17 +91,30 @@ def _open_shares(target: np.ndarray, left: np.ndarray) -> np.ndarray:
     return share / share.sum() if share.sum() > 0 else left / max(1, left.sum())
 
 
+def quantum_of(length: int, quantum: int = QUANTUM) -> int:
+    """The largest quantum up to the one asked for that parts a window evenly."""
+    return next(q for q in range(min(quantum, length), 0, -1) if length % q == 0)
+
+
 class Plan:
-    """Which place of which window each token of each queue has."""
+    """Which place of which window each token of each queue has.
+
+    Rounds deal whole quanta; what the queues hold beyond them follows after.
+    """
 
     def __init__(self, totals: list[int], length: int = LENGTH,
-                 shares: list[float] | None = None, spans: int = SPANS):
+                 shares: list[float] | None = None, spans: int = SPANS, quantum: int = QUANTUM):
         self.most = spans
-        self.totals = np.array(totals, np.int64)
-        self.length = length
-        self.tokens = int(self.totals.sum())
+        self.length, self.quantum = length, quantum_of(length, quantum)
+        tokens = np.array(totals, np.int64)
+        self.totals = tokens // self.quantum
+        rest = tokens - self.totals * self.quantum
+        dealt = int(self.totals.sum())
+        self.rest = (dealt * self.quantum + np.cumsum(rest) - rest).tolist()
+        self.whole = (self.totals * self.quantum).tolist()
         self.shares = None if shares is None else np.array(shares) / sum(shares)
-        windows = -(-self.tokens // length)
+        self.window = length // self.quantum
+        windows = -(-dealt // self.window)
         self.height = 1
         while FAN ** self.height < windows:
             self.height += 1
@@ -108,7 +126,7 @@ class Plan:
         if key in self.spans:
             self.spans.move_to_end(key)
             return self.spans[key]
-        size = FAN ** (level - 1) * self.length
+        size = FAN ** (level - 1) * self.window
         full, rest = divmod(int(totals.sum()), size)
         sizes = [size] * full + ([rest] if rest else [])
         dealt = deal(totals, sizes, self.shares)
@@ -121,9 +139,10 @@ class Plan:
 
     def pieces(self, queue: int, start: int, n: int):
         """(skipped, length, window, offset) of the tokens start..start+n of a queue, in order."""
-        done = 0
-        while done < n:
-            at, index, totals = start + done, 0, self.totals
+        done, whole, quantum = 0, min(n, self.whole[queue] - start), self.quantum
+        while done < whole:
+            at, into = divmod(start + done, quantum)
+            index, totals = 0, self.totals
             for level in range(self.height, 0, -1):
                 bounds, dealt, offsets = self._span(level, index, totals)
                 child = bisect_right(bounds[queue], at) - 1
@@ -131,20 +150,32 @@ class Plan:
                 first, index, totals = index * FAN, index * FAN + child, dealt[child]
             # The windows of the lowest span follow each other in the same lists.
             line = bounds[queue]
-            while done < n and child < len(line) - 1:
-                room = line[child + 1] - line[child] - at
+            while done < whole and child < len(line) - 1:
+                room = (line[child + 1] - line[child] - at) * quantum - into
                 if room > 0:
-                    size = min(room, n - done)
-                    yield done, size, first + child, int(offsets[child][queue]) + at
+                    size = min(room, whole - done)
+                    yield (done, size, first + child,
+                           (int(offsets[child][queue]) + at) * quantum + into)
                     done += size
-                child, at = child + 1, 0
+                child, at, into = child + 1, 0, 0
+        while done < n:  # beyond the whole quanta
+            window, offset = divmod(self.rest[queue] + start + done - self.whole[queue],
+                                    self.length)
+            size = min(self.length - offset, n - done)
+            yield done, size, window, offset
+            done += size
 
 
 def tokenised(docs: DataFrame, vocabulary: str = WORD_VOCABULARY,
               end_id: int = END_ID) -> DataFrame:
-    """doc_id, queue, part, before, n, ids: each text's ids and their place in queue and part."""
+    """doc_id, queue, part, before, n, ids: each text's ids and their place in queue and part.
+
+    The ids are bytes, which Spark moves as a whole: 16 bits each where all fit,
+    else 32.
+    """
     def run(batches):
         part, held, tool = TaskContext.get().partitionId(), {}, encoder(vocabulary)
+        wide = max(tool.size - 1, end_id) >> 16
         for batch in batches:
             texts = column_of(batch, "text")
             for a, b in slices(texts):
@@ -153,10 +184,13 @@ def tokenised(docs: DataFrame, vocabulary: str = WORD_VOCABULARY,
                 for queue, ids in zip(queues.to_pylist(), packed):
                     before.append(held.get(queue, 0))
                     held[queue] = before[-1] + len(ids) // 4
+                sizes = [len(p) // 4 for p in packed]
+                if not wide:
+                    packed = [np.frombuffer(p, "<u4").astype("<u2").tobytes() for p in packed]
                 yield pa.RecordBatch.from_arrays(
                     [column_of(batch, "doc_id").slice(a, b - a), queues,
                      pa.array([part] * len(packed), pa.int64()), pa.array(before, pa.int64()),
-                     pa.array([len(p) // 4 for p in packed], pa.int64()), ids_column(packed)],
+                     pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
                     ["doc_id", "queue", "part", "before", "n", "ids"])
 
     # A null source is a queue of its own, apart from any text a source may hold.
@@ -164,22 +198,26 @@ def tokenised(docs: DataFrame, vocabulary: str = WORD_VOCABULARY,
     rows = docs.select("doc_id", queue.alias("queue"), text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {kind}, queue string, part bigint, before bigint, n bigint, ids array<int>")
+        run, f"doc_id {kind}, queue string, part bigint, before bigint, n bigint, ids binary")
 
 
 def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_ID,
          length: int = LENGTH, shares: dict[str, float] | None = None,
-         queues: int = QUEUES) -> DataFrame:
+         queues: int = QUEUES, quantum: int = QUANTUM, with_ids: bool = True) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source_queue, ids.
 
+    Without ``with_ids`` the ids themselves are left out.
     One row a piece; every token of every row is in exactly one piece, null texts
     are their end id alone, repeated rows are packed as often as they come, an
     empty table gives none. ``shares`` gives sources a target proportion (those
     left out keep what remains in proportion to their size); by default each
     source's share of all tokens is its target, which no window misses by more
-    than the rounding it carries on. Sources outside the ``queues`` largest, unless
-    named in ``shares``, are such a queue together; inside it, each is dealt its
-    share of their tokens in turns of about TURN.
+    than a quantum and the deficit it carries on. Sources outside the ``queues``
+    largest, unless named in ``shares``, are such a queue together; inside it,
+    each is dealt its share of their tokens in turns of about a quantum.
+
+    Documents are cut once for every ``quantum`` tokens of their source at most,
+    and once more where a window ends beyond their source's whole quanta.
     """
     tokens = stored(tokenised(docs, vocabulary, end_id), "tokens")
     parts = stored(tokens.groupBy("queue", "part").agg(F.sum("n").alias("n")), "parts")
@@ -203,16 +241,17 @@ def pack(docs: DataFrame, vocabulary: str = WORD_VOCABULARY, end_id: int = END_I
                                  (F.col("base") - F.get(starts, F.col("slot"))).alias("base")),
                    "bases")
     rows = tokens.join(bounded(bases), ["queue", "part"]).select(
-        "doc_id", "queue", "slot", (F.col("base") + F.col("before")).alias("place"), "ids")
+        "doc_id", "queue", "slot", (F.col("base") + F.col("before")).alias("place"), "n", "ids")
     if not held[-1]:
-        return _pieces(rows.withColumn("path", F.lit(None).cast(PATH)), held, length, target)
+        return _pieces(rows.withColumn("path", F.lit(None).cast(PATH)), held, length, target,
+                       quantum, with_ids)
     small = _tree(sums.join(named, "queue", "left_anti"))
     # Each small source holds less than one of QUEUES shares, so no key is hot.
     spread = (rows.where(F.col("slot") == len(slots))
               .join(bounded(small, SMALL), "queue")
               .withColumn("place", F.col("place") - F.col("first")).drop("first"))
     rows = rows.where(F.col("slot") < len(slots)).withColumn("path", F.lit(None).cast(PATH))
-    return _pieces(rows.unionByName(spread), held, length, target)
+    return _pieces(rows.unionByName(spread), held, length, target, quantum, with_ids)
 
 
 # From a source up to the root: its node, its place there, and the totals of all places.
@@ -258,9 +297,13 @@ def _targets(slots: dict[str, int], held: list[int], shares: dict[str, float] |
     return out if sum(out) > 0 else None
 
 
-def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
+def _pieces(rows: DataFrame, held: list[int], length: int, target, quantum: int,
+            with_ids: bool) -> DataFrame:
+    quantum = quantum_of(length, quantum)
+    turn = -(-TURN // quantum) * quantum
+
     def run(batches):
-        plan, nodes = Plan(held, length, target), OrderedDict()
+        plan, nodes = Plan(held, length, target, quantum=quantum), OrderedDict()
 
         def places(path, place, n):
             """(skipped, place, length) in the queue the windows are dealt from."""
@@ -268,8 +311,8 @@ def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
             for level, step in enumerate(path or ()):
                 key = (level, step["node"])
                 if key not in nodes:
-                    nodes[key] = Plan(step["totals"], TURN * len(step["totals"]),
-                                      spans=NODE_SPANS)
+                    nodes[key] = Plan(step["totals"], turn * len(step["totals"]),
+                                      spans=NODE_SPANS, quantum=quantum)
                     if len(nodes) > NODES:
                         nodes.popitem(last=False)
                 nodes.move_to_end(key)
@@ -282,11 +325,11 @@ def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, AT_ONCE):
                 batch, out = whole.slice(at, AT_ONCE), []
-                for i, (queue, slot, place, path, packed) in enumerate(zip(
+                for i, (queue, slot, place, path, n, packed) in enumerate(zip(
                         *[column_of(batch, c).to_pylist()
-                          for c in ("queue", "slot", "place", "path")],
-                        packed_of(column_of(batch, "ids")))):
-                    n = len(packed) // 4
+                          for c in ("queue", "slot", "place", "path", "n", "ids")])):
+                    if len(packed) < 4 * n:
+                        packed = np.frombuffer(packed, "<u2").astype("<u4").tobytes()
                     for skipped, at_place, m in places(path, place, n):
                         for done, size, window, offset in plan.pieces(slot, at_place, m):
                             start = skipped + done
@@ -294,24 +337,27 @@ def _pieces(rows: DataFrame, held: list[int], length: int, target) -> DataFrame:
                             out.append((i, start, size, zlib.crc32(ids), n, window, offset,
                                         queue, ids))
                 if out:
-                    yield _batch(batch, out)
+                    yield _batch(batch, out, with_ids)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run, f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-             "sequence_id bigint, offset bigint, source_queue string, ids array<int>")
+             "sequence_id bigint, offset bigint, source_queue string"
+             + (", ids array<int>" if with_ids else ""))
 
 
-def _batch(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
+def _batch(batch: pa.RecordBatch, out: list[tuple], with_ids: bool) -> pa.RecordBatch:
     i, start, size, crc, n, window, offset, queue, ids = zip(*out)
-    return pa.RecordBatch.from_arrays(
-        [column_of(batch, "doc_id").take(pa.array(i)),
-         *[pa.array(x, pa.int64()) for x in (start, size, crc, n, window, offset)],
-         pa.array(queue, pa.string()), ids_column(list(ids))],
-        ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
-         "source_queue", "ids"])
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset",
+             "source_queue"]
+    columns = [column_of(batch, "doc_id").take(pa.array(i)),
+               *[pa.array(x, pa.int64()) for x in (start, size, crc, n, window, offset)],
+               pa.array(queue, pa.string())]
+    if with_ids:
+        names, columns = [*names, "ids"], [*columns, ids_column(list(ids))]
+    return pa.RecordBatch.from_arrays(columns, names)
 
 
 def op4_packing(spark, sf_dir: str) -> DataFrame:
     """The pieces of all documents, without their ids."""
-    return pack(table(spark, sf_dir, "documents")).drop("ids")
+    return pack(table(spark, sf_dir, "documents"), with_ids=False)

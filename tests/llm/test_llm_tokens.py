@@ -166,12 +166,13 @@ def check_pieces(rows, found, library, length):
 @pytest.mark.parametrize("queues", [1000, 1])
 def test_packing_is_whole(spark, library, rows, queues):
     docs = spark.createDataFrame(rows, DOCS).withColumn("queue", F.lit(0)).repartition(4)
-    found = packing.pack(docs, length=64, queues=queues).collect()
-    check_pieces(rows, found, library, 64)
+    for quantum in (packing.QUANTUM, 8, 1):
+        found = packing.pack(docs, length=64, queues=queues, quantum=quantum).collect()
+        check_pieces(rows, found, library, 64)
 
 
 def test_windows_keep_the_mixture(spark, rows):
-    found = packing.pack(spark.createDataFrame(rows, DOCS), length=64).collect()
+    found = packing.pack(spark.createDataFrame(rows, DOCS), length=64, quantum=1).collect()
     total = sum(r["length"] for r in found)
     of = {}
     for r in found:
@@ -185,7 +186,7 @@ def test_windows_keep_the_mixture(spark, rows):
 
 
 def test_targets_hold_until_a_source_runs_out(spark, rows):
-    found = packing.pack(spark.createDataFrame(rows, DOCS), length=64,
+    found = packing.pack(spark.createDataFrame(rows, DOCS), length=64, quantum=4,
                          shares={"s1": 0.5}).collect()
     first = [r for r in found if r["sequence_id"] == 0 and r["source_queue"] == "=s1"]
     assert sum(r["length"] for r in first) == 32
@@ -212,7 +213,7 @@ def test_small_sources_are_mixed_too(spark, library):
     """150 sources beside one queue of their own: every window draws on many of them."""
     texts = [(i, f"s{i % 150:03}", "word " * 40) for i in range(600)]
     docs = spark.createDataFrame([(-1, "big", "word " * 9000), *texts], DOCS).repartition(3)
-    found = packing.pack(docs, length=512, queues=1).collect()
+    found = packing.pack(docs, length=512, queues=1, quantum=1).collect()
     windows, places, got = {}, set(), {}
     for r in found:
         if r["source_queue"] != "=big":
@@ -230,6 +231,61 @@ def test_small_sources_are_mixed_too(spark, library):
 def test_shares_of_small_sources_count(spark):
     docs = spark.createDataFrame([(1, "a", "word " * 3000), (2, "b", "word " * 2000),
                                   (3, "c", "word " * 500)], DOCS)
-    found = packing.pack(docs, length=100, shares={"c": 0.5}, queues=1).collect()
+    found = packing.pack(docs, length=100, shares={"c": 0.5}, queues=1, quantum=1).collect()
     first = [r for r in found if r["sequence_id"] < 5 and r["source_queue"] == "=c"]
     assert 240 <= sum(r["length"] for r in first) <= 260
+
+
+@pytest.mark.parametrize("sources", [20, 1000, 5000])
+def test_documents_are_not_cut_into_crumbs(spark, sources):
+    """Pieces a document, gapless windows, and shares, whatever the number of sources."""
+    each = max(2, 6000 // sources)
+    docs = spark.range(sources * each).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.pmod("id", F.lit(sources))).alias("source"),
+        F.repeat(F.lit("word "), F.when(F.col("id") % 7 == 0, 900).otherwise(300)).alias("text"))
+    found = packing.pack(docs.repartition(5)).drop("ids").collect()
+    pieces, length, windows = {}, {}, {}
+    for r in found:
+        pieces[r["doc_id"]] = pieces.get(r["doc_id"], 0) + 1
+        length[r["doc_id"]] = r["doc_tokens"]
+        windows.setdefault(r["sequence_id"], []).append((r["offset"], r["length"], r["source_queue"]))
+    assert len(pieces) == sources * each
+    assert all(n <= 2 + -(-length[i] // packing.QUANTUM) for i, n in pieces.items())
+    for w, parts in windows.items():
+        ends = [(a, a + n) for a, n, _ in sorted(parts)]
+        assert ends[0][0] == 0 and all(p[1] == q[0] for p, q in zip(ends, ends[1:]))
+        assert ends[-1][1] == packing.LENGTH or w == len(windows) - 1
+    if sources == 20:  # every source within a quantum or two of its share, window after window
+        total, held = sum(length.values()), {}
+        whole = total // packing.LENGTH - 20 * packing.QUANTUM // packing.LENGTH - 1
+        share = {}
+        for parts in windows.values():
+            for _, n, q in parts:
+                share[q] = share.get(q, 0) + n / total
+        for w in range(whole):
+            for _, n, q in windows[w]:
+                held[q] = held.get(q, 0) + n
+            assert all(abs(held.get(q, 0) - s * packing.LENGTH * (w + 1)) < 3 * packing.QUANTUM
+                       for q, s in share.items())
+
+
+def test_what_comes_again_is_remembered(monkeypatch):
+    learned = []
+
+    class Tool(tokens.Remembered):
+        def learn(self, run):
+            learned.append(run)
+            return run
+
+    tool = Tool(most=3 * (tokens.PLACE_BYTES + 20))
+    for _ in range(3):
+        assert tool[b"common"] == b"common"
+    assert learned == [b"common"] * 2  # a place from the second meeting on
+    for i in range(200):
+        tool[b"rare %d" % i]
+        tool[b"rare %d" % i]
+        tool[b"common"]
+        tool.trim()
+        assert tool.held <= tool.most + 3 * tokens.PLACE_BYTES
+        assert len(tool) + len(tool.old) <= 10
+    assert learned.count(b"common") == 2  # it returns from the old generation each time
