@@ -33,6 +33,8 @@ BLOCK_ROWS, ANCHOR_ROWS, ROUND_BYTES = 2048, 256, 16 << 20
 # Scores a task works out, about a minute's work; bytes of tables it keeps.
 TASK_SCORES, TABLE_BYTES = 200_000_000, 64 << 20
 GROUP = 8
+# Copies of an anchor's rows that are listed at once.
+COPIES = 10_000
 # Components are below this in magnitude; others could not be scored in 64 bits.
 LARGEST = 1 << 62
 LEAST = np.iinfo(np.int64).min
@@ -336,21 +338,15 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int
     names = anchors.select("nth", F.col("vec_id").alias("anchor_id"), "copies")
     found = far.select("nth", "positive", "rank", F.col("vec_id").alias("negative_id"),
                        F.col("score").alias("negative_score")).join(pairs, ["nth", "positive"])
-    found = found.join(names, "nth").withColumn("copy", _copies())
+    found = found.join(names, "nth")
+    # Copies of an anchor come in lists of bounded length.
+    found = found.withColumn("list", F.explode(F.sequence(
+        F.lit(0), ((F.col("copies") - 1) / COPIES).cast("bigint"))))
+    found = found.withColumn("copy", F.explode(F.sequence(
+        F.lit(1), F.least(F.col("copies") - F.col("list") * COPIES, F.lit(COPIES)))))
     return found.select(*empty.columns)
 
 
-# Copies of a row in one list; more of them are several lists.
-COPIES = 1000
-
-
-def _copies() -> Column:
-    """As many entries as ``copies`` says, in lists of bounded length."""
-    return F.explode(F.flatten(F.transform(
-        F.sequence(F.lit(0), ((F.col("copies") - 1) / COPIES).cast("bigint")),
-        lambda k: F.sequence(F.lit(1), F.least(F.col("copies") - k * COPIES, F.lit(COPIES))))))
-
-
 def op12_hard_negatives(spark, sf_dir: str) -> DataFrame:
     """Hard negatives of every 100th vector, with the labels of every 7th moved on by one."""
     rows = table(spark, sf_dir, "embeddings")
