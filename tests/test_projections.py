@@ -92,3 +92,36 @@ def test_cells_clamp_at_the_edge_and_null_stays_null(spark):
     assert [r[0] for r in df.select(hilbert.axis_cell(F.col("c"))).collect()] == [0, 0, 65535, 65535]
     none = spark.sql("SELECT cast(NULL AS struct<xmin:double,ymin:double,xmax:double,ymax:double>) AS bbox")
     assert hilbert.with_hilbert_key(none, "k").first()["k"] is None
+
+
+def test_true_measures_need_no_zone(spark):
+    """A park's size, a cap that spans the globe, and lines along a parallel and a meridian."""
+    import math
+
+    import shapes as g
+    from terrafold.functions import measures
+
+    half = mercator.HALF_SIDE
+    y = mercator.EARTH_RADIUS * math.asinh(math.tan(math.radians(35.671)))
+    x = 15554000.0
+    side = math.sqrt(810035.0)
+    park = g.polygon([[(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]])
+    tall = mercator.EARTH_RADIUS * math.asinh(math.tan(math.radians(60.0)))
+    band = g.polygon([[(-half, -tall), (half, -tall), (half, tall), (-half, tall), (-half, -tall)]])
+    holed = g.polygon([g.square(0, 0, 1e6), g.square(0, 0, 5e5)])
+    equator, meridian = g.line([(0.0, 0.0), (half, 0.0)]), g.line([(0.0, 0.0), (0.0, tall)])
+    rows = [(i, bytearray(w)) for i, w in enumerate((park, band, holed, g.polygon([g.square(0, 0, 1e6)]),
+                                                     g.polygon([g.square(0, 0, 5e5)]), equator, meridian))]
+    df = spark.createDataFrame([*rows, (7, None)], "k int, way binary").orderBy("k").select(
+        measures.true_area("way").alias("a"), measures.true_length("way").alias("l"))
+    got = df.collect()
+    assert math.isclose(got[0]["a"], 533203, rel_tol=1e-3)
+    # The ellipsoid between 60 degrees south and north, from its authalic function.
+    e = math.sqrt(mercator.FLATTENING * (2 - mercator.FLATTENING))
+    s = math.sin(math.radians(60))
+    q = (1 - e * e) * (s / (1 - e * e * s * s) + math.atanh(e * s) / e)
+    assert math.isclose(got[1]["a"], 2 * math.pi * mercator.EARTH_RADIUS ** 2 * q, rel_tol=1e-9)
+    assert math.isclose(got[2]["a"], got[3]["a"] - got[4]["a"], rel_tol=1e-12)
+    assert math.isclose(got[5]["l"], math.pi * mercator.EARTH_RADIUS, rel_tol=1e-12)
+    assert math.isclose(got[6]["l"], 6654072.819, rel_tol=1e-6)  # the arc to 60 degrees
+    assert got[7]["a"] is None and got[7]["l"] is None
