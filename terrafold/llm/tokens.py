@@ -89,20 +89,13 @@ class Remembered(dict):
         found = self.old.get(run)
         if found is None:
             found = self.learn(run)
-            if not self.again(run):
+            mark = hash(run) & (MARKS - 1)
+            if not self.met[mark]:
+                self.met[mark] = 1
                 return found
-        self.keep(run, found)
-        return found
-
-    def again(self, run: bytes) -> bool:
-        """Whether the run was met before, as far as the marks can tell."""
-        mark = hash(run) & (MARKS - 1)
-        before, self.met[mark] = self.met[mark], 1
-        return bool(before)
-
-    def keep(self, run: bytes, found) -> None:
         self[run] = found
-        self.held += PLACE_BYTES + len(run) + (len(found) if isinstance(found, bytes) else 0)
+        self.held += PLACE_BYTES + len(run) + (len(found) if type(found) is bytes else 0)
+        return found
 
     def trim(self) -> None:
         """Keep what a worker remembers bounded; called between slices of texts."""
@@ -125,14 +118,14 @@ class Encoder(Remembered):
         self.library.no_padding()
         # The library's own steps, which need not all be taken for every run.
         self.normalizer, self.cutter = self.library.normalizer, self.library.pre_tokenizer
-        self.model = self.library.model
+        self.tokenize = self.library.model.tokenize
         self.size = self.library.get_vocab_size()
         cut = json.loads(self.library.to_str())["pre_tokenizer"]["pretokenizers"][0]
         self.piece = regex.compile(cut["pattern"]["Regex"])
 
     def learn(self, run: bytes) -> bytes:
         if run.isalpha():  # the letters of ASCII stand for themselves
-            return self.ids([run.lower().decode()])
+            return array("I", [t.id for t in self.tokenize(run.lower().decode())]).tobytes()
         word = run.rstrip(TAIL_BYTES)
         if word.isalpha():
             return self[word] + self[run[len(word):]]
@@ -154,7 +147,7 @@ class Encoder(Remembered):
 
     def ids(self, words: list[str]) -> bytes:
         """Ids of words in the letters that stand for their bytes."""
-        tokenize = self.model.tokenize
+        tokenize = self.tokenize
         return array("I", [t.id for w in words for t in tokenize(w)]).tobytes()
 
     def encode(self, texts: list[bytes], end_id: int | None = None) -> list[bytes]:
