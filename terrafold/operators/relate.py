@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import wkb
 from terrafold.operators import grid, spatial
-from terrafold.operators.skew import TASK_ROWS, join_spread
+from terrafold.operators.skew import TASK_ROWS, even, join_spread
 from terrafold.workspace import stored
 
 # Bytes of a side on a square.
@@ -101,7 +101,8 @@ def relate(features: DataFrame, areas: DataFrame, key: str, area_key: str, way:
                                          F.max("crosses").alias("crosses"),
                                          F.max("holds").alias("holds")))
     total = corners.groupBy(key).agg(F.count("*").alias("nodes"))
-    return pairs.join(total, key).select(key, area_key, "nodes", "inside", "crosses", "holds")
+    return pairs.join(even(total), key).select(
+        key, area_key, "nodes", "inside", "crosses", "holds")
 
 
 def any_node() -> Column:
