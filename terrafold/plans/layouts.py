@@ -61,7 +61,9 @@ def order_violations(spark, sf):
     """Order breaks in the laid-out points: none; written backwards: at every row but the first."""
     _, laid = I.staged(spark, sf, "points")
     back = new_path(spark, "backwards")
-    layout.write_ordered(spark.read.parquet(laid), back, "{}", I.ROWS_PER_GROUP, 3, reverse=True)
+    partitions = max(3, layout.partitions_for(footer.chunks(spark, laid)))
+    layout.write_ordered(spark.read.parquet(laid), back, "{}", I.ROWS_PER_GROUP, partitions,
+                         reverse=True)
 
     def of(path, name):
         return layout.order_violations(spark, path).select(F.lit(name).alias("layout"), "violations")
