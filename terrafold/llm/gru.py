@@ -22,10 +22,17 @@ CLIP = 5.0
 # Texts scored side by side, and steps whose softmax is taken at once.
 SIDE_BY_SIDE = 512
 AT_ONCE = 32
+# Rows of logits that stay in a core's cache while they are worked on.
+IN_CACHE = 1024
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """In place of ``x``; beyond 30 on the other side nothing is left of the power anyway."""
+    np.negative(x, out=x)
+    np.minimum(x, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(1, x, out=x)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -62,55 +69,86 @@ class Network:
         gate, own = self.X[read], h @ self.U
         zr = _sigmoid(gate[:, :2 * size] + own[:, :2 * size])
         z, r = zr[:, :size], zr[:, size:]
-        new = np.tanh(gate[:, 2 * size:] + r * own[:, 2 * size:])
-        return new + z * (h - new), (z, r, new, own[:, 2 * size:])
+        new = r * own[:, 2 * size:]
+        new += gate[:, 2 * size:]
+        np.tanh(new, out=new)
+        then = h - new
+        then *= z
+        then += new
+        return then, (z, r, new, own[:, 2 * size:])
 
     def window(self, h: np.ndarray, tokens: np.ndarray, starts: np.ndarray, real: np.ndarray):
         """Loss, gradients and last state of a window: tokens, starts, real are steps x streams."""
         steps, streams = tokens.shape
-        before, kept = [], []
+        before, kept, begun = [], [], starts.any(axis=1)
         for t in range(steps):
-            h = np.where(starts[t][:, None], np.float32(0), h)
+            if begun[t]:
+                h = np.where(starts[t][:, None], np.float32(0), h)
             before.append(h)
             h, k = self.step(h, tokens[t])
             kept.append(k)
         flat = np.concatenate(before)
-        out, read, there = flat @ self.W, tokens.ravel(), np.arange(steps * streams)
-        out += self.b
-        out -= out.max(axis=1, keepdims=True)
-        own_logs = out[there, read]
-        np.exp(out, out=out)
-        sums = out.sum(axis=1)
-        weight = real.ravel()
+        read, weight = tokens.ravel(), real.ravel()
         n = max(1, int(real.sum()))
-        loss = -float(((own_logs - np.log(sums)) * weight).sum()) / n
-        out *= (weight / (sums * np.float32(n)))[:, None]
-        out[there, read] -= weight / np.float32(n)
-        d_w, d_b = flat.T @ out, np.ones(len(out), out.dtype) @ out
-        d_states = (out @ self.W.T).reshape(steps, streams, -1)
+        loss, d_w, d_b, d_states = 0.0, 0, 0, np.empty_like(flat)
+        for at in range(0, len(flat), IN_CACHE):
+            here = slice(at, at + IN_CACHE)
+            logs, out, sums = self._powers(flat[here], read[here])
+            loss -= float(((logs - np.log(sums)) * weight[here]).sum()) / n
+            out *= weight[here] / (sums * np.float32(n))
+            out[read[here], np.arange(len(logs))] -= weight[here] / np.float32(n)
+            d_w, d_b = d_w + flat[here].T @ out.T, d_b + out.sum(axis=1)
+            d_states[here] = out.T @ self.W.T
+        d_states = d_states.reshape(steps, streams, -1)
         size = h.shape[1]
         gates = np.empty((steps, streams, 3 * size), h.dtype)
         owns = np.empty((steps, streams, 3 * size), h.dtype)
         d_h = np.zeros_like(h)
         back = np.ascontiguousarray(self.U.T)
+        # What a step's gradient is multiplied by, for all steps at once.
+        z, r, new, own = (np.stack(k) for k in zip(*kept))
+        left = 1 - z
+        by_z = flat.reshape(new.shape) - new
+        by_z *= z
+        by_z *= left
+        by_r = 1 - r
+        by_r *= r
+        by_r *= own
+        np.multiply(new, new, out=new)
+        np.subtract(1, new, out=new)
+        new *= left
         for t in range(steps - 1, -1, -1):
-            z, r, new, own = kept[t]
-            left = 1 - z
-            d_new = d_h * left * (1 - new * new)
-            gates[t, :, :size] = d_h * (before[t] - new) * z * left
-            gates[t, :, size:2 * size] = d_new * own * r * (1 - r)
-            gates[t, :, 2 * size:] = d_new
-            owns[t] = gates[t]
-            owns[t, :, 2 * size:] *= r
-            d_h = d_h * z + owns[t] @ back + d_states[t]
-            d_h[starts[t]] = 0
+            gate, own = gates[t], owns[t]
+            d_new = gate[:, 2 * size:]
+            np.multiply(d_h, new[t], out=d_new)
+            np.multiply(d_h, by_z[t], out=gate[:, :size])
+            np.multiply(d_new, by_r[t], out=gate[:, size:2 * size])
+            own[:, :2 * size] = gate[:, :2 * size]
+            np.multiply(d_new, r[t], out=own[:, 2 * size:])
+            d_h *= z[t]
+            d_h += own @ back
+            d_h += d_states[t]
+            if begun[t]:
+                d_h[starts[t]] = 0
         d_u = flat.T @ owns.reshape(steps * streams, -1)
         # Each class gathers the gradients of the steps that read it.
-        hot = np.zeros((len(self.X), steps * streams), h.dtype)
-        hot[read, there] = 1
-        d_x = hot @ gates.reshape(steps * streams, -1)
+        gates, d_x = gates.reshape(steps * streams, -1), 0
+        for at in range(0, len(gates), IN_CACHE):
+            some = read[at:at + IN_CACHE]
+            hot = np.zeros((len(self.X), len(some)), h.dtype)
+            hot[some, np.arange(len(some))] = 1
+            d_x = d_x + hot @ gates[at:at + IN_CACHE]
         return loss, [d_x, d_u, d_w, d_b], h
 
+    def _powers(self, states: np.ndarray, read: np.ndarray):
+        """The classes' logits, largest 0: of those read, as powers of e by class, the powers' sums."""
+        out = self.W.T @ states.T
+        out += self.b[:, None]
+        out -= out.max(axis=0)
+        logs = out[read, np.arange(len(read))]
+        np.exp(out, out=out)
+        return logs, out, out.sum(axis=0)
+
     def train(self, texts: list[np.ndarray], epochs: int = EPOCHS, steps: int = STEPS,
               streams: int = STREAMS, rate: float = RATE) -> list[float]:
         """Adam over all texts, ``epochs`` times; the mean losses."""
@@ -150,11 +188,12 @@ class Network:
             for t in range(steps):
                 states[t] = h
                 h, _ = self.step(h, tokens[t])
-            outs = states.reshape(steps * going, -1) @ self.W
-            outs += self.b
-            outs -= outs.max(axis=1, keepdims=True)
-            logs = outs[np.arange(len(outs)), tokens[:steps].ravel()]
-            logs -= np.log(np.exp(outs, out=outs).sum(axis=1))
+            states, read = states.reshape(steps * going, -1), tokens[:steps].ravel()
+            logs = np.empty(len(states), np.float32)
+            for a in range(0, len(states), IN_CACHE):
+                here = slice(a, a + IN_CACHE)
+                own, _, sums_here = self._powers(states[here], read[here])
+                logs[here] = own - np.log(sums_here)
             there = (sizes[:going] - at)[None, :] > np.arange(steps)[:, None]
             sums[:going] += (logs.reshape(steps, going) * there).sum(axis=0)
         return sums

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -100,8 +101,7 @@ class Head:
         self.index = {w: i for i, w in enumerate(self.words)}
 
     def ids(self, words: list[bytes]) -> np.ndarray:
-        get = self.index.get
-        return np.fromiter((get(w, -1) for w in words), np.int32, len(words))
+        return np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
 
 
 # Class 0 is the end; then come the head's classes, then as many rare ones.
@@ -119,6 +119,32 @@ class Classes:
     def rare(self, word: bytes) -> int:
         return 1 + self.most + self.of_ending.get(word[-ENDING:], 0)
 
+    def row(self, read: np.ndarray) -> np.ndarray:
+        """``class_row`` of a text as ``read_row`` gives it, a byte each."""
+        out = np.empty(len(read) + 1, np.uint8)
+        known = read >= 0
+        out[:-1][known] = self.of_head[read[known]]
+        if not known.all():
+            codes, place = np.unique(read[~known], return_inverse=True)
+            out[:-1][~known] = np.array([self.rare(ending_of(c)) for c in codes.tolist()])[place]
+        out[-1] = END_CLASS
+        return out
+
+
+def read_row(words: list[bytes], head: Head) -> np.ndarray:
+    """Ids of a text's head words; of other words their endings, as numbers below -1."""
+    read = head.ids(words)
+    for i in np.flatnonzero(read < 0).tolist():
+        end = words[i][-ENDING:]
+        read[i] = -1 - (len(end) << 8 * ENDING | int.from_bytes(end, "big"))
+    return read
+
+
+def ending_of(code: int) -> bytes:
+    """The ending that ``read_row`` made a number of."""
+    code = -1 - code
+    return (code & (1 << 8 * ENDING) - 1).to_bytes(ENDING, "big")[ENDING - (code >> 8 * ENDING):]
+
 
 def learn_classes(texts: list[np.ndarray], head: Head, most: int = CLASSES,
                   seed: int = 5) -> Classes:
@@ -148,8 +174,8 @@ def neighbours(train: DataFrame, head: Head) -> np.ndarray:
     def run(batches):
         seen, held, size = np.zeros(cells, np.int64), [], 0
         for batch in batches:
-            for raw in raw_texts(column_of(batch, "text")):
-                held.append(head.ids(words_of(raw)))
+            for raw in raw_texts(column_of(batch, "read")):
+                held.append(np.frombuffer(raw, np.int32))
                 size += len(held[-1]) + REACH
                 if size >= NEAR:
                     add_neighbours(seen, held, head)
@@ -162,7 +188,7 @@ def neighbours(train: DataFrame, head: Head) -> np.ndarray:
                                               pa.array(seen[some])], ["cell", "n"])
 
     out = np.zeros(cells, np.int64)
-    found = (train.select(text_of().alias("text")).mapInArrow(run, "cell int, n bigint")
+    found = (_as_read(train, head).select("read").mapInArrow(run, "cell int, n bigint")
              .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
     out[found["cell"].to_numpy()] = found["n"].to_numpy()
     return out
@@ -242,24 +268,39 @@ def _least_count(counts: DataFrame, most: int) -> int:
     return steps[reached(steps)]
 
 
-def _lines(train: DataFrame, head: Head, classes: Classes) -> DataFrame:
-    """``line``, the classes of a text, a byte each, and the ``share`` that it is learned in."""
+def _as_read(train: DataFrame, head: Head) -> DataFrame:
+    """``read``, a text as ``read_row`` gives it, and the ``share`` that it is learned in.
+
+    Words are looked up once for all who need them; what is read already stays as it is.
+    """
+    if "read" in train.columns:
+        return train
+
     def run(batches):
         for batch in batches:
             texts, shares = column_of(batch, "text"), column_of(batch, "share")
             for a, b in slices(texts, SLICE):
-                lines = []
-                for raw in raw_texts(texts.slice(a, b - a)):
-                    words = words_of(raw)
-                    lines.append(class_row(words, head.ids(words), classes)
-                                 .astype(np.uint8).tobytes())
+                rows = [read_row(words_of(raw), head).tobytes()
+                        for raw in raw_texts(texts.slice(a, b - a))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lines, pa.binary()), shares.slice(a, b - a)], ["line", "share"])
+                    [pa.array(rows, pa.binary()), shares.slice(a, b - a)], ["read", "share"])
 
     h = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_of())
     return train.select(text_of().alias("text"),
                         F.pmod(h, F.lit(TURNS)).cast("int").alias("share")).mapInArrow(
-        run, "line binary, share int")
+        run, "read binary, share int")
+
+
+def _lines(train: DataFrame, head: Head, classes: Classes) -> DataFrame:
+    """``line``, the classes of a text, a byte each, and the ``share`` that it is learned in."""
+    def run(batches):
+        for batch in batches:
+            lines = [classes.row(np.frombuffer(raw, np.int32)).tobytes()
+                     for raw in raw_texts(column_of(batch, "read"))]
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.binary()),
+                                              column_of(batch, "share")], ["line", "share"])
+
+    return _as_read(train, head).select("read", "share").mapInArrow(run, "line binary, share int")
 
 
 def trained(lines: DataFrame, net: Network, tokens: int) -> Network:
@@ -330,7 +371,8 @@ def scores(docs: DataFrame, train: DataFrame, head_words: int = HEAD) -> DataFra
     top.sort(key=lambda r: (-r["c"], bytes(r["word"])))
     head = Head([bytes(r["word"]) for r in top], np.array([r["c"] for r in top], np.int64), ends,
                 (total["n"] or 0) + ends, total["kinds"] + (1 if ends else 0))
-    classes = cluster(neighbours(train, head), head)
+    known = stored(_as_read(train, head), "read")
+    classes = cluster(neighbours(known, head), head)
     rare, rare_tokens = _rare_classes(counts, head, classes)
     shares = rare_tokens + 0.5
     shares[END_CLASS] += ends
@@ -338,7 +380,7 @@ def scores(docs: DataFrame, train: DataFrame, head_words: int = HEAD) -> DataFra
                                              minlength=1 + classes.most)
     net = Network.fresh(shares / shares.sum())
     if head.tokens:
-        net = trained(stored(_lines(train, head, classes), "lines"), net, head.tokens)
+        net = trained(stored(_lines(known, head, classes), "lines"), net, head.tokens)
     rows = stored(_settled(docs, head, classes, net, rare), "settled")
     # A word without a count adds nothing, so the join may leave it out.
     met = (rows.select("row", F.explode("rare").alias("r"))
