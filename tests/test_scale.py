@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from terrafold.operators import layout, nearest, rings
+import shapes as g
+from terrafold.operators import layout, nearest, rings, spatial
 from terrafold.plans import aggregates, scans
 from terrafold.plans import inputs as I
 from terrafold.sources import footer
@@ -74,3 +75,38 @@ def test_evened_files_keep_the_order_of_repeated_rows(spark, tmp_path):
     layout.write_ordered(layout.append_bbox(spark.read.parquet(plain)), laid, "{}", 10, 3, even=True)
     sizes = footer.groups(footer.chunks(spark, laid)).select("rows").collect()
     assert sorted(r["rows"] for r in sizes) == [10] * 5
+
+
+def test_counting_makes_no_pairs_of_points_and_whole_cells(spark):
+    n, side = 4000, 1000.0
+    rng = np.random.default_rng(3)
+    points = spark.createDataFrame(
+        [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.integers(0, int(side), (n, 2)))]
+        + [(None, 500.0, 500.0), (1, None, 2.0)], "osm_id bigint, x double, y double")
+
+    def diamond(x, y, a):
+        return [(x + a, y), (x, y + a), (x - a, y), (x, y - a), (x + a, y)]
+
+    hole = [[(100, 100), (900, 100), (900, 900), (100, 900), (100, 100)], diamond(500, 500, 200)[::-1]]
+    shapes = [(k, bytearray(g.polygon([diamond(500 + 7 * k, 480, 300 + k)]))) for k in range(6)] + [
+        (6, bytearray(g.polygon(hole))), (0, bytearray(g.polygon([diamond(200, 200, 50)]))),
+        (8, bytearray(g.polygon([diamond(5000, 5000, 5)]))), (9, None),
+        (None, bytearray(g.polygon([diamond(300, 300, 100)])))]
+    areas = spark.createDataFrame(shapes, "k int, way binary")
+    at = {"x": F.col("x"), "y": F.col("y"), "spread_by": ["osm_id"]}
+    pairs = spatial.within(points, areas, "k", **at)
+    want = {r["k"]: r["count"] for r in pairs.groupBy("k").count().collect()}
+    for size in ({}, {"broadcast_bytes": 0, "task_rows": 50}):
+        got = spatial.tally(points, areas, "k", **at, **size).collect()
+        assert {r["k"]: r["n"] for r in got} == want
+        assert len(got) == len(want)
+    cover, most = spatial._fineness(points, areas, "way", F.col("x"), F.col("y"))
+    cells = spatial.polygon_cells(areas, "k", "way", cover, most).localCheckpoint()
+    tested, crowded, whole = spatial._near(cells, points, "k", F.col("x"), F.col("y"), ["osm_id"],
+                                           1 << 25, 1000, count=True)
+    plain, more = spatial.candidates(points, areas, "k", **at)
+
+    def rows(*found):
+        return sum(df.count() for df in found if df is not None)
+    assert whole.count() > 0
+    assert rows(tested, crowded) < 0.6 * rows(plain, more)
