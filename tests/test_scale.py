@@ -100,8 +100,7 @@ def test_counting_makes_no_pairs_of_points_and_whole_cells(spark):
         got = spatial.tally(points, areas, "k", **at, **size).collect()
         assert {r["k"]: r["n"] for r in got} == want
         assert len(got) == len(want)
-    cover, most = spatial._fineness(points, areas, "way", F.col("x"), F.col("y"))
-    cells = spatial.polygon_cells(areas, "k", "way", cover, most).localCheckpoint()
+    cells = spatial.polygon_cells(areas, "k", "way", 1.15, 400).localCheckpoint()
     tested, crowded, whole = spatial._near(cells, points, "k", F.col("x"), F.col("y"), ["osm_id"],
                                            1 << 25, 1000, count=True)
     plain, more = spatial.candidates(points, areas, "k", **at)
