@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import pyarrow as pa
 import pytest
@@ -121,3 +122,35 @@ def test_joined_parts_are_a_multipolygon(spark):
     for r in rows:
         assert bytes(r["way"]) == g.multi(6, parts[:r["n"]])
         assert bytes(r["body"]) == b"".join(parts[:r["n"]])
+
+
+def _peak(run) -> int:
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+def test_coordinates_are_read_and_written_without_an_address_a_byte():
+    import numpy as np
+
+    xy = np.random.default_rng(3).random((200_000, 2))
+    counts = np.full(10_000, 20)
+    lines = wkb.encode_rings(wkb.LINE, xy, counts, np.ones(len(counts), bool))
+    found = wkb.flatten(lines)
+    assert (found.xy == xy).all() and found.row.tolist() == list(range(10_000))
+    size = xy.nbytes
+    assert _peak(lambda: wkb.flatten(lines)) < 8 * size
+    assert _peak(lambda: wkb.encode_rings(wkb.LINE, xy, counts, np.ones(len(counts), bool))
+                 ) < 8 * size
+
+
+def test_batches_are_sliced_by_bytes_of_geometries(monkeypatch):
+    monkeypatch.setattr(wkb, "SLICE_BYTES", 50)
+    ways = [g.point(i, i) for i in range(6)] + [None, g.line([(0, 0)] * 9), g.point(7, 7), None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10)), pa.array(ways, pa.binary())], ["k", "w"])
+    runs = list(wkb.sliced([batch, batch.slice(0, 0), batch.slice(6, 1)], 1))
+    assert [k for r in runs for k in r.column(0).to_pylist()] == [*range(10), 6]
+    assert [w for r in runs for w in r.column(1).to_pylist()] == [*ways, None]
+    assert max(r.num_rows for r in runs) <= 3 and len(runs) > 4
