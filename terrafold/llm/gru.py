@@ -9,6 +9,7 @@ carried from window to window until a text ends.
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,6 +41,20 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
 
 
+class Space:
+    """Memory by name that window after window uses again; new memory would be paged in each time."""
+
+    def __init__(self, dtype=np.float32):
+        self.dtype, self.held = dtype, {}
+
+    def __call__(self, name: str, *shape: int) -> np.ndarray:
+        """A contiguous array of ``shape``, holding whatever it held before."""
+        size = math.prod(shape)
+        if name not in self.held or self.held[name].size < size:
+            self.held[name] = np.empty(size, self.dtype)
+        return self.held[name][:size].reshape(shape)
+
+
 @dataclass
 class Network:
     """X: what a class adds to the three gates; U: what the state adds; W, b: the output."""
@@ -77,41 +92,41 @@ class Network:
         then += new
         return then, (z, r, new, own[:, 2 * size:])
 
-    def window(self, h: np.ndarray, tokens: np.ndarray, starts: np.ndarray, real: np.ndarray):
+    def window(self, h: np.ndarray, tokens: np.ndarray, starts: np.ndarray, real: np.ndarray,
+               space: Space | None = None):
         """Loss, gradients and last state of a window: tokens, starts, real are steps x streams."""
         steps, streams = tokens.shape
-        before, kept, begun = [], [], starts.any(axis=1)
+        size, space = h.shape[1], space or Space(h.dtype)
+        before, z, r, new, own, left, by_z, by_r, d_states = (
+            space(name, steps, streams, size) for name in (
+                "before", "z", "r", "new", "own", "left", "by_z", "by_r", "d_states"))
+        begun = starts.any(axis=1)
         for t in range(steps):
             if begun[t]:
                 h = np.where(starts[t][:, None], np.float32(0), h)
-            before.append(h)
-            h, k = self.step(h, tokens[t])
-            kept.append(k)
-        flat = np.concatenate(before)
+            before[t] = h
+            h, (z[t], r[t], new[t], own[t]) = self.step(h, tokens[t])
+        flat = before.reshape(steps * streams, size)
         read, weight = tokens.ravel(), real.ravel()
         n = max(1, int(real.sum()))
-        loss, d_w, d_b, d_states = 0.0, 0, 0, np.empty_like(flat)
+        loss, d_w, d_b, d_flat = 0.0, 0, 0, d_states.reshape(flat.shape)
         for at in range(0, len(flat), IN_CACHE):
             here = slice(at, at + IN_CACHE)
-            logs, out, sums = self._powers(flat[here], read[here])
+            logs, out, sums = self._powers(flat[here], read[here], space)
             loss -= float(((logs - np.log(sums)) * weight[here]).sum()) / n
             out *= weight[here] / (sums * np.float32(n))
             out[read[here], np.arange(len(logs))] -= weight[here] / np.float32(n)
             d_w, d_b = d_w + flat[here].T @ out.T, d_b + out.sum(axis=1)
-            d_states[here] = out.T @ self.W.T
-        d_states = d_states.reshape(steps, streams, -1)
-        size = h.shape[1]
-        gates = np.empty((steps, streams, 3 * size), h.dtype)
-        owns = np.empty((steps, streams, 3 * size), h.dtype)
+            np.matmul(out.T, self.W.T, out=d_flat[here])
+        gates, owns = (space(name, steps, streams, 3 * size) for name in ("gates", "owns"))
         d_h = np.zeros_like(h)
         back = np.ascontiguousarray(self.U.T)
         # What a step's gradient is multiplied by, for all steps at once.
-        z, r, new, own = (np.stack(k) for k in zip(*kept))
-        left = 1 - z
-        by_z = flat.reshape(new.shape) - new
+        np.subtract(1, z, out=left)
+        np.subtract(before, new, out=by_z)
         by_z *= z
         by_z *= left
-        by_r = 1 - r
+        np.subtract(1, r, out=by_r)
         by_r *= r
         by_r *= own
         np.multiply(new, new, out=new)
@@ -135,14 +150,15 @@ class Network:
         gates, d_x = gates.reshape(steps * streams, -1), 0
         for at in range(0, len(gates), IN_CACHE):
             some = read[at:at + IN_CACHE]
-            hot = np.zeros((len(self.X), len(some)), h.dtype)
+            hot = space("hot", len(self.X), len(some))
+            hot[:] = 0
             hot[some, np.arange(len(some))] = 1
             d_x = d_x + hot @ gates[at:at + IN_CACHE]
         return loss, [d_x, d_u, d_w, d_b], h
 
-    def _powers(self, states: np.ndarray, read: np.ndarray):
+    def _powers(self, states: np.ndarray, read: np.ndarray, space: Space):
         """The classes' logits, largest 0: of those read, as powers of e by class, the powers' sums."""
-        out = self.W.T @ states.T
+        out = np.matmul(self.W.T, states.T, out=space("powers", len(self.b), len(states)))
         out += self.b[:, None]
         out -= out.max(axis=0)
         logs = out[read, np.arange(len(read))]
@@ -166,13 +182,13 @@ class Network:
         to the next.
         """
         total = np.zeros(len(texts))
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        order, space = sorted(range(len(texts)), key=lambda i: -len(texts[i])), Space()
         for at in range(0, len(order), SIDE_BY_SIDE):
             some = order[at:at + SIDE_BY_SIDE]
-            total[some] = self._side_by_side([texts[i] for i in some])
+            total[some] = self._side_by_side([texts[i] for i in some], space)
         return total
 
-    def _side_by_side(self, texts: list[np.ndarray]) -> np.ndarray:
+    def _side_by_side(self, texts: list[np.ndarray], space: Space) -> np.ndarray:
         """Of texts in falling order of length."""
         sizes = np.array([len(t) for t in texts])
         sums = np.zeros(len(texts))
@@ -184,7 +200,7 @@ class Network:
                 part = texts[i][at:at + AT_ONCE]
                 tokens[:len(part), i] = part
             steps = min(AT_ONCE, int(sizes[0]) - at)
-            states, h = np.zeros((steps, going, h.shape[1]), np.float32), h[:going]
+            states, h = space("states", steps, going, h.shape[1]), h[:going]
             for t in range(steps):
                 states[t] = h
                 h, _ = self.step(h, tokens[t])
@@ -192,7 +208,7 @@ class Network:
             logs = np.empty(len(states), np.float32)
             for a in range(0, len(states), IN_CACHE):
                 here = slice(a, a + IN_CACHE)
-                own, _, sums_here = self._powers(states[here], read[here])
+                own, _, sums_here = self._powers(states[here], read[here], space)
                 logs[here] = own - np.log(sums_here)
             there = (sizes[:going] - at)[None, :] > np.arange(steps)[:, None]
             sums[:going] += (logs.reshape(steps, going) * there).sum(axis=0)
@@ -205,6 +221,7 @@ class Adam:
     def __init__(self, net: Network, rate: float = RATE):
         self.net, self.rate, self.turn = net, rate, 0
         self.moments = [[np.zeros_like(p) for p in net.parts()] for _ in "ab"]
+        self.space = Space(net.U.dtype)
 
     def learn(self, texts: list[np.ndarray], rng: np.random.Generator, steps: int = STEPS,
               streams: int = STREAMS) -> float:
@@ -238,7 +255,7 @@ class Adam:
                 tokens[:len(part), i] = part
                 starts[:len(part), i] = begins[i][at:at + steps]
             real = (at + np.arange(steps)[:, None] < lengths[None, :going]).astype(np.float32)
-            loss, grads, h = self.net.window(h[:going], tokens, starts, real)
+            loss, grads, h = self.net.window(h[:going], tokens, starts, real, self.space)
             losses.append(loss)
             self._move(grads)
         return float(np.mean(losses)) if losses else 0.0

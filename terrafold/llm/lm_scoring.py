@@ -20,7 +20,8 @@ from __future__ import annotations
 
 from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -125,8 +126,7 @@ class Classes:
         known = read >= 0
         out[:-1][known] = self.of_head[read[known]]
         if not known.all():
-            codes, place = np.unique(read[~known], return_inverse=True)
-            out[:-1][~known] = np.array([self.rare(ending_of(c)) for c in codes.tolist()])[place]
+            out[:-1][~known] = [self.rare(ending_of(c)) for c in read[~known].tolist()]
         out[-1] = END_CLASS
         return out
 
@@ -134,12 +134,22 @@ class Classes:
 def read_row(words: list[bytes], head: Head) -> np.ndarray:
     """Ids of a text's head words; of other words their endings, as numbers below -1."""
     read = head.ids(words)
-    for i in np.flatnonzero(read < 0).tolist():
-        end = words[i][-ENDING:]
-        read[i] = -1 - (len(end) << 8 * ENDING | int.from_bytes(end, "big"))
+    rest = np.flatnonzero(read < 0)
+    read[rest] = [code_of(words[i][-ENDING:]) for i in rest.tolist()]
     return read
 
 
+# Endings that a worker remembers the number of.
+ENDINGS = 1 << 16
+
+
+@lru_cache(ENDINGS)
+def code_of(end: bytes) -> int:
+    """An ending as a number below -1."""
+    return -1 - (len(end) << 8 * ENDING | int.from_bytes(end, "big"))
+
+
+@lru_cache(ENDINGS)
 def ending_of(code: int) -> bytes:
     """The ending that ``read_row`` made a number of."""
     code = -1 - code
@@ -159,12 +169,14 @@ def add_neighbours(seen: np.ndarray, texts: list[np.ndarray], head: Head):
     context = min(CONTEXT, len(head.words))
     if not context or not texts:
         return
-    line = np.concatenate([np.concatenate((t, np.full(REACH, -1, t.dtype)))
-                           for t in texts]).astype(np.int64)
+    apart = np.full(REACH, -1, texts[0].dtype)
+    line = np.concatenate([apart, *chain.from_iterable((t, apart) for t in texts)]).astype(np.int64)
+    common = np.flatnonzero((line >= 0) & (line < context))
+    names = line[common]
     for gap in range(1, REACH + 1):
-        for a, b in ((line[:-gap], line[gap:]), (line[gap:], line[:-gap])):
-            near = (a >= 0) & (b >= 0) & (b < context)
-            np.add.at(seen, a[near] * context + b[near], 1)
+        for beside in (line[common - gap], line[common + gap]):
+            near = beside >= 0
+            np.add.at(seen, beside[near] * context + names[near], 1)
 
 
 def neighbours(train: DataFrame, head: Head) -> np.ndarray:
@@ -243,8 +255,8 @@ def class_row(words: list[bytes], ids: np.ndarray, classes: Classes) -> np.ndarr
     if len(words):
         known = ids >= 0
         out[:-1][known] = classes.of_head[ids[known]]
-        for i in np.flatnonzero(ids < 0).tolist():
-            out[i] = classes.rare(words[i])
+        rest = np.flatnonzero(~known)
+        out[rest] = [classes.rare(words[i]) for i in rest.tolist()]
     out[-1] = END_CLASS
     return out
 
@@ -431,14 +443,20 @@ def _settled(docs: DataFrame, head: Head, classes: Classes, net: Network,
 
     def run(batches):
         part, made, rows, lines, size = TaskContext.get().partitionId() << 33, 0, [], [], 0
+        rest: list[Counter] = []
 
         def scored():
             learned = net.score(lines) / np.log(10)
-            ids, n, known, base, own, lists = zip(*rows)
+            ids, n, known, base, own = zip(*rows)
+            words, times = (pa.array([v for r in rest for v in of(r)], kind) for of, kind in (
+                (Counter.keys, pa.binary()), (Counter.values, pa.int64())))
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *map(len, rest)]), pa.int32()),
+                pa.StructArray.from_arrays([words, times], ["word", "n"]))
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(made - len(rows), made) + part), pa.array(ids, kind_arrow),
                  pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(np.array(own) + learned), pa.array(lists, rare_kind)],
+                 pa.array(np.array(own) + learned), lists],
                 ["row", "doc_id", "n_tokens", "n_known", "base", "model", "rare"])
 
         for batch in batches:
@@ -449,24 +467,23 @@ def _settled(docs: DataFrame, head: Head, classes: Classes, net: Network,
                     found = head.ids(words)
                     line = class_row(words, found, classes)
                     known = found[found >= 0]
-                    rest = Counter(words[i] for i in np.flatnonzero(found < 0).tolist())
+                    rest.append(Counter([words[i] for i in np.flatnonzero(found < 0).tolist()]))
                     n_rest = len(words) - len(known)
                     rows.append((
                         doc, len(words) + 1, len(known) + (1 if head.ends else 0),
                         float(base_of[known].sum()) + base_end - n_rest * smooth,
                         float(own_of[known].sum())
-                        - float(rare[line[:-1][found < 0].astype(np.int64)].sum()),
-                        [{"word": w, "n": n} for w, n in rest.items()]))
+                        - float(rare[line[:-1][found < 0].astype(np.int64)].sum())))
                     lines.append(line)
                     made += 1
                     size += len(line)
                     if size >= SCORED:
                         yield scored()
                         rows, lines, size = [], [], 0
+                        rest.clear()
         if rows:
             yield scored()
 
-    rare_kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
     source = docs.select("doc_id", text_of().alias("text"))
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -33,6 +34,36 @@ def test_gradients_are_those_of_the_loss():
             assert grad[i] == pytest.approx((losses[0] - losses[1]) / 2e-5, abs=1e-7)
 
 
+def test_windows_use_their_memory_again():
+    rng = np.random.default_rng(5)
+    net, space = gru.Network.fresh(np.ones(9) / 9), gru.Space()
+    peaks = []
+    for streams in (200, 200, 64):
+        window = (np.zeros((streams, gru.STATE), np.float32), rng.integers(0, 9, (32, streams)),
+                  rng.random((32, streams)) < 0.1, np.ones((32, streams), np.float32))
+        alone = net.window(*window)
+        tracemalloc.start()
+        loss, grads, h = net.window(*window, space)
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert loss == alone[0] and (h == alone[2]).all()
+        assert all((a == b).all() for a, b in zip(grads, alone[1]))
+    assert max(peaks[1:]) < peaks[0] / 4
+
+
+def test_neighbours_are_counted_within_reach_and_within_texts():
+    head = lm_scoring.Head([b"w%d" % i for i in range(120)], np.ones(120, np.int64), 1, 1, 1)
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(-3, 120, n).astype(np.int32) for n in (40, 0, 1, 3, 25)]
+    seen = np.zeros(120 * lm_scoring.CONTEXT, np.int64)
+    lm_scoring.add_neighbours(seen, texts, head)
+    want = Counter((int(t[i]), int(t[j])) for t in texts for i in range(len(t)) for j in range(len(t))
+                   if 0 < abs(i - j) <= lm_scoring.REACH and t[i] >= 0 and 0 <= t[j] < lm_scoring.CONTEXT)
+    found = {(int(k) // lm_scoring.CONTEXT, int(k) % lm_scoring.CONTEXT): int(seen[k])
+             for k in np.flatnonzero(seen)}
+    assert found == dict(want)
+
+
 def test_scores_carry_the_state_through_whole_texts(monkeypatch):
     rng = np.random.default_rng(3)
     net = gru.Network.fresh(np.ones(5) / 5, 6)
