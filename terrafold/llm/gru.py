@@ -25,6 +25,8 @@ SIDE_BY_SIDE = 512
 AT_ONCE = 32
 # Rows of logits that stay in a core's cache while they are worked on.
 IN_CACHE = 1024
+# Logits whose powers of e stay far inside what a 32-bit float holds; states are within 1.
+SAFE = 40.0
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -147,20 +149,25 @@ class Network:
                 d_h[starts[t]] = 0
         d_u = flat.T @ owns.reshape(steps * streams, -1)
         # Each class gathers the gradients of the steps that read it.
-        gates, d_x = gates.reshape(steps * streams, -1), 0
-        for at in range(0, len(gates), IN_CACHE):
-            some = read[at:at + IN_CACHE]
-            hot = space("hot", len(self.X), len(some))
-            hot[:] = 0
-            hot[some, np.arange(len(some))] = 1
-            d_x = d_x + hot @ gates[at:at + IN_CACHE]
+        order = np.argsort(read.astype(np.min_scalar_type(len(self.X))), kind="stable")
+        times = np.bincount(read, minlength=len(self.X))
+        ends, d_x = np.append(0, np.cumsum(times)).tolist(), np.zeros_like(self.X)
+        by_class = np.take(gates.reshape(len(read), -1), order, axis=0, mode="clip",
+                           out=space("by_class", len(read), 3 * size))
+        ones = np.ones(times.max(), h.dtype)
+        for k in np.flatnonzero(times).tolist():
+            np.matmul(ones[:times[k]], by_class[ends[k]:ends[k + 1]], out=d_x[k])
         return loss, [d_x, d_u, d_w, d_b], h
 
     def _powers(self, states: np.ndarray, read: np.ndarray, space: Space):
-        """The classes' logits, largest 0: of those read, as powers of e by class, the powers' sums."""
+        """The classes' logits: of those read, as powers of e by class, the powers' sums.
+
+        Weights that might give a power too large or small have the largest logit made 0 first.
+        """
         out = np.matmul(self.W.T, states.T, out=space("powers", len(self.b), len(states)))
         out += self.b[:, None]
-        out -= out.max(axis=0)
+        if float((np.abs(self.b) + np.abs(self.W).sum(axis=0)).max()) > SAFE:
+            out -= out.max(axis=0)
         logs = out[read, np.arange(len(read))]
         np.exp(out, out=out)
         return logs, out, out.sum(axis=0)

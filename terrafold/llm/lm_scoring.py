@@ -25,6 +25,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,16 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+def flat_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` all texts one after the other, and where those of each begin and end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, ends = lists.values.cast(pa.binary()), lists.offsets.to_numpy()
+    full = pc.binary_length(words).to_numpy() > 0  # white space at an end parts off an empty word
+    if not full.all():
+        ends, words = np.append(0, np.cumsum(full))[ends], words.filter(pa.array(full))
+    return words, ends
+
+
 def fold():
     return crc32_of_id("doc_id") % FOLDS
 
@@ -67,25 +78,30 @@ def fold():
 def word_counts(docs: DataFrame) -> DataFrame:
     """word, c over all texts of ``docs``."""
     def run(batches):
-        held: Counter = Counter()
+        held, size = [], 0
         for batch in batches:
             texts = column_of(batch, "text")
             for a, b in slices(texts, SLICE):
-                for raw in raw_texts(texts.slice(a, b - a)):
-                    held.update(words_of(raw))
-                if len(held) > COUNTED:
-                    yield _counts(held)
-                    held = Counter()
-        yield _counts(held)
+                found = pc.value_counts(flat_words(texts.slice(a, b - a))[0])
+                held.append(pa.Table.from_arrays(found.flatten(), ["word", "n"]))
+                size += len(found)
+                if size > 2 * COUNTED:
+                    held = [_added(held)]
+                    size = len(held[0])
+                    if size > COUNTED:
+                        yield from held.pop().to_batches()
+                        size = 0
+        if held:
+            yield from _added(held).to_batches()
 
     return (docs.select(text_of().alias("text")).mapInArrow(run, "word binary, n bigint")
             .groupBy("word").agg(F.sum("n").alias("c")))
 
 
-def _counts(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-        ["word", "n"])
+def _added(counts: list[pa.Table]) -> pa.Table:
+    """One row a word, its ``n`` summed."""
+    sums = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return sums.select(["word", "n_sum"]).rename_columns(["word", "n"]).combine_chunks()
 
 
 @dataclass
@@ -100,11 +116,29 @@ class Head:
 
     def __post_init__(self):
         self.index = {w: i for i, w in enumerate(self.words)}
+        self.column = pa.array(self.words, pa.binary())
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.index.get, words, repeat(-1)), np.int32, len(words))
 
 
+    def read(self, words: pa.Array) -> np.ndarray:
+        """``read_row`` of words that lie one after the other."""
+        read = pc.fill_null(pc.index_in(words, self.column), -1).to_numpy().copy()
+        rest = np.flatnonzero(read < 0)
+        if not len(rest):
+            return read
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+        sizes = np.minimum(np.diff(ends)[rest], ENDING)
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        codes = sizes << 8 * ENDING
+        for back in range(ENDING):
+            there = sizes > back
+            codes[there] |= data[ends[rest[there] + 1] - 1 - back].astype(np.int32) << 8 * back
+        read[rest] = -1 - codes
+        return read
+
+
 # Class 0 is the end; then come the head's classes, then as many rare ones.
 END_CLASS = 0
 
@@ -292,10 +326,11 @@ def _as_read(train: DataFrame, head: Head) -> DataFrame:
         for batch in batches:
             texts, shares = column_of(batch, "text"), column_of(batch, "share")
             for a, b in slices(texts, SLICE):
-                rows = [read_row(words_of(raw), head).tobytes()
-                        for raw in raw_texts(texts.slice(a, b - a))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.binary()), shares.slice(a, b - a)], ["read", "share"])
+                words, ends = flat_words(texts.slice(a, b - a))
+                rows = pa.BinaryArray.from_buffers(
+                    pa.binary(), b - a, [None, pa.py_buffer((ends * 4).astype(np.int32)),
+                                         pa.py_buffer(head.read(words))])
+                yield pa.RecordBatch.from_arrays([rows, shares.slice(a, b - a)], ["read", "share"])
 
     h = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text_of())
     return train.select(text_of().alias("text"),
@@ -462,15 +497,18 @@ def _settled(docs: DataFrame, head: Head, classes: Classes, net: Network,
         for batch in batches:
             texts, ids = column_of(batch, "text"), column_of(batch, "doc_id").to_pylist()
             for a, b in slices(texts, SLICE):
-                for doc, raw in zip(ids[a:b], raw_texts(texts.slice(a, b - a))):
-                    words = words_of(raw)
-                    found = head.ids(words)
-                    line = class_row(words, found, classes)
+                words, ends = flat_words(texts.slice(a, b - a))
+                read = head.read(words)
+                others = words.filter(pa.array(read < 0)).to_pylist()
+                before = np.append(0, np.cumsum(read < 0))[ends].tolist()
+                for i, doc in enumerate(ids[a:b]):
+                    found = read[ends[i]:ends[i + 1]]
+                    line = classes.row(found)
                     known = found[found >= 0]
-                    rest.append(Counter([words[i] for i in np.flatnonzero(found < 0).tolist()]))
-                    n_rest = len(words) - len(known)
+                    rest.append(Counter(others[before[i]:before[i + 1]]))
+                    n_rest = len(found) - len(known)
                     rows.append((
-                        doc, len(words) + 1, len(known) + (1 if head.ends else 0),
+                        doc, len(found) + 1, len(known) + (1 if head.ends else 0),
                         float(base_of[known].sum()) + base_end - n_rest * smooth,
                         float(own_of[known].sum())
                         - float(rare[line[:-1][found < 0].astype(np.int64)].sum())))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,38 @@ def test_neighbours_are_counted_within_reach_and_within_texts():
     assert found == dict(want)
 
 
+def test_words_read_together_are_those_of_each_text():
+    texts = ["the Cat", "", None, " \t", "\x0bÜber\x1c cat\u00a0dog \n", "of of THE ab \x85 z"] * 3
+    column = pa.array([t or "" for t in texts]).slice(1)
+    words, ends = lm_scoring.flat_words(column)
+    want = [lm_scoring.words_of((t or "").encode()) for t in texts[1:]]
+    assert [words[a:b].to_pylist() for a, b in zip(ends, ends[1:])] == want
+    for top in ([], [b"the", b"of"], sorted({w for t in want for w in t})):
+        head = lm_scoring.Head(top, np.ones(len(top), np.int64), 1, 1, 1)
+        for some in (words, words.slice(2, 5), words.slice(0, 0)):
+            assert head.read(some).tolist() == lm_scoring.read_row(some.to_pylist(), head).tolist()
+
+
+def test_counts_are_added_up_before_they_are_handed_on(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"W{rng.randrange(40)}" for _ in range(30)) for _ in range(50)]
+    docs = spark.createDataFrame(enumerate([*texts, None, ""]), DOCS).repartition(1)
+    monkeypatch.setattr(lm_scoring, "SLICE", 200)
+    want = Counter(w for t in texts for w in t.lower().encode().split())
+    for most in (5, 1000):
+        monkeypatch.setattr(lm_scoring, "COUNTED", most)
+        assert {bytes(r["word"]): r["c"] for r in lm_scoring.word_counts(docs).collect()} == want
+
+
+def test_large_weights_overflow_nothing():
+    rng = np.random.default_rng(6)
+    net = gru.Network.fresh(np.ones(7) / 7)
+    texts = [rng.integers(0, 7, 50)]
+    usual = net.score(texts)
+    net.b += 500  # the same shares
+    assert net.score(texts) == pytest.approx(usual, rel=1e-4)
+
+
 def test_scores_carry_the_state_through_whole_texts(monkeypatch):
     rng = np.random.default_rng(3)
     net = gru.Network.fresh(np.ones(5) / 5, 6)
