@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrafold.operators.skew import even
 from terrafold.workspace import attach
 
 # A key with more than 1/HOT_SHARE of all rows is hot; there are fewer than
@@ -66,10 +67,10 @@ def join_spread(many: DataFrame, one: DataFrame, key: str, weight: str,
     hot = one.where(F.col(weight) * HOT_SHARE > F.lit(total))
     cold = one.where(F.col(weight) * HOT_SHARE <= F.lit(total)).drop(weight)
     if hot.isEmpty():
-        return many.join(one.drop(weight), key, how)
+        return many.join(even(one.drop(weight)), key, how)
     hot = hot.drop(weight)
     taken = many.join(F.broadcast(hot), key, "inner")
-    rest = many.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, how)
+    rest = many.join(F.broadcast(hot.select(key)), key, "left_anti").join(even(cold), key, how)
     return taken.unionByName(rest)
 
 

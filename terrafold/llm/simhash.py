@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from terrafold.llm.common import column_of, digest_of, join_spread, slices, table, text_of
 from terrafold.llm.components import components
 from terrafold.llm.token_store import raw_texts
+from terrafold.operators.skew import even
 from terrafold.workspace import stored
 
 SHINGLE_WORDS = 3
@@ -103,6 +104,9 @@ def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
     ``prints`` has distinct values in ``fp``. Outside crowded values every link
     is listed, once or twice. Inside, the fingerprints around one point are
     linked to the least of them, which leaves the same groups.
+
+    Joins are shuffled: Spark does not see that an exploded row is 34, and would
+    broadcast the probes of a million fingerprints by the size of their file.
     """
     members = stored(prints.select("fp", F.explode(F.array(
         F.struct(F.lit(0).alias("part"), _high(F.col("fp")).alias("value")),
@@ -115,15 +119,15 @@ def links(prints: DataFrame, crowd: int = CROWD) -> DataFrame:
                    F.struct(F.lit(1).alias("part"), _low(F.col("fp")).alias("value")))
     probes = (prints.select("fp", F.explode(ball).alias("p"))
               .select("fp", "p.part", "p.value"))
-    filed = members.join(sizes, ["part", "value"], "left_anti")
+    filed = members.join(even(sizes), ["part", "value"], "left_anti")
     pairs = (probes.withColumnRenamed("fp", "a")
-             .join(filed.withColumnRenamed("fp", "b"), ["part", "value"])
+             .join(even(filed.withColumnRenamed("fp", "b")), ["part", "value"])
              .where(F.col("a") != F.col("b")))
     found = _verified(pairs.select("a", "b"))
     if sizes.isEmpty():
         return found
     # Whoever probes a crowded value, its own members included, goes by whole points.
-    other = stored(probes.join(sizes, ["part", "value"], "left_semi").select("fp").distinct(),
+    other = stored(probes.join(even(sizes), ["part", "value"], "left_semi").select("fp").distinct(),
                    "crowd")
     points = other.select("fp", F.explode(F.array(
         F.col("fp"), *[_flip(F.col("fp"), i) for i in range(_BITS)])).alias("point"))
@@ -152,7 +156,7 @@ def near_groups(docs: DataFrame, words: int = SHINGLE_WORDS, crowd: int = CROWD)
                                            F.count("*").alias("n")), "prints")
     found = stored(links(prints.select("fp"), crowd).select("a", "b").distinct(), "links")
     groups = components(found, "a", "b")
-    named = (prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left")
+    named = (prints.join(even(groups.withColumnRenamed("node", "fp")), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"),
                                       F.count("*").alias("n_prints"))

@@ -178,3 +178,20 @@ def test_join_spread_equals_a_plain_join(spark, monkeypatch):
         monkeypatch.setattr(common, "HOT_SHARE", share)
         got = common.join_spread(many, one, "k", "n")
         assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(plain, key=str)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_go_by_shuffles_whatever_size_spark_takes_them_for(spark, monkeypatch):
+    # A row of a few bytes is exploded into 34 probes; the file's size does not tell.
+    prints = spark.createDataFrame([(i * i * 7919,) for i in range(200)], "fp bigint")
+    found = simhash.links(prints, 1)
+    assert "SortMergeJoin" in plan_of(found)
+    assert "BroadcastHashJoin" not in plan_of(found)
+    many = spark.createDataFrame([(i, i % 40) for i in range(80)], "i int, k int")
+    one = many.groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))
+    monkeypatch.setattr(common, "HOT_SHARE", 2)  # no key is hot
+    for how in ("left", "inner"):
+        assert "BroadcastHashJoin" not in plan_of(common.join_spread(many, one, "k", "n", how))
