@@ -1,6 +1,7 @@
 """Rings that touch, long rings, and unions by sides."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,3 +203,40 @@ def test_signed_area_tells_the_turn(spark):
     df = spark.createDataFrame([(1, ring), (2, ring[::-1])], POINTS)
     assert [r[0] for r in df.orderBy("way_id").select(rings.signed_area(F.col("points"))).collect()] == [
         2.0, -2.0]
+
+
+def test_any_number_of_ends_at_a_node(spark):
+    # Spokes round the middle by their roles: touching if neighbours of one side cancel out.
+    rng = random.Random(7)
+    words = ["oi" * 50, "oi" * 33 + "io" * 33, "o" * 40 + "i" * 40, "oo", "oioi", "oiio"]
+    for n in (8, 30, 70, 120):
+        for _ in range(3):  # pairs put in anywhere cancel out; two ends swapped may not
+            word = ""
+            while len(word) < n:
+                at = rng.randrange(len(word) + 1)
+                word = word[:at] + rng.choice(["oo", "ii"]) + word[at:]
+            swapped = list(word)
+            a, b = rng.sample(range(n), 2)
+            swapped[a], swapped[b] = swapped[b], swapped[a]
+            words += [word, "".join(swapped)]
+
+    def left(word):
+        out = []
+        for side in word:
+            out = out[:-1] if out and out[-1] == side else [*out, side]
+        return out
+
+    edges, points, want = [], [], {}
+    for rel, word in enumerate(words):
+        start = 2 * math.pi * rng.random()
+        for k, side in enumerate(word):
+            way, turn = 1000 * rel + k, start + 2 * math.pi * k / len(word)
+            edges.append((rel, way, "inner" if side == "i" else "outer", -1, way))
+            points.append((way, [{"x": 0.0, "y": 0.0}, {"x": math.cos(turn), "y": math.sin(turn)}]))
+        crossed = 1 if left(word) else 0
+        want[rel] = (0, crossed, 0 if crossed or len(word) < 3 else 1)
+    found = rings.ring_closure(
+        spark.createDataFrame(edges, "rel_id bigint, way_id bigint, role string, first bigint, last bigint"),
+        spark.createDataFrame(points, POINTS)).collect()
+    assert {r["rel_id"]: (r["branches"], r["crossings"], r["touches"]) for r in found} == want
+    assert {v[1] for r, v in want.items() if len(words[r]) > 64} == {0, 1}
