@@ -240,3 +240,26 @@ def test_any_number_of_ends_at_a_node(spark):
         spark.createDataFrame(points, POINTS)).collect()
     assert {r["rel_id"]: (r["branches"], r["crossings"], r["touches"]) for r in found} == want
     assert {v[1] for r, v in want.items() if len(words[r]) > 64} == {0, 1}
+
+
+def test_forty_rings_that_touch_at_one_node(spark):
+    # Wedges round the middle, two ways each: 80 ends meet there.
+    def at(r, turn):
+        return {"x": r * math.cos(turn), "y": r * math.sin(turn)}
+
+    edges, points = [], []
+    for k in range(40):
+        a, b = (2 * math.pi * (k + f) / 40 for f in (0.0, 0.5))
+        for i, (turn, way) in enumerate(((a, 2 * k), (b, 2 * k + 1))):
+            edges.append((1, way, "outer", 0, 100 + k))
+            middle = [at(1.0, turn)] if i else []
+            points.append((way, [{"x": 0.0, "y": 0.0}, *middle, at(1.0, a)]))
+    edges, points = spark.createDataFrame(
+        edges, "rel_id bigint, way_id bigint, role string, first bigint, last bigint"), \
+        spark.createDataFrame(points, POINTS)
+    closed = rings.ring_closure(edges, points).first()
+    assert (closed["branches"], closed["touches"], closed["closed"]) == (0, 1, True)
+    found = rings.relation_rows(rings.polygons_of(rings.assemble(edges, points)))
+    sizes = [r["a"] for r in found.select(wkb.planar_area("way").alias("a")).collect()]
+    assert len(sizes) == 40
+    assert sum(sizes) == pytest.approx(40 * math.sin(math.pi / 40) / 2)
