@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import shapes as g
 from terrafold.functions import wkb
-from terrafold.operators import rings
+from terrafold.operators import load, rings, tagload
 
 POINTS = "way_id bigint, points array<struct<x:double,y:double>>"
 
@@ -263,3 +263,30 @@ def test_forty_rings_that_touch_at_one_node(spark):
     sizes = [r["a"] for r in found.select(wkb.planar_area("way").alias("a")).collect()]
     assert len(sizes) == 40
     assert sum(sizes) == pytest.approx(40 * math.sin(math.pi / 40) / 2)
+
+
+def test_areas_of_a_relation_with_eighty_ends_at_a_node_are_loaded(spark):
+    xy, members = {0: (0.0, 0.0)}, []
+    refs, ways = [], []
+    for k in range(40):
+        for i in (0, 1):
+            turn = 2 * math.pi * (k + i / 2) / 40
+            xy[2 * k + i + 1] = (math.cos(turn), math.sin(turn))
+        a, b = 2 * k + 1, 2 * k + 2
+        for way, nodes in ((a, [0, a]), (b, [0, b, a])):
+            ways.append(way)
+            members.append((7, way, way, "w", "outer"))
+            refs += [(way, i, n) for i, n in enumerate(nodes)]
+    none = "map<string,string>"
+    tables = load.load(
+        spark.createDataFrame([(n, x, y, None) for n, (x, y) in xy.items()],
+                              f"id bigint, x double, y double, tags {none}"),
+        spark.createDataFrame([(w, None) for w in ways], f"id bigint, tags {none}"),
+        spark.createDataFrame(refs, "way_id bigint, pos int, node_id bigint"),
+        spark.createDataFrame([(7, {"type": "multipolygon", "amenity": "cafe"})],
+                              f"id bigint, tags {none}"),
+        spark.createDataFrame(members, "rel_id bigint, ref bigint, pos bigint, type string, role string"),
+        [tagload.Rule(("node", "way"), "amenity", frozenset({"polygon"}))], {}, {})
+    rows = tables["polygon"].select("osm_id", "amenity", "way_area").collect()
+    assert [(r["osm_id"], r["amenity"]) for r in rows] == [(-7, "cafe")] * 40
+    assert sum(r["way_area"] for r in rows) == pytest.approx(40 * math.sin(math.pi / 40) / 2, rel=1e-6)
