@@ -1,5 +1,7 @@
 """What must hold whatever size Spark takes a table for."""
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -109,3 +111,29 @@ def test_counting_makes_no_pairs_of_points_and_whole_cells(spark):
         return sum(df.count() for df in found if df is not None)
     assert whole.count() > 0
     assert rows(tested, crowded) < 0.6 * rows(plain, more)
+
+
+def test_nearest_chooses_among_the_sides_at_the_least_distance(spark):
+    rng = np.random.default_rng(5)
+    ends = rng.integers(0, 64, (60, 4)).astype(float)
+    sides = spark.createDataFrame([(k, *map(float, e)) for k, e in enumerate(ends)],
+                                  "k int, x1 double, y1 double, x2 double, y2 double")
+    places = [(float(x), float(y)) for x, y in rng.integers(0, 64, (40, 2))]
+    pyramid = nearest.Pyramid(sides, "k", 64.0, level=2, broadcast=0)
+    top = pyramid.levels[-1]
+    assert top > pyramid.bottom
+    found = pyramid.search({top: spark.createDataFrame(
+        [((x, y), float("inf"), 0, 0) for x, y in places],
+        "__point struct<x:double,y:double>, bound double, cx bigint, cy bigint")})
+    plan = plan_of(found)
+    # Only pairs at the least distance are sorted by point.
+    assert re.search(r"Filter .*d2\S* <=> least", plan)
+
+    def d2(x, y, x1, y1, x2, y2):
+        size = (x2 - x1) ** 2 + (y2 - y1) ** 2
+        t = min(1.0, max(0.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / size)) if size else 0
+        return (x - x1 - t * (x2 - x1)) ** 2 + (y - y1 - t * (y2 - y1)) ** 2
+    got = {(r["__point"]["x"], r["__point"]["y"]): r["d2"] for r in found.collect()}
+    assert set(got) == set(places)
+    for at, best in got.items():
+        assert abs(best - min(d2(*at, *e) for e in ends)) < 1e-9
